@@ -17,6 +17,9 @@ PAYMENT_LABELS = {
     6: "voided",
 }
 
+# Day names by weekday number, Monday first.
+DAY_NAMES = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
+
 # Tip buckets as (upper share, label), fare buckets as (upper fare, label).
 TIP_BUCKETS = ((0.10, "Under 10%"), (0.20, "10-20%"), (0.30, "20-30%"))
 NO_TIP, TOP_TIP = "No tip", "Over 30%"
@@ -24,14 +27,19 @@ FARE_BUCKETS = ((5, "under $5"), (20, "$5-$20"))
 NO_FARE, TOP_FARE = "zero/negative", "over $20"
 
 
-def money(col: Column) -> Column:
-    """An aggregate rounded to cents.
+def money(total: Column) -> Column:
+    """A sum rounded to cents.
 
     A double sum depends on the order its partial sums meet, so a value that
     lies on a half cent may fall to either side. Rounding to four places first
     drops that noise, and runs with different partitions agree.
     """
-    return F.round(F.round(col, 4), 2)
+    return F.round(F.round(total, 4), 2)
+
+
+def mean(value: Column) -> Column:
+    """An average or a ratio of sums rounded to cents, with the noise dropped likewise."""
+    return F.round(F.round(value, 7), 2)
 
 
 def label_payment(code: Column) -> Column:
@@ -74,8 +82,8 @@ def seconds_between(start: Column, end: Column) -> Column:
 
 
 def day_name(ts: Column) -> Column:
-    """Full English day name."""
-    return F.date_format(ts, "EEEE")
+    """Full English day name. A lookup by number, far cheaper per row than formatting."""
+    return F.element_at(F.array(*[F.lit(d) for d in DAY_NAMES]), F.weekday(ts) + 1)
 
 
 def trunc_day(ts: Column) -> Column:

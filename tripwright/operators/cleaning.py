@@ -105,8 +105,8 @@ def clean_preview(raw: DataFrame) -> DataFrame:
     kept = raw.filter(reduce(and_, keep_rules(V1, None).values()))
     return kept.agg(
         F.count("*").alias("clean_rows"),
-        S.money(F.avg("fare_amount")).alias("avg_fare"),
-        S.money(F.avg("trip_distance")).alias("avg_distance"),
+        S.mean(F.avg("fare_amount")).alias("avg_fare"),
+        S.mean(F.avg("trip_distance")).alias("avg_distance"),
     )
 
 

@@ -192,7 +192,9 @@ def hot_ids(events: DataFrame, id: str, arrival: str, hot_rows: int) -> DataFram
         .select(
             "hot_id",
             "low",
-            F.greatest(F.ceil(F.col("span") * hot_rows / F.col("n")), F.lit(hot_rows)).alias("width"),
+            F.greatest(
+                F.ceil(F.col("span").cast("double") * hot_rows / F.col("n")), F.lit(hot_rows)
+            ).alias("width"),
         )
     )
 

@@ -19,7 +19,7 @@ def _sum(col: str, name: str):
 
 
 def _avg(col: str, name: str):
-    return S.money(F.avg(col)).alias(name)
+    return S.mean(F.avg(col)).alias(name)
 
 
 def basic_stats(raw: DataFrame) -> DataFrame:

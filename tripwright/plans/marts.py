@@ -44,10 +44,10 @@ def daily_revenue(stg: DataFrame) -> DataFrame:
         S.money(F.sum("fare_amount")).alias("total_fare"),
         S.money(F.sum("tip_amount")).alias("total_tips"),
         S.money(F.sum("total_amount")).alias("total_revenue"),
-        S.money(F.avg("fare_amount")).alias("avg_fare"),
-        S.money(F.avg("trip_distance")).alias("avg_distance"),
-        S.money(F.avg("duration_minutes")).alias("avg_duration_mins"),
-        S.money(
+        S.mean(F.avg("fare_amount")).alias("avg_fare"),
+        S.mean(F.avg("trip_distance")).alias("avg_distance"),
+        S.mean(F.avg("duration_minutes")).alias("avg_duration_mins"),
+        S.mean(
             S.null_guard_ratio(F.sum("tip_amount"), F.sum("fare_amount"), 100)
         ).alias("overall_tip_pct"),
     )
@@ -59,8 +59,8 @@ def payment_summary(stg: DataFrame) -> DataFrame:
     methods = stg.groupBy("pickup_month", "payment_method").agg(
         F.count("*").alias("total_trips"),
         S.money(F.sum("fare_amount")).alias("total_fare"),
-        S.money(F.avg("tip_amount")).alias("avg_tip"),
-        S.money(
+        S.mean(F.avg("tip_amount")).alias("avg_tip"),
+        S.mean(
             S.null_guard_ratio(F.avg("tip_amount"), F.avg("fare_amount"), 100)
         ).alias("avg_tip_pct"),
     )

@@ -13,6 +13,10 @@ def _money(expr: str, decimals: int = 4) -> str:
     return f"CAST(round(CAST({expr} AS DECIMAL(30, {decimals})), 2) AS DOUBLE)"
 
 
+def _mean(expr: str) -> str:
+    return _money(expr, 7)
+
+
 def _row_cents(expr: str) -> str:
     return _money(expr, 10)
 
@@ -97,10 +101,10 @@ DAILY = f"""{STG}, daily AS (
         {_money("sum(fare_amount)")} AS total_fare,
         {_money("sum(tip_amount)")} AS total_tips,
         {_money("sum(total_amount)")} AS total_revenue,
-        {_money("avg(fare_amount)")} AS avg_fare,
-        {_money("avg(trip_distance)")} AS avg_distance,
-        {_money("avg(duration_minutes)")} AS avg_duration_mins,
-        {_money("sum(tip_amount) / nullif(sum(fare_amount), 0) * 100")} AS overall_tip_pct
+        {_mean("avg(fare_amount)")} AS avg_fare,
+        {_mean("avg(trip_distance)")} AS avg_distance,
+        {_mean("avg(duration_minutes)")} AS avg_duration_mins,
+        {_mean("sum(tip_amount) / nullif(sum(fare_amount), 0) * 100")} AS overall_tip_pct
     FROM stg
     GROUP BY 1, 2, 3
 )"""
@@ -111,8 +115,8 @@ SUMMARY = f"""{STG}, summary AS (
         payment_method,
         count(*) AS total_trips,
         {_money("sum(fare_amount)")} AS total_fare,
-        {_money("avg(tip_amount)")} AS avg_tip,
-        {_money("avg(tip_amount) / nullif(avg(fare_amount), 0) * 100")} AS avg_tip_pct,
+        {_mean("avg(tip_amount)")} AS avg_tip,
+        {_mean("avg(tip_amount) / nullif(avg(fare_amount), 0) * 100")} AS avg_tip_pct,
         {_share("sum(count(*)) OVER (PARTITION BY pickup_month)")} AS pct_of_monthly_trips
     FROM stg
     GROUP BY 1, 2
@@ -275,7 +279,7 @@ TYPE_NAMES = """CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN
 
 def _by_payment(source: str) -> str:
     return f"""SELECT payment_type, count(*) AS total_trips,
-    {_money("sum(fare_amount)")} AS total_revenue, {_money("avg(fare_amount)")} AS avg_fare
+    {_money("sum(fare_amount)")} AS total_revenue, {_mean("avg(fare_amount)")} AS avg_fare
 FROM {source} GROUP BY 1"""
 
 
@@ -370,15 +374,15 @@ FROM clean""",
         "json_decode": f"SELECT *, false AS malformed FROM ({EVENT_HALVES})",
         "null_guard_ratio": f"""WITH {RAW}
 SELECT "PULocationID", trip_distance,
-    {_money("sum(tip_amount) / nullif(sum(trip_distance), 0) * 100")} AS tip_per_distance
+    {_mean("sum(tip_amount) / nullif(sum(trip_distance), 0) * 100")} AS tip_per_distance
 FROM raw GROUP BY 1, 2""",
         "trunc_day": "SELECT event_id, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day FROM events",
         "text_preview": "SELECT doc_id, substring(text, 1, 100) AS preview FROM documents",
         # filters
         "clean_trips": f"WITH {CLEAN} SELECT {CLEAN_COLS} FROM clean",
         "clean_preview": f"""WITH {RAW}
-SELECT count(*) AS clean_rows, {_money("avg(fare_amount)")} AS avg_fare,
-    {_money("avg(trip_distance)")} AS avg_distance
+SELECT count(*) AS clean_rows, {_mean("avg(fare_amount)")} AS avg_fare,
+    {_mean("avg(trip_distance)")} AS avg_distance
 FROM raw
 WHERE fare_amount > 0 AND trip_distance >= 0 AND tpep_pickup_datetime <= tpep_dropoff_datetime
   AND payment_type BETWEEN 1 AND 4 AND NOT (trip_distance = 0 AND fare_amount <= 0)""",
@@ -399,17 +403,17 @@ SELECT
 FROM raw""",
         # aggregations
         "basic_stats": f"""WITH {RAW}
-SELECT count(*) AS total_trips, {_money("avg(trip_distance)")} AS avg_distance_miles,
-    {_money("avg(fare_amount)")} AS avg_fare, {_money("avg(tip_amount)")} AS avg_tip,
+SELECT count(*) AS total_trips, {_mean("avg(trip_distance)")} AS avg_distance_miles,
+    {_mean("avg(fare_amount)")} AS avg_fare, {_mean("avg(tip_amount)")} AS avg_tip,
     min(tpep_pickup_datetime) AS earliest_trip, max(tpep_pickup_datetime) AS latest_trip
 FROM raw""",
         "revenue_by_weekday": f"""WITH {RAW}
 SELECT dayname(tpep_pickup_datetime) AS day_of_week, count(*) AS total_trips,
-    {_money("sum(fare_amount)")} AS total_revenue, {_money("avg(fare_amount)")} AS avg_fare
+    {_money("sum(fare_amount)")} AS total_revenue, {_mean("avg(fare_amount)")} AS avg_fare
 FROM raw GROUP BY 1 ORDER BY total_revenue DESC""",
         "busiest_hours": f"""WITH {RAW}
 SELECT CAST(hour(tpep_pickup_datetime) AS INT) AS pickup_hour, count(*) AS total_trips,
-    {_money("avg(fare_amount)")} AS avg_fare
+    {_mean("avg(fare_amount)")} AS avg_fare
 FROM raw WHERE fare_amount > 0 GROUP BY 1 ORDER BY total_trips DESC""",
         "revenue_by_payment_raw": f"""WITH {RAW}
 SELECT payment_type, count(*) AS total_trips, {_money("sum(fare_amount)")} AS total_revenue
@@ -431,7 +435,7 @@ SELECT count(*) AS total_rows,
     count(*) FILTER (WHERE passenger_count = 0) AS zero_passengers
 FROM raw""",
         "zero_distance_by_payment": f"""WITH {RAW}
-SELECT payment_type, {_money("avg(fare_amount)")} AS avg_fare, {_money("avg(tip_amount)")} AS avg_tip,
+SELECT payment_type, {_mean("avg(fare_amount)")} AS avg_fare, {_mean("avg(tip_amount)")} AS avg_tip,
     count(*) AS trip_count
 FROM raw WHERE trip_distance = 0 AND fare_amount > 0 GROUP BY 1""",
         "zero_distance_fares": f"""WITH {RAW}
@@ -472,7 +476,7 @@ SELECT "PULocationID", count(*) AS total_trips FROM raw GROUP BY 1 ORDER BY 2 DE
         "order_multi": f"""WITH {STG}
 SELECT pickup_month, pickup_hour, count(*) AS total_trips FROM stg GROUP BY 1, 2 ORDER BY 1, 3 DESC, 2""",
         "top_pickups": f"""WITH {CLEAN}
-SELECT pickup_location_id, count(*) AS total_trips, {_money("avg(fare_amount)")} AS avg_fare
+SELECT pickup_location_id, count(*) AS total_trips, {_mean("avg(fare_amount)")} AS avg_fare
 FROM clean GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5""",
         "sample_limit": f"""WITH {CLEAN}
 SELECT * EXCLUDE (trip_id) FROM clean ORDER BY pickup_datetime, {KEY} LIMIT {SAMPLE_ROWS}""",

@@ -13,7 +13,7 @@ from tripwright.operators import checks, cleaning, events, profile, retrieval, s
 from tripwright.plans import chain, marts
 from tripwright.session import scratch_dir
 from tripwright.sources import catalog, files, lake, stream
-from tripwright.sources.trips import TRIP_KEY, raw_trips, table, trip_event_stream, trip_events
+from tripwright.sources.trips import TRIP_KEY, raw_trips, spread, table, trip_event_stream, trip_events
 from tripwright.streaming import joins, pairing
 from tripwright.streaming import sinks as stream_sinks
 
@@ -194,10 +194,12 @@ def table_create(spark, sf):
 
 
 def _two_appends(spark: SparkSession, sf: str) -> tuple[str, int, int]:
-    """Month 1, then month 2 of the clean trips."""
-    path = f"{scratch_dir(spark, 'lake')}/completed_trips"
+    """Month 1, then month 2 of the written clean trips; each append reads its own partition."""
+    folder = scratch_dir(spark, "lake")
+    sinks.sink_partitioned(_with_id(_clean(spark, sf, keys=True)), f"{folder}/clean")
+    path = f"{folder}/completed_trips"
     lake.table_create(spark, path)
-    trips = _with_id(_clean(spark, sf, keys=True))
+    trips = files.scan_partitioned(spark, f"{folder}/clean")
     ids = [lake.table_append(trips.filter(F.col("pickup_month") == month), path) for month in (1, 2)]
     return path, *ids
 
@@ -354,7 +356,7 @@ def json_decode(spark, sf):
 def null_guard_ratio(spark, sf):
     ratio = S.null_guard_ratio(F.sum("tip_amount"), F.sum("trip_distance"), 100)
     rows = raw_trips(spark, sf).groupBy("PULocationID", "trip_distance")
-    return rows.agg(S.money(ratio).alias("tip_per_distance"))
+    return rows.agg(S.mean(ratio).alias("tip_per_distance"))
 
 
 @query
@@ -448,7 +450,8 @@ def health_report(spark, sf):
 
 
 def _chunks(spark: SparkSession, sf: str) -> DataFrame:
-    return retrieval.chunk_docs(table(spark, sf, "documents"), keys=("doc_id", "source"))
+    docs = spread(table(spark, sf, "documents"), "doc_id")
+    return retrieval.chunk_docs(docs, keys=("doc_id", "source"))
 
 
 @query

@@ -33,6 +33,8 @@ def build_session(
         .config("spark.sql.sources.partitionOverwriteMode", "static")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+        # no call-site capture per column expression: halves the time to build a plan
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)

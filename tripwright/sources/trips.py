@@ -2,14 +2,36 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TRIP_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
+@lru_cache(maxsize=256)
+def _schema(application: str, path: str) -> T.StructType:
+    """Schema of a fixed input table, read from its footer once per session."""
+    return SparkSession.active().read.parquet(path).schema
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    schema = _schema(spark.sparkContext.applicationId, path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
+    """A scan with at least one partition per core, for work that is heavy per row.
+
+    Shuffles only when the files give fewer splits than there are cores, so
+    only inputs of a few splits; a large table is left as it is. ``scan`` must
+    be a plain file scan.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, *keys) if scan.rdd.getNumPartitions() < cores else scan
 
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
