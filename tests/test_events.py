@@ -105,6 +105,14 @@ def test_duplicates_and_order(spark):
     assert [r["trip_id"] for r in E.unmatched_starts(events).collect()] == ["b"]
 
 
+def test_rows_without_an_id_match_nothing(spark):
+    rows = [(E.START, None, 1, 0), (E.END, None, 2, 1), (E.START, None, 3, 2), (E.START, "a", 4, 3)]
+    events = make(spark, rows)
+    for hot_rows in (1, 100):
+        assert tuple(E.health_report(events, hot_rows=hot_rows).first()) == (0, 1, 3)
+    assert sorted(r["arrival"] for r in E.unmatched_starts(events).collect()) == [1, 3, 4]
+
+
 @pytest.mark.parametrize("windows", [1, 4])
 def test_interval_join_gives_all_pairs_once(spark, monkeypatch, windows):
     monkeypatch.setattr(E, "SLOT_WINDOWS", windows)

@@ -101,7 +101,7 @@ def staging_suite(
     ]
     for c, values in accepted.items():
         bad = F.when(~F.col(c).isin(*values), F.col(c))
-        results.append((f"accepted_values_{c}", F.size(F.collect_set(bad)).alias(f"accepted_values_{c}")))
+        results.append((f"accepted_values_{c}", F.count_distinct(bad).alias(f"accepted_values_{c}")))
     one = groups.agg(*[col for _, col in results])
     rows = F.inline(
         F.array(

@@ -212,7 +212,8 @@ def with_previous(
     task. Its arrival order is cut into slices, each slice is a window
     partition of its own, and only the last row of each slice travels on to
     the first row of the next. ``arrival`` is a unique, rising whole number
-    (log offset, event number), so a slice holds at most ``width`` rows.
+    (log offset, event number), so a slice holds at most ``width`` rows. A row
+    without an id has no previous event and is its own last one.
     """
     hot = F.broadcast(hot_ids(events, id, arrival, hot_rows))
     slice_no = F.floor((F.col(arrival) - F.col("low")) / F.col("width"))
@@ -232,7 +233,7 @@ def with_previous(
     )
 
     rows = events.join(hot, F.col(id) == F.col("hot_id"), "left").withColumn(
-        "slice", F.coalesce(slice_no, F.lit(-1))
+        "slice", F.coalesce(slice_no, F.when(F.col(id).isNull(), F.col(arrival)), F.lit(-1))
     )
     by_arrival = Window.partitionBy(id, "slice").orderBy(arrival)
     rows = rows.withColumns(
@@ -320,7 +321,12 @@ def unmatched_starts(
 ) -> DataFrame:
     """Starts still open: the last event of their id. Combined before the shuffle."""
     last = F.max_by(F.struct(type, arrival, *cols), F.col(arrival)).alias("last")
-    lasts = trip_halves(events, type, start, end).groupBy(F.col(id).alias("trip_id")).agg(last)
+    lone = F.when(F.col(id).isNull(), F.col(arrival))  # rows without an id stay apart
+    lasts = (
+        trip_halves(events, type, start, end)
+        .groupBy(F.col(id).alias("trip_id"), lone.alias("lone"))
+        .agg(last)
+    )
     return lasts.filter(F.col(f"last.{type}") == start).select(
         "trip_id", *[F.col(f"last.{c}").alias(c) for c in (arrival, *cols)]
     )

@@ -37,7 +37,7 @@ SCORE_DECIMALS = 6
 # Query vectors up to this size are sent to every task; more are tiled.
 MAX_QUERY_BYTES = 32 * 1024 * 1024
 # Rows per tile side when queries are tiled.
-TILE_QUERIES, TILE_CORPUS = 8_192, 50_000
+TILE_QUERIES, TILE_CORPUS = 8_192, 20_000
 # Partial results of a query are merged in this many groups first.
 MERGE_GROUPS = 64
 

@@ -73,15 +73,15 @@ def stream_pairing(
                 if row["event_type"] == start_type:
                     if held is None:
                         values.update((c, row[c]) for c in start_cols)
-                        yield Row("opened", *values.values(), None)
+                        yield Row(kind="opened", **values, reason=None)
                     held = tuple(row[c] for c in start_cols)
                 elif row["event_type"] == end_type:
                     values.update((c, row[c]) for c in end_cols)
                     if held is None:
-                        yield Row("orphan", *values.values(), reason)
+                        yield Row(kind="orphan", **values, reason=reason)
                     else:
                         values.update(zip(start_cols, held))
-                        yield Row("completed", *values.values(), None)
+                        yield Row(kind="completed", **values, reason=None)
                         held = None
             if held is not None:
                 self.open.update(tuple(held))
