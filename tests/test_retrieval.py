@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tripwright.operators import retrieval as R
 
@@ -81,6 +82,14 @@ def test_topk_is_exact_on_both_paths(spark, monkeypatch, limit, k):
     assert set(found) == brute_topk(q, c, k)
 
 
+@pytest.mark.parametrize("limit", [R.MAX_QUERY_BYTES, 64])
+def test_queries_taken_from_the_corpus(spark, limit):
+    _, _, _, corpus = vectors(spark, 1, 60)
+    queries = corpus.filter("id >= 50").select(F.col("id").alias("query_id"), "vector")
+    top = R.vector_topk(queries, corpus, 1, max_query_bytes=limit).collect()
+    assert sorted((r["query_id"], r["id"]) for r in top) == [(i, i) for i in range(50, 60)]
+
+
 def test_topk_without_queries_or_points(spark):
     _, _, queries, corpus = vectors(spark, 2, 12)
     assert R.vector_topk(queries.limit(0), corpus).count() == 0

@@ -139,15 +139,20 @@ def _block_search(k: int, decimals: int):
         first = np.searchsorted(q, q, side="left")
         return ranked[np.arange(len(q)) - first < k]
 
-    def search(query_units, batch):
-        """(query number, score, row number in the batch) of the winners."""
+    def search(query_units, batch, floor=None):
+        """(query number, score, row number in the batch) of the winners.
+
+        ``floor`` holds the score each query's result must reach already.
+        """
         corpus_units = unit(batch.column("vector"))
         n = len(corpus_units)
         order = np.argsort(np.argsort(np.asarray(batch.column("id")), kind="stable"))
         found = []
         for low in range(0, len(query_units), 256):
             scores = np.round(query_units[low : low + 256] @ corpus_units.T, decimals)
-            if n > k:
+            if floor is not None:
+                q, row = np.nonzero(scores >= floor[low : low + 256, None])
+            elif n > k:
                 kth = np.partition(scores, n - k, axis=1)[:, n - k]
                 q, row = np.nonzero(scores >= kth[:, None])
             else:
@@ -214,11 +219,11 @@ def _scan_topk(matrix: pa.Table, queries: DataFrame, corpus: DataFrame, k: int)
 
     def scan(batches):
         query_units, query_ids = shared.value
-        held = None
+        held, floor = None, None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            q, score, row = search(query_units, batch)
+            q, score, row = search(query_units, batch, floor)
             winners = pa.Table.from_arrays(
                 [
                     pa.array(q),
@@ -232,6 +237,10 @@ def _scan_topk(matrix: pa.Table, queries: DataFrame, corpus: DataFrame, k: int)
             ids = np.argsort(np.argsort(np.asarray(held.column("id")), kind="stable"))
             best = keep_best(np.asarray(held.column("query_id")), np.asarray(held.column("score")), ids)
             held = held.take(pa.array(best)).combine_chunks()
+            if len(best) == k * len(query_units):
+                # every query holds k results: the lowest of them is its floor
+                floor = np.full(len(query_units), np.inf)
+                np.minimum.at(floor, np.asarray(held.column("query_id")), np.asarray(held.column("score")))
         if held is not None:
             numbers = pa.array(np.asarray(held.column("query_id")))
             yield from held.set_column(0, "query_id", query_ids.take(numbers)).to_batches()
@@ -252,8 +261,12 @@ def _tile_topk(wanted: DataFrame, queries: DataFrame, corpus: DataFrame, k: int)
     def every(n):
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    left = wanted.withColumn("q_block", block("query_id", q_blocks)).withColumn(
-        "c_block", every(c_blocks)
+    # the vector gets its own name, as the queries may stem from the corpus frame
+    left = wanted.select(
+        "query_id",
+        F.col("vector").alias("query_vector"),
+        block("query_id", q_blocks).alias("q_block"),
+        every(c_blocks).alias("c_block"),
     )
     right = (
         corpus.select("id", "vector", "payload")
@@ -273,7 +286,7 @@ def _tile_topk(wanted: DataFrame, queries: DataFrame, corpus: DataFrame, k: int)
                 ],
                 names=["query_id", "id", "score", "payload"],
             )
-        q, score, row = search(unit(left_tile.column("vector")), right_tile)
+        q, score, row = search(unit(left_tile.column("query_vector")), right_tile)
         rows = pa.array(row)
         return pa.Table.from_arrays(
             [

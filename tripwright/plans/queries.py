@@ -613,9 +613,13 @@ def test_payment_bounds(spark, sf):
 
 @query
 def test_suite(spark, sf):
+    # three models read the clean trips: written once, they are not derived three times
+    path = scratch_dir(spark, "clean")
+    sinks.sink_partitioned(_clean(spark, sf), path)
+    stg = marts.stg_trips(files.scan_partitioned(spark, path))
+    models = (marts.daily_revenue(stg), marts.payment_summary(stg))
     today = F.lit(AS_OF_DATE).cast("date")
-    marts_of = (daily_revenue(spark, sf), payment_summary(spark, sf))
-    return chain.all_tests(_stg(spark, sf), *marts_of, DAILY_BOUNDS, PAYMENT_BOUNDS, today)
+    return chain.all_tests(stg, *models, DAILY_BOUNDS, PAYMENT_BOUNDS, today)
 
 
 @query
