@@ -45,6 +45,18 @@ def _stg(spark: SparkSession, sf: str) -> DataFrame:
     return marts.stg_trips(_clean(spark, sf))
 
 
+def _sized(df: DataFrame, name: str) -> DataFrame:
+    """A small result as a written table: the planner then knows its size.
+
+    Joined to a large table it is broadcast only if its files are below the
+    broadcast threshold. Unwritten, its size is a guess, and the large side
+    would be shuffled before the real size is seen.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _with_id(trips: DataFrame) -> DataFrame:
     return trips.withColumn("trip_id", S.key_id(*TRIP_KEY))
 
@@ -272,7 +284,7 @@ def vector_upsert(spark, sf):
         F.explode(F.array("low", -F.col("low") - 1)).alias("id"),
         F.concat(F.lit("new_"), "label").alias("source"),
     )
-    return sinks.vector_upsert(points, new)
+    return sinks.vector_upsert(points, _sized(new, "points"))
 
 
 # Projections and scalar functions
@@ -658,7 +670,9 @@ def vector_topk(spark, sf):
 
 def _contexts(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
-    top = _label_topk(spark, sf).join(docs, "id", "left")
+    winners = _sized(_label_topk(spark, sf), "winners")
+    texts = docs.join(winners.select("id").distinct(), "id")
+    top = winners.join(_sized(texts, "texts"), "id", "left")
     text = F.coalesce("text", F.lit(""))
     return retrieval.build_context(top.withColumn("payload", F.col("payload").withField("text", text)))
 
