@@ -62,7 +62,7 @@ def check(events, rows, **opts):
     assert lost.select("reason").distinct().count() <= 1
 
 
-@pytest.mark.parametrize("hot_rows", [1, 2, 7, 50, 10_000])
+@pytest.mark.parametrize("hot_rows", [1, 7, 10_000])
 @pytest.mark.parametrize("seed", [1, 2])
 def test_pairing_with_and_without_slices(spark, hot_rows, seed):
     rows = skewed(600, seed)

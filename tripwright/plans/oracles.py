@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tripwright.functions import scalar as S
+from tripwright.operators import checks
 from tripwright.plans.queries import AS_OF_DATE, DAILY_BOUNDS, PAYMENT_BOUNDS, SAMPLE_ROWS
 
 KEY = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
@@ -79,15 +81,37 @@ CLEAN = f"""{RAW}, clean AS (
 )"""
 CLEAN_COLS = f"* EXCLUDE ({KEY}, trip_id)"
 
-LABEL = """CASE payment_type
-            WHEN 0 THEN 'flex_fare'
-            WHEN 1 THEN 'credit_card'
-            WHEN 2 THEN 'cash'
-            WHEN 3 THEN 'no_charge'
-            WHEN 4 THEN 'dispute'
-            WHEN 5 THEN 'unknown'
-            WHEN 6 THEN 'voided'
-        END"""
+def _cases(pairs, default: str | None = None) -> str:
+    """A CASE over (condition, label) pairs."""
+    steps = " ".join(f"WHEN {cond} THEN '{label}'" for cond, label in pairs)
+    other = f" ELSE '{default}'" if default else ""
+    return f"CASE {steps}{other} END"
+
+
+LABEL = _cases((f"payment_type = {code}", label) for code, label in S.PAYMENT_LABELS.items())
+TIP_BUCKET = _cases(
+    [("tip_amount = 0", S.NO_TIP)]
+    + [(f"tip_amount / fare_amount < {upper}", label) for upper, label in S.TIP_BUCKETS],
+    S.TOP_TIP,
+)
+FARE_BUCKET = _cases(
+    [("fare_amount <= 0", S.NO_FARE)] + [(f"fare_amount < {upper}", label) for upper, label in S.FARE_BUCKETS],
+    S.TOP_FARE,
+)
+# audit column -> condition of a failing row
+FAILS = {
+    "bad_fare": "fare_amount <= 0",
+    "bad_payment": "payment_type NOT BETWEEN 1 AND 4",
+    "zero_dist_zero_fare": "trip_distance = 0 AND fare_amount <= 0",
+    "bad_timestamps": "tpep_pickup_datetime > tpep_dropoff_datetime",
+    "wrong_month": "month(tpep_pickup_datetime) NOT IN (1, 2)",
+}
+
+
+def _counts(conditions: dict[str, str]) -> str:
+    return ", ".join(f"count(*) FILTER (WHERE {cond}) AS {name}" for name, cond in conditions.items())
+
+
 STG = f"""{CLEAN}, stg AS (
     SELECT * EXCLUDE ({KEY}, trip_id, payment_type), {LABEL} AS payment_method FROM clean
 )"""
@@ -242,14 +266,16 @@ def _bounds(limits: dict, test: str) -> str:
     return " OR ".join(test.format(name, *pair) for name, pair in limits.items())
 
 
-DAILY_BAD = _bounds(DAILY_BOUNDS, "{0} < {1} OR {0} > {2}")
-PAYMENT_BAD = _bounds(PAYMENT_BOUNDS, "(payment_method = '{0}' AND (total_trips < {1} OR total_trips > {2}))")
+_RANGE = "{0} < {1} OR {0} > {2}"
+_METHOD_RANGE = "(payment_method = '{0}' AND (total_trips < {1} OR total_trips > {2}))"
+DAILY_BAD = _bounds(DAILY_BOUNDS, _RANGE)
+PAYMENT_BAD = _bounds(PAYMENT_BOUNDS, _METHOD_RANGE)
 
 NOT_NULL_TESTS = "\nUNION ALL\n".join(
     f"SELECT 'not_null_{c}' AS test, count(*) AS failures FROM stg WHERE {c} IS NULL"
-    for c in ("pickup_datetime", "dropoff_datetime", "fare_amount", "trip_distance", "payment_method")
+    for c in checks.NOT_NULL
 )
-SUITE = f"""WITH {DAILY.replace(STG, STG)}, {SUMMARY[len(STG) + 2:]}, results AS (
+SUITE = f"""WITH {DAILY}, {SUMMARY[len(STG) + 2:]}, results AS (
 {NOT_NULL_TESTS}
 UNION ALL
 SELECT 'accepted_values_payment_method', count(DISTINCT payment_method) FROM stg
@@ -266,12 +292,8 @@ UNION ALL
 SELECT 'payment_distribution_reasonable', count(*) FROM summary WHERE {PAYMENT_BAD}
 )
 SELECT test, failures, failures = 0 AS passed FROM results"""
-PRODUCTION_FAILING = """(SELECT count(*) FROM daily WHERE total_trips > 184000 OR total_trips < 20000
-    OR total_revenue > 5900000 OR total_revenue < 600000 OR avg_fare > 32 OR avg_fare < 15)"""
-PAYMENT_FAILING = """(SELECT count(*) FROM summary
-    WHERE (payment_method = 'credit_card' AND (total_trips < 1640000 OR total_trips > 2700000))
-       OR (payment_method = 'flex_fare' AND (total_trips < 818000 OR total_trips > 1305000))
-       OR (payment_method = 'cash' AND (total_trips < 213000 OR total_trips > 365000)))"""
+PRODUCTION_FAILING = f"(SELECT count(*) FROM daily WHERE {_bounds(checks.DAILY_BOUNDS, _RANGE)})"
+PAYMENT_FAILING = f"(SELECT count(*) FROM summary WHERE {_bounds(checks.PAYMENT_BOUNDS, _METHOD_RANGE)})"
 
 TYPE_NAMES = """CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
     WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'VARCHAR' THEN 'string' END"""
@@ -349,16 +371,9 @@ UNION ALL SELECT id, 'new_' || label FROM new""",
         "label_payment": f"WITH {RAW} SELECT {KEY}, payment_type, {LABEL} AS payment_method FROM raw",
         "stg_trips": f"WITH {STG} SELECT * FROM stg",
         "bucket_tip": f"""WITH {RAW}
-SELECT {KEY}, CASE WHEN tip_amount = 0 THEN 'No tip'
-    WHEN tip_amount / fare_amount < 0.10 THEN 'Under 10%'
-    WHEN tip_amount / fare_amount < 0.20 THEN '10-20%'
-    WHEN tip_amount / fare_amount < 0.30 THEN '20-30%'
-    ELSE 'Over 30%' END AS tip_bucket
-FROM raw WHERE fare_amount > 0""",
+SELECT {KEY}, {TIP_BUCKET} AS tip_bucket FROM raw WHERE fare_amount > 0""",
         "bucket_fare": f"""WITH {RAW}
-SELECT {KEY}, CASE WHEN fare_amount <= 0 THEN 'zero/negative' WHEN fare_amount < 5 THEN 'under $5'
-    WHEN fare_amount < 20 THEN '$5-$20' ELSE 'over $20' END AS fare_bucket
-FROM raw""",
+SELECT {KEY}, {FARE_BUCKET} AS fare_bucket FROM raw""",
         "cast_table_schema": f"""WITH {RAW}, renamed AS (
     SELECT {RENAMED_COLS.replace("passenger_count", "trip_distance / 2 AS passenger_count")},
         {TRIP_ID} AS trip_id FROM raw)
@@ -419,11 +434,7 @@ FROM raw WHERE fare_amount > 0 GROUP BY 1 ORDER BY total_trips DESC""",
 SELECT payment_type, count(*) AS total_trips, {_money("sum(fare_amount)")} AS total_revenue
 FROM raw GROUP BY 1 ORDER BY total_revenue DESC""",
         "tip_distribution": f"""WITH {RAW}
-SELECT CASE WHEN tip_amount = 0 THEN 'No tip'
-    WHEN tip_amount / fare_amount < 0.10 THEN 'Under 10%'
-    WHEN tip_amount / fare_amount < 0.20 THEN '10-20%'
-    WHEN tip_amount / fare_amount < 0.30 THEN '20-30%'
-    ELSE 'Over 30%' END AS tip_bucket,
+SELECT {TIP_BUCKET} AS tip_bucket,
     count(*) AS total_trips,
     {_share("sum(count(*)) OVER ()")} AS pct_of_trips
 FROM raw WHERE fare_amount > 0 AND tip_amount >= 0 GROUP BY 1""",
@@ -439,19 +450,11 @@ SELECT payment_type, {_mean("avg(fare_amount)")} AS avg_fare, {_mean("avg(tip_am
     count(*) AS trip_count
 FROM raw WHERE trip_distance = 0 AND fare_amount > 0 GROUP BY 1""",
         "zero_distance_fares": f"""WITH {RAW}
-SELECT CASE WHEN fare_amount <= 0 THEN 'zero/negative' WHEN fare_amount < 5 THEN 'under $5'
-    WHEN fare_amount < 20 THEN '$5-$20' ELSE 'over $20' END AS fare_bucket, count(*) AS trip_count
+SELECT {FARE_BUCKET} AS fare_bucket, count(*) AS trip_count
 FROM raw WHERE trip_distance = 0 GROUP BY 1""",
         "quality_audit": f"""WITH {RAW}
-SELECT count(*) AS total_raw,
-    count(*) FILTER (WHERE fare_amount <= 0) AS bad_fare,
-    count(*) FILTER (WHERE payment_type NOT BETWEEN 1 AND 4) AS bad_payment,
-    count(*) FILTER (WHERE trip_distance = 0 AND fare_amount <= 0) AS zero_dist_zero_fare,
-    count(*) FILTER (WHERE tpep_pickup_datetime > tpep_dropoff_datetime) AS bad_timestamps,
-    count(*) FILTER (WHERE month(tpep_pickup_datetime) NOT IN (1, 2)) AS wrong_month,
-    count(*) FILTER (WHERE fare_amount <= 0 OR payment_type NOT BETWEEN 1 AND 4
-        OR (trip_distance = 0 AND fare_amount <= 0) OR tpep_pickup_datetime > tpep_dropoff_datetime
-        OR month(tpep_pickup_datetime) NOT IN (1, 2)) AS total_dropped
+SELECT count(*) AS total_raw, {_counts(FAILS)},
+    count(*) FILTER (WHERE {" OR ".join(f"({cond})" for cond in FAILS.values())}) AS total_dropped
 FROM raw""",
         "daily_revenue": f"WITH {DAILY} SELECT * FROM daily ORDER BY trip_date",
         "payment_summary": f"WITH {SUMMARY} SELECT * FROM summary ORDER BY pickup_month, total_trips DESC",

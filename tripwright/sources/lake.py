@@ -1,6 +1,6 @@
 """Versioned tables: create, append, history, as-of reads.
 
-A table is named by a lake catalog identifier (``iceberg.taxi.completed_trips``)
+A table is named by a lake catalog identifier (``lake.trips.completed``)
 where the session has such a catalog, and by a folder path otherwise. A folder
 holds ``data/snapshot_id=N`` and, written after it, ``log/snapshot_id=N`` with
 one row. Readers see only snapshots in the log, so a failed append stays

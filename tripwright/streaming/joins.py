@@ -1,6 +1,6 @@
 """Interval joins of two streams with state bounded by the watermark.
 
-The reference point is the event-time column. To come closest to a
+Streams meet on the event-time column. To come closest to a
 processing-time join, pass the broker's or the ingest time.
 """
 
