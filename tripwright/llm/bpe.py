@@ -10,6 +10,8 @@ table; an edit recomputes it from the edit until it agrees with the old one.
 from __future__ import annotations
 
 import base64
+import os
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -23,6 +25,7 @@ from tripwright.llm.common import groups
 BLANKS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # Encodings kept per task, so that frequent words are worked out once.
 CACHE_ENTRIES = 200_000
+GROUP_CHARS = 1 << 22
 SEAM_ENTRIES = 500_000
 
 
@@ -40,6 +43,10 @@ class Vocabulary:
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
         self.seams: dict[int, bool] = {}
+        # the longest token that ends in these bytes (three, or the whole of a shorter one)
+        self.reach: dict[bytes, int] = {}
+        for token in ranks:
+            self.reach[token[-3:]] = max(len(token), self.reach.get(token[-3:], 0))
         self.halves: dict[int, tuple[int, int]] = {}
         # shorter tokens first: a token's halves are shorter than itself
         for token, rank in sorted(ranks.items(), key=lambda item: (len(item[0]), item[1])):
@@ -97,21 +104,31 @@ class PrefixTable:
     def append(self, more: bytes) -> None:
         """Exact: the entries before stay as they are."""
         self.piece += more
-        for end in range(len(self.last) + 1, len(self.piece) + 1):
-            self.last.append(self._last_token(self.last, end))
+        self._extend(self.last, len(self.piece))
 
-    def _last_token(self, last: list[int], end: int) -> int:
+    def _extend(self, last: list[int], stop: int) -> None:
+        """Works out the entries up to ``stop`` bytes."""
         piece, vocabulary = self.piece, self.vocabulary
-        rank_of, seam = vocabulary.ranks.get, vocabulary.seams.get
-        for start in range(max(0, end - vocabulary.longest), end):
-            token = rank_of(piece[start:end])
-            if token is not None:
-                if not start:
-                    return token
-                fits = seam(last[start - 1] << 32 | token)
-                if fits or fits is None and vocabulary.fits(last[start - 1], token):
-                    return token
-        raise ValueError("the vocabulary lacks a byte")
+        rank_of, seam, reach = vocabulary.ranks.get, vocabulary.seams.get, vocabulary.reach.get
+        for end in range(len(last) + 1, stop + 1):
+            for start in range(max(0, end - reach(piece[max(0, end - 3) : end], 2)), end):
+                token = rank_of(piece[start:end])
+                if token is not None:
+                    if not start:
+                        break
+                    fits = seam(last[start - 1] << 32 | token)
+                    if fits or fits is None and vocabulary.fits(last[start - 1], token):
+                        break
+            else:
+                raise ValueError("the vocabulary lacks a byte")
+            last.append(token)
+
+    def move_to(self, piece: bytes) -> None:
+        """The table of another piece; entries of the common prefix stay."""
+        shared = len(os.path.commonprefix([self.piece, piece]))
+        self.piece = piece[:shared]
+        del self.last[shared:]
+        self.append(piece[shared:])
 
     def replace(self, start: int, stop: int, new: bytes) -> int:
         """Puts ``new`` in place of bytes ``[start, stop)``; returns how many entries were worked out.
@@ -124,9 +141,8 @@ class PrefixTable:
         last, agreed, end = old[:start], 0, start
         while end < len(self.piece):
             end += 1
-            token = self._last_token(last, end)
-            last.append(token)
-            same = end > start + len(new) and old[end - 1 - shift] == token
+            self._extend(last, end)
+            same = end > start + len(new) and old[end - 1 - shift] == last[-1]
             agreed = agreed + 1 if same else 0
             if agreed == self.vocabulary.longest:
                 last += old[end - shift :]
@@ -143,47 +159,43 @@ class PrefixTable:
 
 
 def text_encoder(vocabulary: Vocabulary, pattern: str, entries: int = CACHE_ENTRIES):
-    """Text to ids as little-endian 32-bit values; each match of ``pattern`` apart.
+    """Texts to ids as little-endian 32-bit values; each match of ``pattern`` apart.
 
     Texts are first cut where a blank follows a character that is none, where no
-    match can continue. These cuts repeat, so their ids are remembered.
+    match can continue. These cuts repeat, so their ids are remembered. New pieces
+    are taken in sorted order, so that each extends what it shares with the one before.
     """
     pieces = regex.compile(pattern)
     cuts = regex.compile(f"[{BLANKS}]*[^{BLANKS}]+|[{BLANKS}]+")
-    known: dict[str, bytes] = {}
-    encoded: dict[str, bytes] = {}
-
-    def encode_piece(piece: str) -> bytes:
-        ids = encoded.get(piece)
-        if ids is None:
-            tokens = _piece_ids(vocabulary, piece.encode("utf-8", "surrogatepass"))
-            ids = b"".join([token.to_bytes(4, "little") for token in tokens])
-            remember(encoded, piece, ids)
-        return ids
-
-    def encode_cut(cut: str) -> bytes:
-        ids = b"".join(map(encode_piece, pieces.findall(cut)))
-        remember(known, cut, ids)
-        return ids
-
-    def remember(cache: dict[str, bytes], key: str, ids: bytes) -> None:
-        if len(cache) >= entries:
-            cache.clear()
-        if len(key) <= 64:
-            cache[key] = ids
-
-    def encode(text: str) -> bytes:
-        get = known.get
-        return b"".join([get(cut) or encode_cut(cut) for cut in cuts.findall(text)])
+    young: dict[str, bytes] = {}
+    old: dict[str, bytes] = {}
+
+    def learn(new: set[str]) -> dict[str, bytes]:
+        parts = {cut: pieces.findall(cut) for cut in new}
+        raw = {piece: piece.encode("utf-8", "surrogatepass") for found in parts.values() for piece in found}
+        table, ids = PrefixTable(vocabulary), {}
+        for piece, data in sorted(raw.items(), key=lambda item: item[1]):
+            whole = vocabulary.ranks.get(data)
+            if whole is None:
+                table.move_to(data)
+            ids[piece] = array("I", table.ids() if whole is None else [whole]).tobytes()
+        return {cut: b"".join([ids[piece] for piece in found]) for cut, found in parts.items()}
+
+    def encode(texts: list[str]) -> list[bytes]:
+        nonlocal young, old
+        found = [cuts.findall(text) for text in texts]
+        here = set().union(*found)
+        known = {cut: old[cut] for cut in here & old.keys()}
+        known |= {cut: young[cut] for cut in here & young.keys()}
+        known |= learn(here - known.keys())
+        if len(young) >= entries:
+            young, old = {}, young
+        young |= {cut: ids for cut, ids in known.items() if len(cut) <= 64}
+        return [b"".join([known[cut] for cut in of_text]) for of_text in found]
 
     return encode
 
 
-def _piece_ids(vocabulary: Vocabulary, piece: bytes) -> list[int]:
-    whole = vocabulary.ranks.get(piece)
-    return [whole] if whole is not None else PrefixTable(vocabulary, piece).ids()
-
-
 def decode_ids(vocabulary: Vocabulary, ids: bytes) -> bytes:
     return b"".join(map(vocabulary.tokens.__getitem__, memoryview(ids).cast("I").tolist()))
 
@@ -208,8 +220,8 @@ def encode_decode(
         encode = text_encoder(vocabulary, pattern)
         for batch in batches:
             texts = [value or "" for value in batch.column(1).to_pylist()]
-            for low, high in groups(texts):
-                ids = [encode(value) for value in texts[low:high]]
+            for low, high in groups(texts, GROUP_CHARS):
+                ids = encode(texts[low:high])
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(low, high - low),

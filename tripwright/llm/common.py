@@ -77,3 +77,8 @@ def word_table(keep: bytes) -> bytes:
 
 # Words are runs of digits, a-z (A-Z lowered) and everything outside ASCII.
 WORDS = word_table(bytes(range(48, 58)) + bytes(range(97, 123)))
+
+
+def words_of(text: bytes) -> list[bytes]:
+    """Words of a UTF-8 text: runs of digits, a-z (A-Z lowered) and all outside ASCII."""
+    return text.translate(WORDS).split()

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwright.llm import bpe, fingerprints, secret_scan, sharding, toxicity
+from tripwright.llm import bpe, decontamination, fingerprints, minhash_join, secret_scan, sharding, suffix_dedup, toxicity
 from tripwright.llm.common import crc_mod, read
 
 TOXIC_FROM = 0.3
@@ -22,6 +22,11 @@ def toxic_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
     )
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = minhash_join.jaccard_join(read(spark, sf_dir, "documents"))
+    return joined.select("doc_id", "class_id", "n_links", "n_copies", "n_linked_texts")
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(read(spark, sf_dir, "documents"), toxic_model(spark, sf_dir))
     return scored.select(
@@ -48,6 +53,24 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe(spark, read(spark, sf_dir, "documents"))
 
 
+def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Benchmark windows in each document: n_words, n_hit and the items."""
+    index = decontamination.build_index(docs, decontamination.asked_terms(benchmark))
+    return decontamination.contamination(index, decontamination.search(index, benchmark))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(read(spark, sf_dir, "documents"))
 
@@ -67,6 +90,19 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, texts = suffix_dedup.dedup(read(spark, sf_dir, "documents"))
+    cut = texts.select("text_key", "n_removed", "n_spans", F.sha2("kept", 256).alias("cut_sha256"))
+    none = F.lit(0).cast("long")
+    return rows.join(cut, "text_key", "left").select(
+        "doc_id",
+        "n_bytes",
+        F.coalesce("n_removed", none).alias("n_removed"),
+        F.coalesce("n_spans", none).alias("n_spans"),
+        F.coalesce("cut_sha256", "same_sha256").alias("kept_sha256"),
+    )
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's slot and shard, and its shard once the last one has left."""
     docs = read(spark, sf_dir, "documents").select("doc_id", sharding.slot_of(F.col("doc_id")).alias("slot"))
@@ -75,9 +111,12 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_toxicity": op2_toxicity,
     "op4_byte_bpe": op4_byte_bpe,
+    "op6_decontamination": op6_decontamination,
     "op7_fingerprints": op7_fingerprints,
     "op8_secret_scan": op8_secret_scan,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_sharding": op10_sharding,
 }
