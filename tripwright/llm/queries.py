@@ -8,18 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwright.llm import bpe, decontamination, fingerprints, minhash_join, secret_scan, sharding, suffix_dedup, toxicity
+from tripwright.llm import bpe, brown_lm, decontamination, fingerprints, minhash_join, secret_scan, sharding, suffix_dedup, toxicity, url_filter
 from tripwright.llm.common import crc_mod, read
 
 TOXIC_FROM = 0.3
 
 
-def toxic_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+def toxic_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
     """Learned from the labelled documents that are not held out."""
     learned = F.coalesce(crc_mod("doc_id", 4) != 2, F.lit(False))
-    return toxicity.train(
-        read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), eligible=learned
-    )
+    return toxicity.train(docs, labels, eligible=learned)
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,7 +26,8 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = toxicity.score(read(spark, sf_dir, "documents"), toxic_model(spark, sf_dir))
+    docs = read(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxic_model(docs, read(spark, sf_dir, "labels")))
     return scored.select(
         "doc_id",
         F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out"),
@@ -37,12 +36,27 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def byte_bpe(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Token counts and digests of ids and decoded bytes, per document."""
+# The rules of the page table.
+URL_RULES = (
+    url_filter.Rule("org", "/", True),
+    url_filter.Rule("example.org", "/es/", False),
+    url_filter.Rule("example.org", "/en/1", False),
+    url_filter.Rule("com", "/fr/", True),
+    url_filter.Rule("com", "/de/", False),
+)
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read(spark, sf_dir, "pages"), URL_RULES)
+
+
+def byte_bpe(docs: DataFrame) -> DataFrame:
+    """Token ids, and the digests of ids and decoded bytes, per document."""
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     both = bpe.encode_decode(docs, ranks, public_tokenizers.PATTERN)
     return both.select(
         "doc_id",
+        "ids",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
@@ -50,12 +64,27 @@ def byte_bpe(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return byte_bpe(spark, read(spark, sf_dir, "documents"))
+    return byte_bpe(read(spark, sf_dir, "documents")).drop("ids")
+
+
+def op5_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(crc_mod("doc_id", 5) == 1, F.lit(False))
+    model, counts = brown_lm.train(docs.filter(~held_out).select("text"))
+    return brown_lm.score(docs, model, counts).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Benchmark windows in each document: n_words, n_hit and the items."""
-    index = decontamination.build_index(docs, decontamination.asked_terms(benchmark))
+def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Benchmark windows in each document: doc_id, n_words, n_hit and the items."""
+    index = decontamination.build_index(docs, decontamination.asked_terms(benchmark), id_col)
     return decontamination.contamination(index, decontamination.search(index, benchmark))
 
 
@@ -113,7 +142,9 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_toxicity": op2_toxicity,
+    "op3_url_filter": op3_url_filter,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_brown_lm": op5_brown_lm,
     "op6_decontamination": op6_decontamination,
     "op7_fingerprints": op7_fingerprints,
     "op8_secret_scan": op8_secret_scan,

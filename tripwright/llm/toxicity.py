@@ -22,12 +22,14 @@ ORDERS = (2, 3, 4, 5)
 BITS = 18
 # The model is fitted on at most this many labelled texts of each class, those
 # with the least hash of their id. Everything else covers all rows.
-FIT_ROWS = 10_000
+FIT_ROWS = 4_000
 # Features whose ratio is fewer standard errors than this from zero weigh nothing.
-LEAST_ERRORS = 4.0
+LEAST_ERRORS = 5.0
 SMOOTHING = 1.0
 RIDGE = 1e-3
-STEPS = 150
+# Tasks that count features; each returns two numbers per table place.
+COUNT_TASKS = 16
+STEPS = 100
 
 
 @dataclass
@@ -137,8 +139,8 @@ def train(
             )
 
     present, seen = np.zeros((2, size)), np.zeros(2)
-    # one row per partition, each of fixed size, a few at a time
-    for row in sample.coalesce(16).mapInArrow(count, "present binary, seen binary").toLocalIterator():
+    # one row of fixed size per partition
+    for row in sample.coalesce(COUNT_TASKS).mapInArrow(count, "present binary, seen binary").collect():
         present += np.frombuffer(row["present"], np.int32).reshape(2, size)
         seen += np.frombuffer(row["seen"], np.int64)
     share = (present + SMOOTHING) / (seen[:, None] + 2 * SMOOTHING)
@@ -160,7 +162,7 @@ def train(
     lists = fitted.column("places").combine_chunks()
     lengths = np.diff(np.asarray(lists.offsets))
     weights, bias = _logistic(
-        np.repeat(np.arange(len(marks)), lengths),
+        np.repeat(np.arange(len(marks), dtype=np.int32), lengths),
         np.asarray(lists.flatten()),
         ratio,
         marks,
@@ -172,6 +174,7 @@ def train(
 def _logistic(row, place, ratio, marks, weight) -> tuple[np.ndarray, float]:
     """Weighted logistic regression on ratio-scaled presence, by accelerated gradient."""
     names, at = np.unique(place, return_inverse=True)
+    at = at.astype(np.int32)
     scale = ratio[names]
     n, k = len(marks), len(names)
     weight = weight / weight.sum()
