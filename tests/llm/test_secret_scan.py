@@ -1,0 +1,93 @@
+import base64
+import gzip
+import re
+import urllib.parse
+import zlib
+
+import zstandard
+from pyspark.sql import functions as F
+
+from tripwright.llm import secret_scan
+
+SECRET = "password=abcdefgh123"
+
+
+def _b64(data):
+    return base64.b64encode(data if isinstance(data, bytes) else data.encode()).decode()
+
+
+def _found(text):
+    return [f[:4] for f in secret_scan.find_secrets(text)]
+
+
+def test_base_finds():
+    assert _found("TOKEN: 'abc' secret=12345678") == [("assign", 13, 28, 0)]
+    assert _found("é api_key := no") == []
+    assert _found("AKIA" + "A" * 12 + " AKIA12") == [("access", 0, 16, 0)]
+    assert _found("x" + "0123456789abcdef" * 2) == [("hex", 1, 33, 0)]
+    # a Kelvin sign is no k
+    assert _found("toKen=abcdefghij") == []
+    both = _found('token = "' + "a" * 40 + '"')
+    assert both == [("assign", 0, 49, 0), ("hex", 9, 49, 0)]
+
+
+def test_layers_map_to_the_given_text():
+    for data in (_b64(SECRET), _b64(gzip.compress(SECRET.encode())), _b64(zlib.compress(SECRET.encode())),
+                 _b64(zstandard.compress(SECRET.encode())), _b64("see " + _b64(SECRET))):
+        text = f"é {data} end"
+        assert [f[:3] for f in _found(text)] == [("assign", 2, 2 + len(data))], data
+    text = urllib.parse.quote("é " + SECRET)
+    assert [f[:3] for f in _found(text)] == [("assign", text.index("password"), len(text))]
+    escaped = "".join(f"\\u{ord(c):04x}" for c in SECRET)
+    assert [f[:3] for f in _found("a " + escaped)] == [("assign", 2, 2 + len(escaped))]
+    assert [f[:3] for f in _found("".join(f"&#{ord(c)};" for c in SECRET))][0][:2] == ("assign", 0)
+
+
+def test_partly_encoded_and_nested():
+    text = "go token%3Dabcdefgh99 ok"
+    assert _found(text) == [("assign", 3, 21, 1)]
+    twice = urllib.parse.quote(urllib.parse.quote("a " + SECRET))
+    assert _found(twice)[0][0::3] == ("assign", 2)
+
+
+def test_cycles_and_junk_end():
+    assert _found("%25" * 2000) == []
+    assert _found("A" * 50_000) == []
+    assert _found("\\ud800\\ud800 %FF%FE") == []
+    deep = SECRET
+    for _ in range(12):
+        deep = _b64(deep)
+    assert _found(deep)[0] == ("assign", 0, len(deep), 12)
+
+
+def test_rows(documents):
+    docs = documents((1, None), (2, ""), (None, SECRET), (3, SECRET), (3, SECRET)).withColumnRenamed("lang", "findings")
+    rows = secret_scan.scan(docs).collect()
+    assert [len(r["findings"]) for r in rows] == [0, 0, 1, 1, 1]
+    assert rows[2]["findings"][0]["value"] == SECRET
+    assert secret_scan.scan(documents()).count() == 0
+    text = secret_scan.span_list(F.col("findings"))
+    assert secret_scan.scan(docs).select(text.alias("t")).collect()[3]["t"] == "assign:0:20"
+
+
+def test_redaction(documents):
+    raw = 'a token = "' + "a" * 40 + '" b ' + _b64(SECRET) + "."
+    docs = documents((1, None), (2, ""), (3, "clean"), (4, raw))
+    assert [r["text"] for r in secret_scan.redact(docs).collect()] == [None, "", "clean", 'a [SECRET]" b [SECRET].']
+    assert secret_scan.redact(docs).columns == docs.columns
+
+
+def test_query_matches_plain_patterns(spark, sf_dir):
+    from tripwright.llm.queries import QUERIES
+
+    texts = dict(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect())
+    assign = re.compile(r"(?ai)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
+    for row in QUERIES["op8_secret_scan"](spark, sf_dir).collect():
+        text = texts[row["doc_id"]]
+        spans = [("assign", m) for m in assign.finditer(text) if len(m[2]) >= 8]
+        spans += [("access", m) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+        spans += [("hex", m) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+        for kind in secret_scan.KINDS:
+            assert row[f"n_{kind}"] == sum(k == kind for k, _ in spans)
+        listed = set(row["spans"].split(","))
+        assert all(f"{k}:{m.start()}:{m.end()}" in listed for k, m in spans)
