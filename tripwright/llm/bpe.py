@@ -10,7 +10,7 @@ table; an edit recomputes it from the edit until it agrees with the old one.
 from __future__ import annotations
 
 import base64
-import os
+import re
 from array import array
 from collections.abc import Iterator
 
@@ -23,8 +23,8 @@ from tripwright.llm.common import groups
 # The blanks of Unicode's White_Space property (fixed values). A piece of the
 # split pattern never runs from a character that is none into one that is.
 BLANKS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-# Encodings kept per task, so that frequent words are worked out once.
-CACHE_ENTRIES = 200_000
+# Encodings remembered in each of two generations, so that frequent words are worked out once.
+CACHE_ENTRIES = 300_000
 GROUP_CHARS = 1 << 22
 SEAM_ENTRIES = 500_000
 
@@ -111,7 +111,8 @@ class PrefixTable:
         piece, vocabulary = self.piece, self.vocabulary
         rank_of, seam, reach = vocabulary.ranks.get, vocabulary.seams.get, vocabulary.reach.get
         for end in range(len(last) + 1, stop + 1):
-            for start in range(max(0, end - reach(piece[max(0, end - 3) : end], 2)), end):
+            low = end - reach(piece[end - 3 : end] if end > 3 else piece[:end], 2)
+            for start in range(low if low > 0 else 0, end):
                 token = rank_of(piece[start:end])
                 if token is not None:
                     if not start:
@@ -125,7 +126,9 @@ class PrefixTable:
 
     def move_to(self, piece: bytes) -> None:
         """The table of another piece; entries of the common prefix stay."""
-        shared = len(os.path.commonprefix([self.piece, piece]))
+        shared, most = 0, min(len(self.piece), len(piece))
+        while shared < most and self.piece[shared] == piece[shared]:
+            shared += 1
         self.piece = piece[:shared]
         del self.last[shared:]
         self.append(piece[shared:])
@@ -166,9 +169,9 @@ def text_encoder(vocabulary: Vocabulary, pattern: str, entries: int = CACHE_ENTR
     are taken in sorted order, so that each extends what it shares with the one before.
     """
     pieces = regex.compile(pattern)
-    cuts = regex.compile(f"[{BLANKS}]*[^{BLANKS}]+|[{BLANKS}]+")
-    young: dict[str, bytes] = {}
-    old: dict[str, bytes] = {}
+    cuts = re.compile(f"[{BLANKS}]*[^{BLANKS}]+|[{BLANKS}]+")
+    known: dict[str, bytes] = {}
+    older: dict[str, bytes] = {}
 
     def learn(new: set[str]) -> dict[str, bytes]:
         parts = {cut: pieces.findall(cut) for cut in new}
@@ -182,16 +185,16 @@ def text_encoder(vocabulary: Vocabulary, pattern: str, entries: int = CACHE_ENTR
         return {cut: b"".join([ids[piece] for piece in found]) for cut, found in parts.items()}
 
     def encode(texts: list[str]) -> list[bytes]:
-        nonlocal young, old
+        nonlocal known, older
         found = [cuts.findall(text) for text in texts]
-        here = set().union(*found)
-        known = {cut: old[cut] for cut in here & old.keys()}
-        known |= {cut: young[cut] for cut in here & young.keys()}
-        known |= learn(here - known.keys())
-        if len(young) >= entries:
-            young, old = {}, young
-        young |= {cut: ids for cut, ids in known.items() if len(cut) <= 64}
-        return [b"".join([known[cut] for cut in of_text]) for of_text in found]
+        fresh = {cut for cut in set().union(*found) if cut not in known}
+        again = {cut: older[cut] for cut in fresh if cut in older}
+        known.update(again)
+        known.update(learn(fresh.difference(again)))
+        ids = [b"".join([known[cut] for cut in of_text]) for of_text in found]
+        if len(known) > entries:
+            known, older = {}, known
+        return ids
 
     return encode
 
@@ -200,6 +203,28 @@ def decode_ids(vocabulary: Vocabulary, ids: bytes) -> bytes:
     return b"".join(map(vocabulary.tokens.__getitem__, memoryview(ids).cast("I").tolist()))
 
 
+class Codec:
+    """Encoder and decoder of one vocabulary, made where they are first used.
+
+    Broadcast, one codec serves all tasks of a Python worker, with what it remembers.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str):
+        self.ranks, self.pattern, self.vocabulary = ranks, pattern, None
+
+    def __getstate__(self):
+        return {"ranks": self.ranks, "pattern": self.pattern, "vocabulary": None}
+
+    def ready(self) -> "Codec":
+        if self.vocabulary is None:
+            self.vocabulary = Vocabulary(self.ranks)
+            self.encode = text_encoder(self.vocabulary, self.pattern)
+        return self
+
+    def decode(self, ids: bytes) -> bytes:
+        return decode_ids(self.vocabulary, ids)
+
+
 def encode_decode(
     docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -211,22 +236,21 @@ def encode_decode(
     a vocabulary of fixed size, are broadcast; there is no shuffle.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(ranks)
+    shared = spark.sparkContext.broadcast(Codec(ranks, pattern))
     rows = docs.select(id_col, text)
     id_type = rows.schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(shared.value)
-        encode = text_encoder(vocabulary, pattern)
+        codec = shared.value.ready()
         for batch in batches:
             texts = [value or "" for value in batch.column(1).to_pylist()]
             for low, high in groups(texts, GROUP_CHARS):
-                ids = encode(texts[low:high])
+                ids = codec.encode(texts[low:high])
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(low, high - low),
                         pa.array(ids, pa.binary()),
-                        pa.array([decode_ids(vocabulary, value) for value in ids], pa.binary()),
+                        pa.array([codec.decode(value) for value in ids], pa.binary()),
                     ],
                     names=[id_col, "ids", "decoded"],
                 )
