@@ -155,8 +155,8 @@ def by_unit(rows: DataFrame, run_unit, schema: str, names: list[str]) -> DataFra
         held, unit, results = [], None, []
 
         def flush():
-            columns = [np.concatenate(parts) if len(parts) else [] for parts in zip(*results)] or [[]] * len(names)
-            return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=names)
+            columns = [[value for part in parts for value in part] for parts in zip(*results)] or [[]] * len(names)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
         for batch in batches:
             units = np.asarray(batch.column("unit"))
@@ -284,7 +284,7 @@ def verified_links(
                 for other in alike[group[alike] != group[one]].tolist():
                     group[group == group[other]] = group[one]
         heads = [ids[head] for head in group.tolist()]
-        return ids, heads, linked_sets, linked_docs
+        return ids, heads, linked_sets.tolist(), linked_docs.tolist()
 
     columns = units.select("unit", "set_id", "signature", "n_copies", "codes", "block", "cross")
     names = ["set_id", "head", "linked_sets", "linked_docs"]
