@@ -67,9 +67,15 @@ def grams(host: Column, path: Column) -> Column:
     """The n-grams of a URL, one for each character and one for its end, with the longest context."""
     body = F.filter(F.split(F.concat(host, path), ""), lambda c: c != "")
     chars = F.concat(F.array_repeat(F.lit("^"), ORDER), body, F.array(F.lit("$")))
-    return F.transform(
-        F.sequence(F.lit(1), F.size(chars) - ORDER), lambda at: F.array_join(F.slice(chars, at, ORDER + 1), "")
-    )
+
+    # the characters are bound once, and single ones taken, so that a long URL takes linear time
+    def all_of(c: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), F.size(c) - ORDER - 1),
+            lambda at: F.concat(*(F.get(c, at + ahead) for ahead in range(ORDER + 1))),
+        )
+
+    return F.get(F.transform(F.array(chars), all_of), 0)
 
 
 def learn(urls: DataFrame) -> DataFrame:
