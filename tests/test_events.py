@@ -62,7 +62,7 @@ def check(events, rows, **opts):
     assert lost.select("reason").distinct().count() <= 1
 
 
-@pytest.mark.parametrize("hot_rows", [1, 7, 10_000])
+@pytest.mark.parametrize("hot_rows", [1, 2, 7, 50, 10_000])
 @pytest.mark.parametrize("seed", [1, 2])
 def test_pairing_with_and_without_slices(spark, hot_rows, seed):
     rows = skewed(600, seed)
@@ -80,11 +80,21 @@ def test_slices_with_uneven_arrival(spark):
     check(make(spark, rows), rows, hot_rows=5)
 
 
-def test_slice_width_bounds_rows_and_slices(spark):
-    rows = [(E.START, "hot", i * 1000, i) for i in range(500)] + [(E.START, "cold", 7, 1)]
-    hot = E.hot_ids(make(spark, rows), "trip_id", "arrival", 50).collect()
-    assert [(r["hot_id"], r["low"]) for r in hot] == [("hot", 0)]
-    assert 500 * 1000 / hot[0]["width"] <= 500 / 50 + 1
+def test_slices_of_a_burst_are_even(spark):
+    # one early row and a burst, and more hot ids than one
+    rows = [(E.START, "hot", 0, 0)] + [(E.START, "hot", 10**9 + i, i) for i in range(1_000)]
+    rows += [(E.START, f"warm{i % 9}", 10_000 + i, i) for i in range(900)] + [(E.START, "cold", 7, 1)]
+    events = make(spark, rows)
+    hot = E.hot_ids(events, "trip_id", "arrival", 60, slices=16)
+    assert {r["hot_id"] for r in hot.collect()} == {"hot", *[f"warm{i}" for i in range(9)]}
+    sizes = (
+        events.join(hot, F.col("trip_id") == F.col("hot_id"))
+        .groupBy("hot_id", E.slice_number(F.col("arrival"), F.col("edges"), 16))
+        .count()
+        .groupBy("hot_id")
+        .agg(F.max("count").alias("most"), F.sum("count").alias("all"))
+    )
+    assert all(r["most"] <= 2 * r["all"] / 16 for r in sizes.collect())
 
 
 def test_unmatched_starts(spark):

@@ -70,24 +70,55 @@ def brute_topk(q, c, k):
     return out
 
 
-@pytest.mark.parametrize("limit", [R.MAX_QUERY_BYTES, 64])
+@pytest.mark.parametrize("limit", [R.MAX_QUERY_BYTES, 128])
 @pytest.mark.parametrize("k", [1, 5, 200])
-def test_topk_is_exact_on_both_paths(spark, monkeypatch, limit, k):
-    monkeypatch.setattr(R, "TILE_QUERIES", 4)
-    monkeypatch.setattr(R, "TILE_CORPUS", 30)
-    q, c, queries, corpus = vectors(spark, 11, 120)
+def test_topk_is_exact_in_one_block_and_in_many(spark, limit, k):
+    q, c, queries, corpus = vectors(spark, 4, 120)
     top = R.vector_topk(queries, corpus, k, max_query_bytes=limit)
     found = [(r["query_id"], r["rank"], r["id"], round(r["score"], 5), r["payload"]["source"]) for r in top.collect()]
-    assert len(found) == 11 * min(k, 120)
+    assert len(found) == 4 * min(k, 120)
     assert set(found) == brute_topk(q, c, k)
 
 
-@pytest.mark.parametrize("limit", [R.MAX_QUERY_BYTES, 64])
+@pytest.mark.parametrize("limit", [R.MAX_QUERY_BYTES, 128])
 def test_queries_taken_from_the_corpus(spark, limit):
     _, _, _, corpus = vectors(spark, 1, 60)
-    queries = corpus.filter("id >= 50").select(F.col("id").alias("query_id"), "vector")
+    queries = corpus.filter("id >= 54").select(F.col("id").alias("query_id"), "vector")
     top = R.vector_topk(queries, corpus, 1, max_query_bytes=limit).collect()
-    assert sorted((r["query_id"], r["id"]) for r in top) == [(i, i) for i in range(50, 60)]
+    assert sorted((r["query_id"], r["id"]) for r in top) == [(i, i) for i in range(54, 60)]
+
+
+def test_close_scores_null_and_odd_vectors(spark):
+    schema = "id bigint, vector array<float>, payload struct<source:string, text:string>"
+    near = spark.createDataFrame([(1, [1.0, 0.0009], ("a", "")), (2, [1.0, 0.0], ("b", "")), (3, None, ("c", ""))], schema)
+    queries = spark.createDataFrame([("q", [1.0, 0.0]), ("none", None)], "query_id string, vector array<float>")
+    assert [(r["query_id"], r["id"]) for r in R.vector_topk(queries, near, 1).collect()] == [("q", 2)]
+    odd = near.unionByName(spark.createDataFrame([(4, [1.0], ("d", ""))], schema))
+    with pytest.raises(Exception, match="id 4"):
+        R.vector_topk(queries, odd, 1).collect()
+
+
+def test_tokens_at_outer_blanks(spark):
+    docs = spark.createDataFrame([("a", "# A b\n"), ("b", "\n\t\n"), ("c", None), ("d", "\tx\u00a0y  z\n")], "source string, text string")
+    found = {r["source"]: (r["text"], r["token_count"]) for r in R.chunk_docs(docs).collect()}
+    assert found == {"a": ("# A b", 3), "d": ("x\u00a0y z", 2)}
+
+
+def test_cases_without_results_count(spark):
+    top = spark.createDataFrame(
+        [(1, 1, 10, 0.9, ("a.md", "first"))],
+        "query_id int, rank int, id bigint, score double, payload struct<source:string, text:string>",
+    )
+    cases = spark.createDataFrame(
+        [(1, "why?", "a.md", ["x"]), (2, "who?", "b.md", ["y"]), (3, "what?", "c.md", ["z"])],
+        "query_id int, question string, expected_source string, expected_keywords array<string>",
+    )
+    report = {r["query_id"]: (r["hit"], r["top_source"], r["sources"]) for r in R.eval_report(top, cases).collect()}
+    assert report == {1: (True, "a.md", ["a.md"]), 2: (False, None, []), 3: (False, None, [])}
+    prompts = {r["query_id"]: r["prompt"] for r in R.build_prompt(R.build_context(top), cases).collect()}
+    assert set(prompts) == {1, 2, 3} and "Context:\n\n\nQuestion: who?" in prompts[2]
+    answers = spark.createDataFrame([(1, None), (2, "no")], "query_id int, answer string")
+    assert tuple(R.answer_accuracy(answers, cases).first()) == (0, 3, 0.0)
 
 
 def test_topk_without_queries_or_points(spark):

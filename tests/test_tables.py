@@ -30,6 +30,8 @@ def test_snapshots(spark, tmp_path):
     assert [(r["snapshot_id"], r["row_count"]) for r in lake.table_history(spark, path).collect()] == [(1, 1), (2, 2)]
     assert [r["trip_id"] for r in lake.time_travel(spark, path, first).collect()] == ["a"]
     assert lake.time_travel(spark, path, 0).count() == 0
+    with pytest.raises(ValueError, match="no snapshot 99"):
+        lake.time_travel(spark, path, 99)
     current = lake.table_scan_versioned(spark, path)
     assert current.count() == 3 and current.schema.names == lake.COMPLETED_SCHEMA.names
 
@@ -102,6 +104,8 @@ def test_upsert_replaces_by_id(spark):
     old = spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, source string")
     new = spark.createDataFrame([(2, "c"), (3, "d")], "id bigint, source string")
     assert sorted(map(tuple, sinks.vector_upsert(old, new).collect())) == [(1, "a"), (2, "c"), (3, "d")]
+    twice = spark.createDataFrame([(3, "x", 2), (3, "y", 1), (2, "z", 1)], "id bigint, source string, at int")
+    assert sorted(map(tuple, sinks.vector_upsert(old, twice, "at").collect())) == [(1, "a"), (2, "z"), (3, "x")]
 
 
 def test_scratch_lies_in_the_shared_folder(spark):

@@ -61,8 +61,8 @@ ORPHAN_COLS = (
 
 # A trip id with more rows than this is cut into slices of its arrival order.
 HOT_ROWS = 1_000_000
-# Longest list of hot ids that is broadcast.
-MAX_HOT_IDS = 10_000
+# Slices of a hot id, of about equal numbers of rows.
+HOT_SLICES = 512
 # An interval-join slot spans this many windows.
 SLOT_WINDOWS = 4
 
@@ -133,6 +133,7 @@ def interval_join(
     end_time: str = "event_time",
     within: str = "2 hours",
     how: str = "inner",
+    matched: str | None = None,
 ) -> DataFrame:
     """Every start and end of one id with ``start <= end <= start + within``.
 
@@ -140,7 +141,8 @@ def interval_join(
     over as many groups as it has slots. A start lies in one slot. An end goes
     to each slot its possible starts lie in, which is its own and rarely the
     one before, so each pair meets exactly once. Works on batch and streaming
-    frames; ``left_outer`` keeps starts without an end.
+    frames; ``left_outer`` keeps starts without an end, and ``matched`` names a
+    column that tells whether there is one.
     """
     width = _window_seconds(within)
     slot_s = width * SLOT_WINDOWS
@@ -166,7 +168,8 @@ def interval_join(
     )
     sides = {"trip_id": "s_id"}
     sides |= {c: f"s_{c}" for c in START_COLS} | {c: f"e_{c}" for c in END_COLS}
-    return s.join(e, on, how).select(*[F.col(sides[c]).alias(c) for c in COMPLETED_COLS])
+    flag = [F.col("e_id").isNotNull().alias(matched)] if matched else []
+    return s.join(e, on, how).select(*[F.col(sides[c]).alias(c) for c in COMPLETED_COLS], *flag)
 
 
 def trip_halves(
@@ -176,26 +179,34 @@ def trip_halves(
     return events.filter(F.col(kind).isin(start, end))
 
 
-def hot_ids(events: DataFrame, id: str, arrival: str, hot_rows: int) -> DataFrame:
-    """Ids with more than ``hot_rows`` rows: first arrival and slice width.
+def hot_ids(events: DataFrame, id: str, arrival: str, hot_rows: int, slices: int = HOT_SLICES) -> DataFrame:
+    """Every id with more than ``hot_rows`` rows and the arrivals at which its slices start.
 
-    At most ``MAX_HOT_IDS`` rows, so the frame can be broadcast. An id beyond
-    them has at most one row in ``MAX_HOT_IDS`` and pairs unsliced.
+    The edges are quantiles of the id's arrivals, so a burst is cut as finely as
+    it is dense: a slice holds about one in ``slices`` of the id's rows.
     """
-    span = F.max(arrival) - F.min(arrival) + 1
-    return (
+    hot = (
         events.groupBy(F.col(id).alias("hot_id"))
-        .agg(F.count("*").alias("n"), F.min(arrival).alias("low"), span.alias("span"))
-        .filter(F.col("n") > hot_rows)
-        .orderBy(F.desc("n"), "hot_id")
-        .limit(MAX_HOT_IDS)
-        .select(
-            "hot_id",
-            "low",
-            F.greatest(
-                F.ceil(F.col("span").cast("double") * hot_rows / F.col("n")), F.lit(hot_rows)
-            ).alias("width"),
-        )
+        .agg(F.count("*").alias("n"))
+        .filter((F.col("n") > hot_rows) & F.col("hot_id").isNotNull())
+        .select("hot_id")
+    )
+    shares = F.array(*[F.lit(i / slices) for i in range(1, slices)])
+    edges = F.percentile_approx(arrival, shares, 10 * slices)
+    return (
+        events.join(hot, F.col(id) == F.col("hot_id"))
+        .groupBy("hot_id")
+        .agg(F.array_sort(F.array_distinct(edges)).alias("edges"))
+    )
+
+
+def slice_number(arrival: Column, edges: Column, slices: int = HOT_SLICES) -> Column:
+    """How many of the sorted ``edges`` lie at or before ``arrival``, by halving."""
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(slices.bit_length()))])
+    return F.aggregate(
+        steps,
+        F.lit(0),
+        lambda at, step: F.when(F.get(edges, at + step - 1) <= arrival, at + step).otherwise(at),
     )
 
 
@@ -209,14 +220,14 @@ def with_previous(
     """Adds ``prev``, the ``cols`` of the id's event before this one, and ``is_last``.
 
     Same as ``lag`` over the id by arrival, but a hot id does not land in one
-    task. Its arrival order is cut into slices, each slice is a window
-    partition of its own, and only the last row of each slice travels on to
-    the first row of the next. ``arrival`` is a unique, rising whole number
-    (log offset, event number), so a slice holds at most ``width`` rows. A row
-    without an id has no previous event and is its own last one.
+    task. Its arrival order is cut into slices of about equal size, each slice is
+    a window partition of its own, and only the last row of each slice travels on
+    to the first row of the next. ``arrival`` is a unique, rising whole number
+    (log offset, event number). A row without an id has no previous event and is
+    its own last one. Spark decides by size how the hot ids are joined.
     """
-    hot = F.broadcast(hot_ids(events, id, arrival, hot_rows))
-    slice_no = F.floor((F.col(arrival) - F.col("low")) / F.col("width"))
+    hot = hot_ids(events, id, arrival, hot_rows)
+    slice_no = slice_number(F.col(arrival), F.col("edges")).cast("long")
     tail = F.struct(F.col(arrival).alias("at"), *[F.col(c) for c in cols])
 
     tails = (
@@ -233,7 +244,10 @@ def with_previous(
     )
 
     rows = events.join(hot, F.col(id) == F.col("hot_id"), "left").withColumn(
-        "slice", F.coalesce(slice_no, F.when(F.col(id).isNull(), F.col(arrival)), F.lit(-1))
+        "slice",
+        F.when(F.col(id).isNull(), F.col(arrival))
+        .when(F.col("edges").isNotNull(), slice_no)
+        .otherwise(F.lit(-1)),
     )
     by_arrival = Window.partitionBy(id, "slice").orderBy(arrival)
     rows = rows.withColumns(

@@ -32,18 +32,18 @@ PROMPT = (
     "Answer:"
 )
 
-# Scores are compared at this many decimals, so copies of a vector tie exactly.
-SCORE_DECIMALS = 6
-# Query vectors up to this size are sent to every task; more are tiled.
+# Scores rank at full precision. This many decimals only drop the noise of double
+# arithmetic, so that copies of a vector tie exactly.
+SCORE_DECIMALS = 12
+# Query vectors are sent to the tasks in blocks of this size.
 MAX_QUERY_BYTES = 32 * 1024 * 1024
-# Rows per tile side when queries are tiled.
-TILE_QUERIES, TILE_CORPUS = 8_192, 20_000
 # Partial results of a query are merged in this many groups first.
 MERGE_GROUPS = 64
 
 
 def tokens(text: Column) -> Column:
-    return F.split(F.trim(text), r"\s+")
+    """Runs of characters that are no ASCII blanks."""
+    return F.regexp_extract_all(text, F.lit("([^ \\t\\n\\x0B\\f\\r]+)"), F.lit(1))
 
 
 def chunk_docs(
@@ -59,7 +59,7 @@ def chunk_docs(
     array is not copied once per window. A text without tokens gives none.
     """
     step = size - overlap
-    words = docs.filter(F.trim(text) != "").select(*keys, tokens(F.col(text)).alias("words"))
+    words = docs.select(*keys, tokens(F.col(text)).alias("words")).filter(F.size("words") > 0)
     starts = F.sequence(F.lit(0), F.size("words") - 1, F.lit(step))
     cuts = F.transform(starts, lambda at: F.slice("words", at + 1, size))
     return (
@@ -113,11 +113,17 @@ def _schema(queries: DataFrame, corpus: DataFrame) -> T.StructType:
             T.StructField("query_id", queries.schema["query_id"].dataType),
             T.StructField("id", corpus.schema["id"].dataType),
             T.StructField("score", T.DoubleType()),
-            T.StructField("payload", corpus.schema["payload"].dataType),
         ]
     )
 
 
+def _sized_vectors(rows: DataFrame, id_col: str, dim: int) -> DataFrame:
+    """Rows with a vector; one of another size than ``dim`` fails the job and names its id."""
+    wrong = F.raise_error(F.concat(F.lit(f"the vector has not {dim} values: {id_col} "), F.col(id_col).cast("string")))
+    checked = F.when(F.size("vector") == dim, F.col("vector")).otherwise(wrong)
+    return rows.filter(F.col("vector").isNotNull()).select(id_col, checked.alias("vector"))
+
+
 def _block_search(k: int, decimals: int):
     """The in-task part: best ``k`` of one corpus batch for a block of queries.
 
@@ -178,7 +184,7 @@ def _rank(partial: DataFrame, k: int) -> DataFrame:
     return (
         merged.withColumn("rank", F.row_number().over(final))
         .filter(F.col("rank") <= k)
-        .select("query_id", "rank", "id", "score", "payload")
+        .select("query_id", "rank", "id", "score")
     )
 
 
@@ -190,29 +196,45 @@ def vector_topk(
 ) -> DataFrame:
     """The ``k`` nearest corpus points per query by cosine, exact.
 
-    ``queries`` has ``query_id`` and ``vector``, ``corpus`` has ``id``,
-    ``vector`` and ``payload``. Equal scores rank by id; a zero vector scores 0.
-    The query matrix goes to every task while it is below ``max_query_bytes``;
-    the corpus is then read once, not shuffled, and each task gives at most
-    ``k`` rows per query. A larger query set is tiled against the corpus.
+    ``queries`` has ``query_id`` and ``vector``, ``corpus`` has ``id`` (unique),
+    ``vector`` and ``payload``. Equal scores rank by id; a zero vector scores 0. A
+    NULL vector takes no part on either side, and a vector of another size than
+    the first query's fails the job. Queries go to the tasks in blocks of
+    ``max_query_bytes``; per block the corpus is read once, not shuffled, and each
+    task gives at most ``k`` rows per query. Payloads join the final winners only.
     """
-    wanted = queries.select("query_id", "vector")
-    sample = wanted.select(F.size("vector").alias("dim")).first()
-    if sample is None:
-        return _rank(queries.sparkSession.createDataFrame([], _schema(queries, corpus)), k)
-    limit = max(1, max_query_bytes // (8 * max(1, sample["dim"])))
-    matrix = wanted.limit(limit + 1).toArrow()
-    if matrix.num_rows <= limit:
-        partial = _scan_topk(matrix, queries, corpus, k)
-    else:
-        partial = _tile_topk(wanted, queries, corpus, k)
-    return _rank(partial, k)
-
-
-def _scan_topk(matrix: pa.Table, queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
+    spark = corpus.sparkSession
     schema = _schema(queries, corpus)
+    wanted = queries.select("query_id", "vector").filter(F.col("vector").isNotNull())
+    sample = wanted.select(F.size("vector").alias("dim")).first()
+    partial = spark.createDataFrame([], schema)
+    if sample is not None:
+        dim = sample["dim"]
+        points = _sized_vectors(corpus, "id", dim)
+        for block in _query_blocks(_sized_vectors(wanted, "query_id", dim), max_query_bytes, dim):
+            partial = partial.unionByName(_scan_topk(block, points, schema, k))
+    return _rank(partial, k).join(corpus.select("id", "payload"), "id").select(
+        "query_id", "rank", "id", "score", "payload"
+    )
+
+
+def _query_blocks(wanted: DataFrame, size: int, dim: int) -> Iterator[pa.Table]:
+    """The queries as tables of bounded size, one at a time on the driver."""
+    rows = max(1, size // (8 * max(1, dim)))
+    kind = wanted.sparkSession.createDataFrame([], wanted.schema).toArrow().schema
+    held = []
+    for row in wanted.toLocalIterator():
+        held.append(row.asDict(recursive=True))
+        if len(held) == rows:
+            yield pa.Table.from_pylist(held, kind)
+            held = []
+    if held:
+        yield pa.Table.from_pylist(held, kind)
+
+
+def _scan_topk(matrix: pa.Table, corpus: DataFrame, schema: T.StructType, k: int) -> DataFrame:
     unit, keep_best, search = _block_search(k, SCORE_DECIMALS)
-    names = ["query_id", "id", "score", "payload"]
+    names = ["query_id", "id", "score"]
     shared = corpus.sparkSession.sparkContext.broadcast(
         (unit(matrix.column("vector")), matrix.column("query_id").combine_chunks())
     )
@@ -225,13 +247,7 @@ def _scan_topk(matrix: pa.Table, queries: DataFrame, corpus: DataFrame, k: int)
                 continue
             q, score, row = search(query_units, batch, floor)
             winners = pa.Table.from_arrays(
-                [
-                    pa.array(q),
-                    batch.column("id").take(pa.array(row)),
-                    pa.array(score),
-                    batch.column("payload").take(pa.array(row)),
-                ],
-                names=names,
+                [pa.array(q), batch.column("id").take(pa.array(row)), pa.array(score)], names=names
             )
             held = winners if held is None else pa.concat_tables([held, winners])
             ids = np.argsort(np.argsort(np.asarray(held.column("id")), kind="stable"))
@@ -245,61 +261,7 @@ def _scan_topk(matrix: pa.Table, queries: DataFrame, corpus: DataFrame, k: int)
             numbers = pa.array(np.asarray(held.column("query_id")))
             yield from held.set_column(0, "query_id", query_ids.take(numbers)).to_batches()
 
-    return corpus.select("id", "vector", "payload").mapInArrow(scan, schema)
-
-
-def _tile_topk(wanted: DataFrame, queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
-    """Query blocks against corpus blocks; every pair of blocks is one bounded group."""
-    schema = _schema(queries, corpus)
-    unit, _, search = _block_search(k, SCORE_DECIMALS)
-    q_blocks = -(-wanted.count() // TILE_QUERIES)
-    c_blocks = max(1, -(-corpus.count() // TILE_CORPUS))
-
-    def block(col, n):
-        return F.pmod(F.xxhash64(col), F.lit(n)).cast("int")
-
-    def every(n):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    # the vector gets its own name, as the queries may stem from the corpus frame
-    left = wanted.select(
-        "query_id",
-        F.col("vector").alias("query_vector"),
-        block("query_id", q_blocks).alias("q_block"),
-        every(c_blocks).alias("c_block"),
-    )
-    right = (
-        corpus.select("id", "vector", "payload")
-        .withColumn("c_block", block("id", c_blocks))
-        .withColumn("q_block", every(q_blocks))
-    )
-
-    def tile(left_tile, right_tile):
-        if not left_tile.num_rows or not right_tile.num_rows:
-            empty = pa.Table.from_batches([], schema=left_tile.schema)
-            return pa.Table.from_arrays(
-                [
-                    empty.column("query_id"),
-                    right_tile.column("id").slice(0, 0),
-                    pa.chunked_array([pa.array([], pa.float64())]),
-                    right_tile.column("payload").slice(0, 0),
-                ],
-                names=["query_id", "id", "score", "payload"],
-            )
-        q, score, row = search(unit(left_tile.column("query_vector")), right_tile)
-        rows = pa.array(row)
-        return pa.Table.from_arrays(
-            [
-                left_tile.column("query_id").take(pa.array(q)),
-                right_tile.column("id").take(rows),
-                pa.chunked_array([pa.array(score)]),
-                right_tile.column("payload").take(rows),
-            ],
-            names=["query_id", "id", "score", "payload"],
-        )
-
-    pair = ["q_block", "c_block"]
-    return left.groupBy(*pair).cogroup(right.groupBy(*pair)).applyInArrow(tile, schema)
+    return corpus.select("id", "vector").mapInArrow(scan, schema)
 
 
 def build_context(topk: DataFrame) -> DataFrame:
@@ -318,20 +280,27 @@ def build_context(topk: DataFrame) -> DataFrame:
 
 
 def build_prompt(contexts: DataFrame, questions: DataFrame) -> DataFrame:
-    """The prompt of each question around its context."""
-    both = contexts.join(questions.select("query_id", "question"), "query_id")
-    return both.select("query_id", F.format_string(PROMPT, "context", "question").alias("prompt"))
+    """The prompt of each question around its context; without results the context is empty."""
+    both = questions.select("query_id", "question").join(contexts, "query_id", "left")
+    context = F.coalesce("context", F.lit(""))
+    return both.select("query_id", F.format_string(PROMPT, context, F.col("question")).alias("prompt"))
 
 
 def eval_report(topk: DataFrame, cases: DataFrame) -> DataFrame:
-    """Per case: expected source, whether it was retrieved, and the first result."""
-    found = topk.join(cases.select("query_id", "expected_source"), "query_id").groupBy("query_id")
+    """Per case: expected source, whether it was retrieved, the first result and all sources by rank.
+
+    A case without results is no hit.
+    """
+    found = cases.select("query_id", "expected_source").join(topk, "query_id", "left").groupBy("query_id")
     source = F.col("payload.source")
+    # a case has at most k results
+    ranked = F.array_sort(F.collect_list(F.when(F.col("rank").isNotNull(), F.struct("rank", source.alias("source")))))
     return found.agg(
         F.first("expected_source").alias("expected_source"),
-        F.bool_or(source == F.col("expected_source")).alias("hit"),
+        F.coalesce(F.bool_or(source == F.col("expected_source")), F.lit(False)).alias("hit"),
         F.min_by(source, "rank").alias("top_source"),
         F.max("score").alias("top_score"),
+        F.transform(ranked, lambda r: r["source"]).alias("sources"),
     )
 
 
@@ -348,11 +317,18 @@ def _percent(rows: DataFrame, right: Column, name: str) -> DataFrame:
 
 
 def answer_keywords(answers: DataFrame, cases: DataFrame) -> DataFrame:
-    """Per case: whether every keyword occurs in the answer, case ignored, and the missing ones."""
-    low = F.lower("answer")
-    both = cases.join(answers, "query_id")
+    """Per case: whether every keyword occurs in the answer, case ignored, the missing and the found ones.
+
+    A NULL answer and a case without an answer count as empty answers.
+    """
+    return _scored_keywords(cases.join(answers, "query_id", "left"))
+
+
+def _scored_keywords(both: DataFrame) -> DataFrame:
+    low = F.lower(F.coalesce("answer", F.lit("")))
     missing = F.filter("expected_keywords", lambda word: ~F.contains(low, F.lower(word)))
-    return both.select("query_id", missing.alias("missing")).withColumn(
+    found = F.filter("expected_keywords", lambda word: F.contains(low, F.lower(word)))
+    return both.select("query_id", missing.alias("missing"), found.alias("found")).withColumn(
         "all_found", F.size("missing") == 0
     )
 

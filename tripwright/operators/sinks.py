@@ -57,6 +57,13 @@ def collection_info(spark: SparkSession, table: str) -> DataFrame:
     )
 
 
-def vector_upsert(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """``existing`` with the points of ``new`` added, or put in place of the same id."""
-    return existing.join(new.select("id"), "id", "left_anti").unionByName(new)
+def vector_upsert(existing: DataFrame, new: DataFrame, order: str | None = None) -> DataFrame:
+    """``existing`` with the points of ``new`` added, or put in place of the same id.
+
+    Of new points with one id the last by ``order`` stays, or the greatest row if
+    there is no such column, so an id has one point afterwards.
+    """
+    row = F.struct(*([order] if order else []), *[c for c in new.columns if c != order])
+    last = new.groupBy("id").agg(F.max(row).alias("row"))
+    points = last.select(*[F.col(f"row.{c}").alias(c) for c in existing.columns])
+    return existing.join(last.select("id"), "id", "left_anti").unionByName(points)

@@ -40,7 +40,7 @@ def run_pipeline(spark: SparkSession, raw: str | DataFrame, out_dir: str) -> Dat
     """
     trips = scan_raw(spark, raw) if isinstance(raw, str) else raw
     clean_dir = f"{out_dir}/clean"
-    clean_rows = sink_partitioned(clean_trips(trips), clean_dir)
+    clean_rows = sink_partitioned(clean_trips(trips), clean_dir, balance=True)
     stg = materialize(stg_trips(scan_partitioned(spark, clean_dir)), "stg_trips")
     steps = [("clean_trips", clean_rows, clean_dir), ("stg_trips", clean_rows, clean_dir)]
     marts = {}

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tripwright.functions import scalar as S
-from tripwright.operators import checks
-from tripwright.plans.queries import AS_OF_DATE, DAILY_BOUNDS, PAYMENT_BOUNDS, SAMPLE_ROWS
+# Fixed values of the checks; none is imported from the code under test.
+AS_OF_DATE = "1998-01-01"
+SAMPLE_ROWS = 1000
 
 KEY = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
 TRIP_ID = "md5(concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey))"
@@ -81,36 +81,23 @@ CLEAN = f"""{RAW}, clean AS (
 )"""
 CLEAN_COLS = f"* EXCLUDE ({KEY}, trip_id)"
 
-def _cases(pairs, default: str | None = None) -> str:
-    """A CASE over (condition, label) pairs."""
-    steps = " ".join(f"WHEN {cond} THEN '{label}'" for cond, label in pairs)
-    other = f" ELSE '{default}'" if default else ""
-    return f"CASE {steps}{other} END"
-
-
-LABEL = _cases((f"payment_type = {code}", label) for code, label in S.PAYMENT_LABELS.items())
-TIP_BUCKET = _cases(
-    [("tip_amount = 0", S.NO_TIP)]
-    + [(f"tip_amount / fare_amount < {upper}", label) for upper, label in S.TIP_BUCKETS],
-    S.TOP_TIP,
-)
-FARE_BUCKET = _cases(
-    [("fare_amount <= 0", S.NO_FARE)] + [(f"fare_amount < {upper}", label) for upper, label in S.FARE_BUCKETS],
-    S.TOP_FARE,
-)
-# audit column -> condition of a failing row
-FAILS = {
-    "bad_fare": "fare_amount <= 0",
-    "bad_payment": "payment_type NOT BETWEEN 1 AND 4",
-    "zero_dist_zero_fare": "trip_distance = 0 AND fare_amount <= 0",
-    "bad_timestamps": "tpep_pickup_datetime > tpep_dropoff_datetime",
-    "wrong_month": "month(tpep_pickup_datetime) NOT IN (1, 2)",
-}
-
-
-def _counts(conditions: dict[str, str]) -> str:
-    return ", ".join(f"count(*) FILTER (WHERE {cond}) AS {name}" for name, cond in conditions.items())
 
+# Payment labels, tip and fare buckets.
+LABEL = """CASE payment_type WHEN 0 THEN 'flex_fare' WHEN 1 THEN 'credit_card' WHEN 2 THEN 'cash'
+        WHEN 3 THEN 'no_charge' WHEN 4 THEN 'dispute' WHEN 5 THEN 'unknown' WHEN 6 THEN 'voided' END"""
+TIP_BUCKET = """CASE WHEN tip_amount = 0 THEN 'No tip' WHEN tip_amount / fare_amount < 0.1 THEN 'Under 10%'
+        WHEN tip_amount / fare_amount < 0.2 THEN '10-20%' WHEN tip_amount / fare_amount < 0.3 THEN '20-30%'
+        ELSE 'Over 30%' END"""
+FARE_BUCKET = """CASE WHEN fare_amount <= 0 THEN 'zero/negative' WHEN fare_amount < 5 THEN 'under $5'
+        WHEN fare_amount < 20 THEN '$5-$20' ELSE 'over $20' END"""
+# What the audit counts.
+AUDIT = """count(*) FILTER (WHERE fare_amount <= 0) AS bad_fare,
+    count(*) FILTER (WHERE payment_type NOT BETWEEN 1 AND 4) AS bad_payment,
+    count(*) FILTER (WHERE trip_distance = 0 AND fare_amount <= 0) AS zero_dist_zero_fare,
+    count(*) FILTER (WHERE tpep_pickup_datetime > tpep_dropoff_datetime) AS bad_timestamps,
+    count(*) FILTER (WHERE month(tpep_pickup_datetime) NOT IN (1, 2)) AS wrong_month"""
+DROPPED = """fare_amount <= 0 OR payment_type NOT BETWEEN 1 AND 4 OR (trip_distance = 0 AND fare_amount <= 0)
+    OR tpep_pickup_datetime > tpep_dropoff_datetime OR month(tpep_pickup_datetime) NOT IN (1, 2)"""
 
 STG = f"""{CLEAN}, stg AS (
     SELECT * EXCLUDE ({KEY}, trip_id, payment_type), {LABEL} AS payment_method FROM clean
@@ -217,8 +204,7 @@ SELECT 'trip_ended', trip_id, NULL, CAST(dropoff_datetime AS VARCHAR), NULL, dro
 FROM clean"""
 
 CHUNKS = r"""words AS (
-    SELECT doc_id, source, regexp_split_to_array(trim(text), '\s+') AS words
-    FROM documents WHERE trim(text) <> ''
+    SELECT doc_id, source, regexp_extract_all(text, '[^ \t\n\x0B\f\r]+') AS words FROM documents
 ), cuts AS (
     SELECT doc_id, source, words, unnest(range(0, len(words), 450)) AS low FROM words
 ), chunks AS (
@@ -236,11 +222,11 @@ TOPK = """means AS (
     SELECT label AS query_id, list(x ORDER BY pos) AS q FROM means GROUP BY 1
 ), scored AS (
     SELECT query_id, vec_id AS id, 'label_' || label AS source,
-        CAST(round(CAST(list_cosine_similarity(q, CAST(embedding AS DOUBLE[])) AS DECIMAL(20, 12)), 6)
-            AS DOUBLE) AS score
+        CAST(list_cosine_similarity(q, CAST(embedding AS DOUBLE[])) AS DECIMAL(20, 12)) AS exact,
+        CAST(round(exact, 6) AS DOUBLE) AS score
     FROM questions, embeddings
 ), top AS (
-    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS INT) AS rank,
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY exact DESC, id) AS INT) AS rank,
         id, score, source
     FROM scored
     QUALIFY rank <= 5
@@ -253,28 +239,30 @@ CONTEXTS = f"""{TOPK}, contexts AS (
     GROUP BY query_id
 )"""
 ANSWERS = r"""pairs AS (
-    SELECT u.conv_id, a.turn, lower(a.text) AS answer,
-        regexp_split_to_array(trim(lower(u.text)), '\s+')[1:2] AS words
-    FROM conversations u JOIN conversations a
-      ON u.conv_id = a.conv_id AND a.turn = u.turn + 1 AND u.role = 'user' AND a.role = 'assistant'
+    SELECT u.conv_id, u.turn + 1 AS turn, lower(coalesce(a.text, '')) AS answer,
+        regexp_extract_all(lower(u.text), '[^ \t\n\x0B\f\r]+') AS words
+    FROM conversations u LEFT JOIN conversations a
+      ON u.conv_id = a.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
+    WHERE u.role = 'user'
 ), judged AS (
-    SELECT conv_id, turn, list_filter(words, lambda w: NOT contains(answer, w)) AS missing FROM pairs
+    SELECT conv_id, turn, list_filter(words, lambda w: NOT contains(answer, w)) AS missing,
+        list_filter(words, lambda w: contains(answer, w)) AS found
+    FROM pairs
 )"""
 
 
-def _bounds(limits: dict, test: str) -> str:
-    return " OR ".join(test.format(name, *pair) for name, pair in limits.items())
-
+# Bounds that make some rows of the given tables fail.
+DAILY_BAD = """total_trips < 5 OR total_trips > 40 OR total_revenue < 200000 OR total_revenue > 2500000
+    OR avg_fare < 30000 OR avg_fare > 60000"""
+PAYMENT_BAD = """(payment_method = 'credit_card' AND (total_trips < 700 OR total_trips > 100000))
+    OR (payment_method = 'flex_fare' AND (total_trips < 0 OR total_trips > 900))
+    OR (payment_method = 'cash' AND (total_trips < 600 OR total_trips > 10000))"""
 
-_RANGE = "{0} < {1} OR {0} > {2}"
-_METHOD_RANGE = "(payment_method = '{0}' AND (total_trips < {1} OR total_trips > {2}))"
-DAILY_BAD = _bounds(DAILY_BOUNDS, _RANGE)
-PAYMENT_BAD = _bounds(PAYMENT_BOUNDS, _METHOD_RANGE)
-
-NOT_NULL_TESTS = "\nUNION ALL\n".join(
-    f"SELECT 'not_null_{c}' AS test, count(*) AS failures FROM stg WHERE {c} IS NULL"
-    for c in checks.NOT_NULL
-)
+NOT_NULL_TESTS = """SELECT 'not_null_pickup_datetime' AS test, count(*) AS failures FROM stg WHERE pickup_datetime IS NULL
+UNION ALL SELECT 'not_null_dropoff_datetime', count(*) FROM stg WHERE dropoff_datetime IS NULL
+UNION ALL SELECT 'not_null_fare_amount', count(*) FROM stg WHERE fare_amount IS NULL
+UNION ALL SELECT 'not_null_trip_distance', count(*) FROM stg WHERE trip_distance IS NULL
+UNION ALL SELECT 'not_null_payment_method', count(*) FROM stg WHERE payment_method IS NULL"""
 SUITE = f"""WITH {DAILY}, {SUMMARY[len(STG) + 2:]}, results AS (
 {NOT_NULL_TESTS}
 UNION ALL
@@ -292,8 +280,14 @@ UNION ALL
 SELECT 'payment_distribution_reasonable', count(*) FROM summary WHERE {PAYMENT_BAD}
 )
 SELECT test, failures, failures = 0 AS passed FROM results"""
-PRODUCTION_FAILING = f"(SELECT count(*) FROM daily WHERE {_bounds(checks.DAILY_BOUNDS, _RANGE)})"
-PAYMENT_FAILING = f"(SELECT count(*) FROM summary WHERE {_bounds(checks.PAYMENT_BOUNDS, _METHOD_RANGE)})"
+# The bounds of the models themselves.
+PRODUCTION_FAILING = """(SELECT count(*) FROM daily
+    WHERE total_trips < 20000 OR total_trips > 184000 OR total_revenue < 600000 OR total_revenue > 5900000
+       OR avg_fare < 15 OR avg_fare > 32)"""
+PAYMENT_FAILING = """(SELECT count(*) FROM summary
+    WHERE (payment_method = 'credit_card' AND (total_trips < 1640000 OR total_trips > 2700000))
+       OR (payment_method = 'flex_fare' AND (total_trips < 818000 OR total_trips > 1305000))
+       OR (payment_method = 'cash' AND (total_trips < 213000 OR total_trips > 365000)))"""
 
 TYPE_NAMES = """CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
     WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'VARCHAR' THEN 'string' END"""
@@ -453,8 +447,8 @@ FROM raw WHERE trip_distance = 0 AND fare_amount > 0 GROUP BY 1""",
 SELECT {FARE_BUCKET} AS fare_bucket, count(*) AS trip_count
 FROM raw WHERE trip_distance = 0 GROUP BY 1""",
         "quality_audit": f"""WITH {RAW}
-SELECT count(*) AS total_raw, {_counts(FAILS)},
-    count(*) FILTER (WHERE {" OR ".join(f"({cond})" for cond in FAILS.values())}) AS total_dropped
+SELECT count(*) AS total_raw, {AUDIT},
+    count(*) FILTER (WHERE {DROPPED}) AS total_dropped
 FROM raw""",
         "daily_revenue": f"WITH {DAILY} SELECT * FROM daily ORDER BY trip_date",
         "payment_summary": f"WITH {SUMMARY} SELECT * FROM summary ORDER BY pickup_month, total_trips DESC",
@@ -553,10 +547,11 @@ FROM hits""",
         "eval_report": f"""WITH {TOPK}
 SELECT query_id, 'label_' || query_id AS expected_source,
     bool_or(source = 'label_' || query_id) AS hit, min_by(source, rank) AS top_source,
-    max(score) AS top_score
+    max(score) AS top_score, string_agg(source, ',' ORDER BY rank) AS sources
 FROM top GROUP BY 1""",
         "answer_keywords": f"""WITH {ANSWERS}
-SELECT conv_id, turn, len(missing) = 0 AS all_found, coalesce(array_to_string(missing, ' '), '') AS missing
+SELECT conv_id, turn, len(missing) = 0 AS all_found, coalesce(array_to_string(missing, ' '), '') AS missing,
+    coalesce(array_to_string(found, ' '), '') AS found
 FROM judged""",
         "answer_accuracy": f"""WITH {ANSWERS}
 SELECT count(*) FILTER (WHERE len(missing) = 0) AS correct, count(*) AS total,

@@ -659,7 +659,8 @@ def embed_batch(spark, sf):
 
 def _label_topk(spark: SparkSession, sf: str) -> DataFrame:
     queries = _label_vectors(spark, sf).withColumnRenamed("label", "query_id")
-    return retrieval.vector_topk(queries, _points(spark, sf))
+    # ranked by the full score; the score shown is rounded
+    return retrieval.vector_topk(queries, _points(spark, sf)).withColumn("score", F.round("score", 6))
 
 
 @query
@@ -703,28 +704,27 @@ def recall_at_k(spark, sf):
 
 @query
 def eval_report(spark, sf):
-    return retrieval.eval_report(_label_topk(spark, sf), _cases(spark, sf))
+    report = retrieval.eval_report(_label_topk(spark, sf), _cases(spark, sf))
+    return report.withColumn("sources", F.array_join("sources", ","))
 
 
 def _answers(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """User turns with their first two words as keywords, and the assistant turn that follows."""
+    """User turns with their words as keywords, and the assistant turn that follows, if any does."""
     turns = table(spark, sf, "conversations")
-    asked = turns.filter(F.col("role") == "user").select(
-        "conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("question")
-    )
-    answered = turns.filter(F.col("role") == "assistant").select(
-        "conv_id", "turn", F.col("text").alias("answer")
+    key = F.struct("conv_id", "turn").alias("query_id")
+    asked = turns.filter(F.col("role") == "user").withColumn("turn", F.col("turn") + 1)
+    answered = turns.filter(F.col("role") == "assistant")
+    return (
+        answered.select(key, F.col("text").alias("answer")),
+        asked.select(key, retrieval.tokens(F.lower("text")).alias("expected_keywords")),
     )
-    pairs = asked.join(answered, ["conv_id", "turn"]).withColumn("query_id", F.struct("conv_id", "turn"))
-    words = F.slice(retrieval.tokens(F.lower("question")), 1, 2)
-    return pairs.select("query_id", "answer"), pairs.select("query_id", words.alias("expected_keywords"))
 
 
 @query
 def answer_keywords(spark, sf):
     out = retrieval.answer_keywords(*_answers(spark, sf))
-    missing = F.array_join("missing", " ").alias("missing")
-    return out.select("query_id.conv_id", "query_id.turn", "all_found", missing)
+    missing, found = (F.array_join(name, " ").alias(name) for name in ("missing", "found"))
+    return out.select("query_id.conv_id", "query_id.turn", "all_found", missing, found)
 
 
 @query

@@ -109,9 +109,15 @@ def table_history(spark: SparkSession, table: str) -> DataFrame:
 
 
 def time_travel(spark: SparkSession, table: str, snapshot_id: int) -> DataFrame:
-    """The table as it was at a snapshot."""
+    """The table as it was at a snapshot; 0 is before the first. An id never committed is an error."""
     if _in_catalog(table):
         return spark.sql(f"SELECT * FROM {table} VERSION AS OF {int(snapshot_id)}")
+    if snapshot_id and _log(spark, table).filter(F.col("snapshot_id") == snapshot_id).isEmpty():
+        raise ValueError(f"{table} has no snapshot {snapshot_id}")
+    return _up_to(spark, table, snapshot_id)
+
+
+def _up_to(spark: SparkSession, table: str, snapshot_id: int) -> DataFrame:
     schema = _declared(spark, table)
     if snapshot_id < 1:
         return spark.createDataFrame([], schema)
@@ -125,4 +131,4 @@ def table_scan_versioned(spark: SparkSession, table: str) -> DataFrame:
     """The current version of the table."""
     if _in_catalog(table):
         return spark.table(table)
-    return time_travel(spark, table, _latest(spark, table))
+    return _up_to(spark, table, _latest(spark, table))

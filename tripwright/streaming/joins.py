@@ -28,7 +28,7 @@ def stream_interval_join(events: DataFrame, within: str = "2 hours", delay: str
 def stream_unmatched(events: DataFrame, within: str = "2 hours", delay: str = "10 minutes") -> DataFrame:
     """Starts whose end did not come in time, once the watermark has passed their window."""
     starts, ends = _sides(events, delay)
-    joined = interval_join(starts, ends, within=within, how="left_outer")
-    return joined.filter(F.col("dropoff_datetime").isNull()).select(
+    joined = interval_join(starts, ends, within=within, how="left_outer", matched="matched")
+    return joined.filter(~F.col("matched")).select(
         "trip_id", "pickup_datetime", "pickup_location_id", "passenger_count"
     )
