@@ -41,6 +41,7 @@ class Vocabulary:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
+        self.by_rank = [self.tokens.get(rank, b"") for rank in range(max(self.tokens) + 1)]
         self.longest = max(map(len, ranks))
         self.seams: dict[int, bool] = {}
         # the longest token that ends in these bytes (three, or the whole of a shorter one)
@@ -172,17 +173,25 @@ def text_encoder(vocabulary: Vocabulary, pattern: str, entries: int = CACHE_ENTR
     cuts = re.compile(f"[{BLANKS}]*[^{BLANKS}]+|[{BLANKS}]+")
     known: dict[str, bytes] = {}
     older: dict[str, bytes] = {}
+    encoded: dict[str, bytes] = {}
 
     def learn(new: set[str]) -> dict[str, bytes]:
         parts = {cut: pieces.findall(cut) for cut in new}
-        raw = {piece: piece.encode("utf-8", "surrogatepass") for found in parts.values() for piece in found}
-        table, ids = PrefixTable(vocabulary), {}
-        for piece, data in sorted(raw.items(), key=lambda item: item[1]):
+        if len(encoded) > entries:
+            encoded.clear()
+        raw = {
+            piece.encode("utf-8", "surrogatepass"): piece
+            for found in parts.values()
+            for piece in found
+            if piece not in encoded
+        }
+        table = PrefixTable(vocabulary)
+        for data in sorted(raw):
             whole = vocabulary.ranks.get(data)
             if whole is None:
                 table.move_to(data)
-            ids[piece] = array("I", table.ids() if whole is None else [whole]).tobytes()
-        return {cut: b"".join([ids[piece] for piece in found]) for cut, found in parts.items()}
+            encoded[raw[data]] = array("I", table.ids() if whole is None else [whole]).tobytes()
+        return {cut: b"".join([encoded[piece] for piece in found]) for cut, found in parts.items()}
 
     def encode(texts: list[str]) -> list[bytes]:
         nonlocal known, older
@@ -200,7 +209,7 @@ def text_encoder(vocabulary: Vocabulary, pattern: str, entries: int = CACHE_ENTR
 
 
 def decode_ids(vocabulary: Vocabulary, ids: bytes) -> bytes:
-    return b"".join(map(vocabulary.tokens.__getitem__, memoryview(ids).cast("I").tolist()))
+    return b"".join(map(vocabulary.by_rank.__getitem__, memoryview(ids).cast("I").tolist()))
 
 
 class Codec:
