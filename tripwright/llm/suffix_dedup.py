@@ -295,7 +295,14 @@ def _repeats(stretches: DataFrame) -> DataFrame:
 
         def done(rows: list) -> pa.RecordBatch:
             units = np.array([r[0] for r in rows])
-            flags = repeated_strings([r[4] for r in rows], np.array([r[3] for r in rows]), units)
+            flags = [np.zeros(len(r[4]) - LENGTH + 1, bool) for r in rows]
+            # a stretch alone in its bucket has nothing to meet
+            _, number, members = np.unique(units, return_inverse=True, return_counts=True)
+            met = np.flatnonzero(members[number] > 1).tolist()
+            if met:
+                found = repeated_strings([rows[at][4] for at in met], np.array([rows[at][3] for at in met]), units[met])
+                for at, flag in zip(met, found):
+                    flags[at] = flag
             keys, lows, highs = [], [], []
             for row, flag in zip(rows, flags):
                 low, high = intervals(flag | (row[2] > 1))
