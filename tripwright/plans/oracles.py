@@ -502,7 +502,10 @@ SELECT *, NULL AS reason, 'completed' AS kind FROM ({COMPLETED} AND ts <= prev_t
 UNION ALL BY NAME SELECT *, 'orphan' AS kind
 FROM ({ORPHANS} OR (kind = 'trip_ended' AND ts > prev_ts + INTERVAL 2 HOUR))
 UNION ALL BY NAME SELECT trip_id, pickup_datetime, pickup_location_id, passenger_count, 'expired' AS kind
-FROM seen WHERE kind = 'trip_started' AND is_last AND ts + INTERVAL 2 HOUR < (SELECT max(ts) FROM seen)""",
+FROM seen WHERE kind = 'trip_started' AND is_last AND ts + INTERVAL 2 HOUR < (SELECT max(ts) FROM seen)
+UNION ALL BY NAME SELECT trip_id, prev_pickup_datetime AS pickup_datetime, prev_pickup_location_id AS pickup_location_id,
+    prev_passenger_count AS passenger_count, 'expired' AS kind
+FROM seen WHERE prev_kind = 'trip_started' AND ts > prev_ts + INTERVAL 2 HOUR""",
         "stream_health": HEALTH,
         # data tests and the chain
         "test_not_null": f"""WITH {RAW}

@@ -147,8 +147,9 @@ def stream_pairing_sink(
     """Pairs a stream batch by batch into Parquet folders below ``out``.
 
     ``completed`` and ``orphan`` hold the paired rows, ``expired`` the open
-    starts older than ``ttl`` (by ``event_time``), ``health`` one row of counts
-    per batch. Open starts pass from batch to batch through ``state``. Batch N
+    starts that no event followed within ``ttl`` (by ``event_time``), each once,
+    ``health`` one row of counts per batch and the latest event time so far. With
+    event times that rise with arrival the rows do not depend on the cut into batches. Open starts pass from batch to batch through ``state``. Batch N
     reads what batch N-1 wrote and replaces only its own folders, so a repeated
     batch gives the same result.
     """
@@ -159,6 +160,12 @@ def stream_pairing_sink(
         [f for f in events.schema if f.name in (*COMPLETED_COLS, "event_type", "event_time", "arrival")]
     )
 
+    time_type = events.schema["event_time"].dataType
+    health_schema = T.StructType(
+        [T.StructField(n, T.LongType()) for n in ("batch", "completed_trips", "orphaned_ends", "unmatched_starts")]
+        + [T.StructField("seen", time_type)]
+    )
+
     def pair(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         before = _state(spark, f"{state_dir}/slot={(batch_id - 1) % STATE_SLOTS}", carried)
@@ -167,11 +174,24 @@ def stream_pairing_sink(
         rows = before.unionByName(trip_halves(batch).select(*carried.names))
         resolved = resolve_events(rows, hot_rows=hot_rows, time="event_time", ttl=ttl)
         prior = {c: F.when(F.col("kind") == "completed", F.col(f"prev.{c}")) for c in START_COLS}
-        paired = resolved.filter(F.col("kind") != "closed").withColumns(
+        # a start whose next event comes too late has expired, whichever batch brings that event
+        lapsed = F.lit(False)
+        if ttl:
+            late = F.col("event_time") > F.col("prev.event_time") + F.expr(f"INTERVAL {ttl}")
+            lapsed = F.coalesce((F.col("prev.event_type") == START) & late, F.lit(False))
+        lost = F.when(F.col("lapsed"), F.struct(*[F.col(f"prev.{c}").alias(c) for c in START_COLS]))
+        marked = resolved.withColumn("lapsed", lapsed).withColumn("lost", lost)
+        paired = marked.filter((F.col("kind") != "closed") | F.col("lapsed")).withColumns(
             {c: F.coalesce(prior[c], F.col(c)) for c in START_COLS} | {"reason": F.lit(REASON)}
         )
         # four outputs read the pairing; the rows can be recomputed from the source
         held = paired.drop("prev", "is_last").persist()
+        try:
+            write_all(spark, held, batch_id)
+        finally:
+            held.unpersist()
+
+    def write_all(spark: SparkSession, held: DataFrame, batch_id: int) -> None:
         kind = F.col("kind")
         counts = held.agg(
             F.count_if(kind == "completed").alias("completed_trips"),
@@ -179,21 +199,23 @@ def stream_pairing_sink(
             F.count_if(kind == "open").alias("open"),
             F.max("event_time").alias("seen"),
         ).first()
+        earlier = _state(spark, health_dir, health_schema).filter(F.col("batch") < batch_id)
+        seen = [x for x in (counts["seen"], earlier.agg(F.max("seen")).first()[0]) if x is not None]
+        seen = max(seen) if seen else None
         write_kinds(held, completed_dir, orphan_dir, batch_id, max_records)
         still_open, unmatched = held.filter(kind == "open"), counts["open"]
         if ttl:
-            old = F.col("event_time") + F.expr(f"INTERVAL {ttl}") < F.lit(counts["seen"])
-            expired = still_open.filter(old)
-            write_batch(expired.select("trip_id", *START_COLS), expired_dir, batch_id, max_records)
+            old = F.col("event_time") + F.expr(f"INTERVAL {ttl}") < F.lit(seen).cast(time_type)
+            expired = still_open.filter(old).select("trip_id", *START_COLS)
+            expired = expired.unionByName(held.filter("lapsed").select("trip_id", "lost.*"))
+            write_batch(expired, expired_dir, batch_id, max_records)
             still_open = still_open.filter(~old)
         slot = f"{state_dir}/slot={batch_id % STATE_SLOTS}"
         still_open.select(*carried.names).write.mode("overwrite").parquet(slot)
         if ttl:
             unmatched = spark.read.schema(carried).parquet(slot).count()
-        health = [(batch_id, counts["completed_trips"], counts["orphaned_ends"], unmatched)]
-        names = "batch bigint, completed_trips bigint, orphaned_ends bigint, unmatched_starts bigint"
-        write_batch(spark.createDataFrame(health, names), health_dir, batch_id)
-        held.unpersist()
+        health = [(batch_id, counts["completed_trips"], counts["orphaned_ends"], unmatched, seen)]
+        write_batch(spark.createDataFrame(health, health_schema), health_dir, batch_id)
 
     return drain(events, pair, checkpoint, once)
 

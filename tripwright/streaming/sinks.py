@@ -57,8 +57,10 @@ def stream_batch_sink(
     def write(batch: DataFrame, batch_id: int) -> None:
         # two writes read the batch: keep it, or the stateful part would run twice
         held = batch.persist()
-        write_kinds(held, completed_dir, orphan_dir, batch_id, max_records)
-        held.unpersist()
+        try:
+            write_kinds(held, completed_dir, orphan_dir, batch_id, max_records)
+        finally:
+            held.unpersist()
 
     return drain(paired, write, checkpoint)
 
