@@ -375,6 +375,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple[
     anchored = _anchor_rows(long.select("text_key", "text"))
     # rows of equal texts count as well: what they hold stands in several places
     twice = anchored.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    # written, so that the join shuffles both sides itself and can split a hot anchor
+    twice = written(twice, "anchors")
     marked = (
         anchored.join(twice, "anchor", "left_semi")
         .groupBy("text_key")
