@@ -344,6 +344,8 @@ def jaccard_join(
             (F.coalesce("linked_docs", F.lit(0)) + F.col("n_copies") - 1).alias("n_links"),
         )
     )
+    # written, so that the join shuffles both sides itself and can split a set with very many copies
+    per_set = written(per_set, "classes")
     return sketched.select("row_key", "doc_id", "set_id").join(per_set, "set_id").drop("set_id")
 
 
