@@ -213,22 +213,11 @@ def decode_ids(vocabulary: Vocabulary, ids: bytes) -> bytes:
 
 
 class Codec:
-    """Encoder and decoder of one vocabulary, made where they are first used.
-
-    Broadcast, one codec serves all tasks of a Python worker, with what it remembers.
-    """
+    """Encoder and decoder of one vocabulary, with what it remembers."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks, self.pattern, self.vocabulary = ranks, pattern, None
-
-    def __getstate__(self):
-        return {"ranks": self.ranks, "pattern": self.pattern, "vocabulary": None}
-
-    def ready(self) -> "Codec":
-        if self.vocabulary is None:
-            self.vocabulary = Vocabulary(self.ranks)
-            self.encode = text_encoder(self.vocabulary, self.pattern)
-        return self
+        self.vocabulary = Vocabulary(ranks)
+        self.encode = text_encoder(self.vocabulary, pattern)
 
     def decode(self, ids: bytes) -> bytes:
         return decode_ids(self.vocabulary, ids)
@@ -245,12 +234,16 @@ def encode_decode(
     a vocabulary of fixed size, are broadcast; there is no shuffle.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(Codec(ranks, pattern))
+    shared = spark.sparkContext.broadcast({"ranks": ranks, "pattern": pattern})
     rows = docs.select(id_col, text)
     id_type = rows.schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = shared.value.ready()
+        # a worker keeps the broadcast dictionary between tasks, and so the codec in it
+        held = shared.value
+        if "codec" not in held:
+            held["codec"] = Codec(held["ranks"], held["pattern"])
+        codec = held["codec"]
         for batch in batches:
             texts = [value or "" for value in batch.column(1).to_pylist()]
             for low, high in groups(texts, GROUP_CHARS):

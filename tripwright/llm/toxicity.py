@@ -209,7 +209,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "te
     Only the text decides. Null reads as empty, and the empty text gets the score
     of a text without features. Whole texts; no shuffle.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
     rows = docs.select(id_col, text)
     id_type = rows.schema[0].dataType.simpleString()
 
@@ -217,7 +217,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "te
         for batch in batches:
             texts = [value or "" for value in batch.column(1).to_pylist()]
             for low, high in groups(texts):
-                found = text_scores(shared.value, texts[low:high])
+                found = text_scores(Model(*shared.value), texts[low:high])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(low, high - low), pa.array(found)], names=[id_col, "score"]
                 )
@@ -227,7 +227,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "te
 
 def keep_clean(docs: DataFrame, model: Model, threshold: float, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that score under ``threshold``, all columns as they are."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,7 +235,7 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float, text: str = "tex
         for batch in batches:
             texts = [value or "" for value in batch.column(at).to_pylist()]
             for low, high in groups(texts):
-                clean = pa.array(text_scores(shared.value, texts[low:high]) < threshold)
+                clean = pa.array(text_scores(Model(*shared.value), texts[low:high]) < threshold)
                 yield batch.slice(low, high - low).filter(clean)
 
     return docs.mapInArrow(run, schema)
