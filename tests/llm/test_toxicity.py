@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripwright.llm import toxicity
+from tripwright.llm.queries import TOXIC_FROM, toxic_model
 
 RUDE = ("blorfgit", "snazzwit")
 
@@ -81,3 +82,28 @@ def test_ineligible_labels_are_not_learned(spark, documents):
     one = toxicity.train(docs, _labels(spark, [(i, 1, y) for i, _, y in rows]), eligible=eligible)
     other = toxicity.train(docs, _labels(spark, [(i, 1, y if i % 2 == 0 else 1 - y) for i, _, y in rows]), eligible=eligible)
     assert np.allclose(one.weights, other.weights) and one.bias == pytest.approx(other.bias)
+
+
+def _recall(spark, name):
+    docs, labels = (spark.read.parquet(f"/root/testdata/{name}/{table}.parquet") for table in ("documents", "labels"))
+    scored = toxicity.score(docs, toxic_model(docs, labels)).join(labels, "doc_id").filter("toxic is not null")
+    rows = scored.select((F.col("score") >= TOXIC_FROM).alias("hit"), "toxic").collect()
+    return np.mean([r["hit"] for r in rows if r["toxic"] == 1]), np.mean([not r["hit"] for r in rows if r["toxic"] == 0])
+
+
+# of check_s, which takes minutes, the README has a sample's figures
+@pytest.mark.parametrize(("name", "least"), [("sf0.001", 0.7), ("sf0.01", 0.85)])
+def test_small_tables_find_toxic_texts(spark, name, least):
+    recall, spared = _recall(spark, name)
+    assert recall >= least and spared >= 0.95
+
+
+def test_rare_words_tell(spark, documents):
+    # each word is in 4 toxic texts of 60 and in no clean one
+    draw = random.Random(8)
+    words = [f"{a}xq{b}j{a}" for a in "bdfgh" for b in "klm"]
+    rows = [(i, " ".join(draw.choice(("la", "lo", "na", "no", "ti")) for _ in range(30))) for i in range(240)]
+    rows = [(i, f"{text} {words[i // 4 % 15]}" if i < 60 else text) for i, text in rows]
+    model = toxicity.train(documents(*rows), _labels(spark, [(i, 1, int(i < 60)) for i, _ in rows]))
+    scores = toxicity.text_scores(model, [f"la lo na {word} ti" for word in words] + ["la lo na ti ti"])
+    assert (scores[:-1] >= TOXIC_FROM).all() and scores[-1] < TOXIC_FROM

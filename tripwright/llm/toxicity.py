@@ -23,8 +23,6 @@ BITS = 18
 # The model is fitted on at most this many labelled texts of each class, those
 # with the least hash of their id. Everything else covers all rows.
 FIT_ROWS = 4_000
-# Features whose ratio is fewer standard errors than this from zero weigh nothing.
-LEAST_ERRORS = 5.0
 SMOOTHING = 1.0
 RIDGE = 1e-3
 # Tasks that count features; each returns two numbers per table place.
@@ -41,16 +39,13 @@ class Model:
         return 1.0 / (1.0 + np.exp(-np.clip(sums + self.bias, -500, 500)))
 
 
-def grams(texts: list[str], wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, table place) of the distinct n-grams of each text, sorted.
-
-    A-Z count as a-z. ``wanted`` (a flag per place) leaves out all other places early.
-    """
+def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, table place) of the distinct n-grams of each text, text by text. A-Z count as a-z."""
     joined = "".join(texts)
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
     codes = np.where((codes >= 65) & (codes <= 90), codes + np.uint32(32), codes)
-    ends = np.cumsum([len(text) for text in texts])
-    rows, places = [], []
+    # the places by order and start; what would cross the end of all texts gets none
+    places = np.zeros((len(ORDERS), len(codes)), np.int32)
     rolled = codes * np.uint32(0x9E3779B1)
     with np.errstate(over="ignore"):
         for order in range(2, max(ORDERS) + 1):
@@ -58,18 +53,20 @@ def grams(texts: list[str], wanted: np.ndarray | None = None) -> tuple[np.ndarra
                 break
             rolled = (rolled[:-1] ^ (rolled[:-1] >> np.uint32(15))) * np.uint32(0x85EBCA6B)
             rolled += codes[order - 1 :] * np.uint32(0x9E3779B1)
-            if order not in ORDERS:
-                continue
-            place = (rolled * np.uint32(0xC2B2AE35)) >> np.uint32(32 - BITS)
-            at = np.flatnonzero(wanted[place]) if wanted is not None else np.arange(len(place))
-            row = np.searchsorted(ends, at, side="right")
-            inside = at + order <= ends[row]
-            rows.append(row[inside])
-            places.append(place[at[inside]])
-    if not rows:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    keys = np.unique(np.concatenate(rows).astype(np.int64) << BITS | np.concatenate(places))
-    return keys >> BITS, keys & ((1 << BITS) - 1)
+            if order in ORDERS:
+                places[ORDERS.index(order), : len(rolled)] = (rolled * np.uint32(0xC2B2AE35)) >> np.uint32(32 - BITS)
+    last = np.zeros(1 << BITS, np.int32)
+    found, start = [], 0
+    for text in texts:
+        end = start + len(text)
+        place = np.concatenate([row[start : max(start, end - order + 1)] for order, row in zip(ORDERS, places)])
+        at = np.arange(len(place), dtype=np.int32)
+        # of equal places the one written last stays
+        last[place] = at
+        found.append(place[last[place] == at])
+        start = end
+    row = np.repeat(np.arange(len(texts)), [len(place) for place in found])
+    return row, np.concatenate(found) if found else np.zeros(0, np.int32)
 
 
 def fit_sample(labels: DataFrame, id_col: str, label: str, eligible: Column) -> tuple[list, np.ndarray]:
@@ -145,61 +142,70 @@ def train(
         seen += np.frombuffer(row["seen"], np.int64)
     share = (present + SMOOTHING) / (seen[:, None] + 2 * SMOOTHING)
     ratio = np.log(share[1]) - np.log(share[0])
-    error = np.sqrt(((1 - share) / (share * (seen[:, None] + 2 * SMOOTHING))).sum(axis=0))
-    useful = np.abs(ratio) >= LEAST_ERRORS * error
+    useful = present.any(axis=0)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, marks = batch.column(1).to_pylist(), batch.column(0)
             for low, high in groups(texts):
-                row, place = grams(texts[low:high], useful)
+                row, place = grams(texts[low:high])
                 cuts = np.searchsorted(row, np.arange(high - low + 1)).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array(place.astype(np.int32)))
+                lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array(place))
                 yield pa.RecordBatch.from_arrays([marks.slice(low, high - low), lists], names=["mark", "places"])
 
     fitted = sample.mapInArrow(features, "mark int, places array<int>").toArrow()
+    # the batches stay as they came, four bytes a feature of a text
     marks = np.asarray(fitted.column("mark")).astype(float)
-    lists = fitted.column("places").combine_chunks()
-    lengths = np.diff(np.asarray(lists.offsets))
-    weights, bias = _logistic(
-        np.repeat(np.arange(len(marks), dtype=np.int32), lengths),
-        np.asarray(lists.flatten()),
-        ratio,
-        marks,
-        scale[marks.astype(int)],
-    )
+    parts = [batch.column(1) for batch in fitted.to_batches() if len(batch)]
+    weights, bias = _logistic([(np.asarray(x.offsets), np.asarray(x.values)) for x in parts], ratio, marks, scale[marks.astype(int)])
     return Model(weights * ratio * useful, bias)
 
 
-def _logistic(row, place, ratio, marks, weight) -> tuple[np.ndarray, float]:
-    """Weighted logistic regression on ratio-scaled presence, by accelerated gradient."""
-    names, at = np.unique(place, return_inverse=True)
-    at = at.astype(np.int32)
-    scale = ratio[names]
-    n, k = len(marks), len(names)
+def _logistic(parts, ratio, marks, weight) -> tuple[np.ndarray, float]:
+    """Weighted logistic regression on ratio-scaled presence, by accelerated gradient.
+
+    ``parts`` have the places of the texts in order: where each text starts, and the places.
+    """
+    lengths = [np.diff(offsets) for offsets, _ in parts]
+    ends = np.cumsum([len(x) for x in lengths])
+
+    def sums(values: np.ndarray) -> np.ndarray:
+        """The sum of ``values`` over each text's places."""
+        out = np.zeros(len(marks))
+        for (offsets, places), length, end in zip(parts, lengths, ends):
+            some = np.flatnonzero(length)
+            if len(some):
+                held = values[places[offsets[0] : offsets[-1]]]
+                out[end - len(length) + some] = np.add.reduceat(held, offsets[some] - offsets[0])
+        return out
+
+    def spread(rest: np.ndarray) -> np.ndarray:
+        """The sum over each place's texts."""
+        out = np.zeros(len(ratio))
+        for (offsets, places), length, end in zip(parts, lengths, ends):
+            each = np.repeat(rest[end - len(length) : end], length)
+            out += np.bincount(places[offsets[0] : offsets[-1]], weights=each, minlength=len(ratio))
+        return out
+
     weight = weight / weight.sum()
-    w, b = np.ones(k) * 0.1, float(np.log(max(weight @ marks, 1e-9) / max(1 - weight @ marks, 1e-9)))
+    w, b = np.zeros(len(ratio)), float(np.log(max(weight @ marks, 1e-9) / max(1 - weight @ marks, 1e-9)))
     # a bound on the curvature: the longest row, scaled
-    squares = np.bincount(row, weights=scale[at] ** 2, minlength=n) + 1.0
-    step = 1.0 / (0.25 * float(weight @ squares) + RIDGE)
+    step = 1.0 / (0.25 * float(weight @ (sums(ratio**2) + 1.0)) + RIDGE)
     look_w, look_b, t = w, b, 1.0
     for _ in range(STEPS):
-        sums = np.bincount(row, weights=(look_w * scale)[at], minlength=n) + look_b
-        rest = weight * (1.0 / (1.0 + np.exp(-np.clip(sums, -500, 500))) - marks)
-        new_w = look_w - step * (np.bincount(at, weights=rest[row], minlength=k) * scale + RIDGE * look_w)
+        total = sums(look_w * ratio) + look_b
+        rest = weight * (1.0 / (1.0 + np.exp(-np.clip(total, -500, 500))) - marks)
+        new_w = look_w - step * (spread(rest) * ratio + RIDGE * look_w)
         new_b = look_b - step * rest.sum()
         new_t = (1 + np.sqrt(1 + 4 * t * t)) / 2
         look_w = new_w + (t - 1) / new_t * (new_w - w)
         look_b = new_b + (t - 1) / new_t * (new_b - b)
         w, b, t = new_w, new_b, new_t
-    out = np.zeros(len(ratio))
-    out[names] = w
-    return out, float(b)
+    return w, float(b)
 
 
 def text_scores(model: Model, texts: list[str]) -> np.ndarray:
-    wanted = model.weights != 0
-    row, place = grams(texts, wanted)
+    row, place = grams(texts)
     return model.score(np.bincount(row, weights=model.weights[place], minlength=len(texts)))
 
 
