@@ -1,6 +1,8 @@
+import pytest
+
 import corpus_pipeline
 from tripwright.llm import decontamination, secret_scan, toxicity
-from tripwright.llm.queries import toxic_model
+from tripwright.llm.queries import op2_toxicity, toxic_model
 
 
 def test_stages_apply_their_decisions(spark, sf_dir):
@@ -46,3 +48,13 @@ def test_odd_rows(documents, tmp_path, spark):
     assert sorted((r["doc_id"] or -1, r["n_tokens"] > 0) for r in out) == [(1, True), (2, False), (3, True)] or sorted(
         (r["doc_id"] or -1, r["n_tokens"] > 0) for r in out
     ) == [(-1, False), (1, True), (3, True)]
+
+
+@pytest.mark.parametrize("labels", [[], [(1, 1, 1), (2, 1, 1), (3, 1, 1), (4, 1, 1)], [(1, 1, 0), (3, 1, 0)], [(1, 1, 1), (90, 1, 0), (91, 1, 0)]])
+def test_without_both_classes_no_document_is_rejected(documents, tmp_path, spark, labels):
+    folder = str(tmp_path)
+    docs = documents(*[(i, f"text number {i}") for i in range(8)], (None, None))
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    assert corpus_pipeline.drop_toxic(spark, docs, folder).count() == 9
+    assert {r["predicted"] for r in op2_toxicity(spark, folder).collect()} == {0}

@@ -34,6 +34,7 @@ STEPS = 100
 class Model:
     weights: np.ndarray  # 2^BITS, ratio times coefficient
     bias: float
+    fitted: bool = True  # False: one class or no feature to learn from, so the score tells nothing
 
     def score(self, sums: np.ndarray) -> np.ndarray:
         return 1.0 / (1.0 + np.exp(-np.clip(sums + self.bias, -500, 500)))
@@ -101,16 +102,17 @@ def train(
 
     Rows without id or label, and labels other than 0 and 1, are left out; an id
     labelled twice counts as toxic if either label says so. Ids that ``docs`` has
-    not are no loss. With one class or none the score is the smoothed share of
-    toxic labels for every text.
+    not are no loss. With one class or none, or texts without n-grams, the model is
+    not ``fitted``: the score is the smoothed share of toxic labels for every text.
     """
     spark = docs.sparkSession
     picked, scale = fit_sample(labels, id_col, label, F.lit(True) if eligible is None else eligible)
     ones = sum(value for _, value in picked)
     size = 1 << BITS
+    share = (ones + 0.5) / (len(picked) + 1.0)
+    unfitted = Model(np.zeros(size), float(np.log(share / (1 - share))), False)
     if not 0 < ones < len(picked):
-        share = (ones + 0.5) / (len(picked) + 1.0)
-        return Model(np.zeros(size), float(np.log(share / (1 - share))))
+        return unfitted
     id_type = labels.schema[id_col].dataType.simpleString()
     wanted = spark.createDataFrame(picked, f"fit_id {id_type}, fit_label int")
     # at most 2 * FIT_ROWS ids: the texts are not shuffled to find them
@@ -140,6 +142,8 @@ def train(
     for row in sample.coalesce(COUNT_TASKS).mapInArrow(count, "present binary, seen binary").collect():
         present += np.frombuffer(row["present"], np.int32).reshape(2, size)
         seen += np.frombuffer(row["seen"], np.int64)
+    if not seen.all() or not present.any():
+        return unfitted
     share = (present + SMOOTHING) / (seen[:, None] + 2 * SMOOTHING)
     ratio = np.log(share[1]) - np.log(share[0])
     useful = present.any(axis=0)
@@ -232,7 +236,12 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "te
 
 
 def keep_clean(docs: DataFrame, model: Model, threshold: float, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that score under ``threshold``, all columns as they are."""
+    """The rows of ``docs`` that score under ``threshold``, all columns as they are.
+
+    A model that is not ``fitted`` rejects none.
+    """
+    if not model.fitted:
+        return docs
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
     schema = docs.schema
 
