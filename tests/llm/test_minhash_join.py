@@ -1,3 +1,4 @@
+import math
 import random
 from fractions import Fraction
 
@@ -125,3 +126,15 @@ def test_components(spark):
 def test_another_threshold(documents):
     rows = _rows(120, 5)
     assert _result(mj.jaccard_join(documents(*rows), Fraction(9, 10))) == sorted(_classes(rows, 0.9), key=repr)
+
+
+def test_pruning_loses_less_than_banding():
+    agree = 0.8 + 0.2 / 256
+    least = mj.least_matches(0.8, mj.TOLERANCE)
+    step = [math.comb(mj.LOOK, k) * agree**k * (1 - agree) ** (mj.LOOK - k) for k in range(mj.LOOK + 1)]
+    alive, lost = np.ones(1), 0.0
+    for seen in range(mj.LOOK, mj.VALUES + 1, mj.LOOK):
+        alive = np.convolve(alive, step)
+        lost += alive[: least[seen]].sum()
+        alive[: least[seen]] = 0
+    assert lost < 0.1 * (1 - agree**mj.BAND_VALUES) ** mj.BANDS
