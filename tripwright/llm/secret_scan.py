@@ -2,7 +2,8 @@
 
 A worklist starts with the text itself. Each layer on it is scanned; URL and
 Unicode escapes give one further layer with the escapes replaced, each base64
-run gives a layer of its own, decompressed if it holds a known compression.
+run gives layers of its own, one for each of the four places a payload in it may
+start at, decompressed where a known compression starts.
 Layers seen before are not taken again, so the list runs dry. Every layer keeps
 the original span of each of its characters, so a find maps to the given text.
 """
@@ -10,7 +11,6 @@ the original span of each of its characters, so a find maps to the given text.
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import lzma
@@ -48,6 +48,18 @@ BASE64_LEAST = 16
 BASE64_RUN = re.compile(
     r"(?:[A-Za-z0-9+/]{60,}\r?\n)+[A-Za-z0-9+/]+={0,2}|[A-Za-z0-9+/_-]{%d,}={0,2}" % BASE64_LEAST
 )
+# Lines of nothing but base64, indented or not; where such text is wrapped, all lines but the last are equally long.
+BASE64_LINES = re.compile(
+    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[\x20\t]*+\r?\n[\x20\t]*+[A-Za-z0-9+/_-]++)++={0,2}"
+)
+BASE64_LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+# Where a compressed stream may start inside of decoded bytes.
+MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|\x28\xb5\x2f\xfd|BZh[1-9]1AY|\xfd7zXZ\x00")
+# Bytes with neither a find nor anything to decode match none of these.
+FERTILE = re.compile(
+    rb"(?i:password|passwd|secret|token|api_?key)|AKIA|[0-9a-f]{32}|%%[0-9A-Fa-f]{2}|\\[ux]|&#|[A-Za-z0-9+/_-]{%d}" % BASE64_LEAST
+    + rb"|[A-Za-z0-9+/_-][\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_-]"
+)
 IS_BASE64 = bytes(
     b if chr(b).isalnum() and b < 128 or chr(b) in "+/_-" else 32 for b in range(256)
 )
@@ -137,33 +149,45 @@ def _unescape(found: re.Match) -> str:
 
 
 def _inflate(data: bytes) -> bytes | None:
-    """Decompressed by magic bytes; None if it is no such stream. May raise OverflowError."""
-    if data[:2] == b"\x1f\x8b":
-        stream = zlib.decompressobj(31)
-    elif data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2], "big") % 31 == 0:
-        stream = zlib.decompressobj(15)
-    elif data[:4] == b"\x28\xb5\x2f\xfd":
+    """Decompressed by magic bytes, all members in a row; None if it is no such stream. May raise OverflowError."""
+    parts, size = [], 0
+    while True:
+        if data[:2] == b"\x1f\x8b":
+            stream = zlib.decompressobj(31)
+        elif data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2], "big") % 31 == 0:
+            stream = zlib.decompressobj(15)
+        elif data[:4] == b"\x28\xb5\x2f\xfd":
+            stream = None
+        elif data[:3] == b"BZh":
+            stream = bz2.BZ2Decompressor()
+        elif data[:6] == b"\xfd7zXZ\x00":
+            stream = lzma.LZMADecompressor()
+        else:
+            break
+        most = MAX_LAYER_BYTES + 1 - size
         try:
-            with zstandard.ZstdDecompressor().stream_reader(data) as reader:
-                out = reader.read(MAX_LAYER_BYTES + 1)
-        except zstandard.ZstdError:
-            return None
-        if len(out) > MAX_LAYER_BYTES:
+            if stream is None:
+                stream = zstandard.ZstdDecompressor().decompressobj()
+                out = _unzstd(data, most)
+                if len(out) < most:
+                    stream.decompress(data)
+            else:
+                out = stream.decompress(data, most)
+        except (zlib.error, OSError, lzma.LZMAError, EOFError, zstandard.ZstdError):
+            break
+        parts.append(out)
+        size += len(out)
+        if size > MAX_LAYER_BYTES:
             raise OverflowError
-        return out
-    elif data[:3] == b"BZh":
-        stream = bz2.BZ2Decompressor()
-    elif data[:6] == b"\xfd7zXZ\x00":
-        stream = lzma.LZMADecompressor()
-    else:
-        return None
-    try:
-        out = stream.decompress(data, MAX_LAYER_BYTES + 1)
-    except (zlib.error, OSError, lzma.LZMAError, EOFError):
-        return None
-    if len(out) > MAX_LAYER_BYTES:
-        raise OverflowError
-    return out
+        # zeros may pad the end of a member
+        data = stream.unused_data.lstrip(b"\0") if stream.eof else b""
+    return b"".join(parts) if parts else None
+
+
+def _unzstd(data: bytes, most: int) -> bytes:
+    """The first frame, ``most`` bytes of it at most."""
+    with zstandard.ZstdDecompressor().stream_reader(data) as reader:
+        return reader.read(most)
 
 
 def _readable(data: bytes) -> str | None:
@@ -175,20 +199,51 @@ def _readable(data: bytes) -> str | None:
     return text if text and not re.search(r"[\x00-\x08\x0e-\x1f\x7f]", text) else None
 
 
-def _base64(run: str) -> Iterator[tuple[str, str]]:
-    """(step, text) of a base64 run; a compressed stream inside is undone, layer by layer."""
-    body = re.sub(r"[\r\n=]", "", run).replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        return
-    try:
-        data, step = base64.b64decode(body + "=" * (-len(body) % 4)), "base64"
-    except (binascii.Error, ValueError):
-        return
-    while (more := _inflate(data)) is not None:
-        data, step = more, f"{step}/inflate"
-    text = _readable(data)
-    if text is not None:
-        yield step, text
+def _opened(data: bytes, step: str) -> Iterator[tuple[str, str | None]]:
+    """(step, text) of decoded bytes and of the streams in them; no text where it would be too large."""
+    starts = [0, *(found.start() for found in MAGIC.finditer(data) if found.start())]
+    for start in starts:
+        inner, path = memoryview(data)[start:] if start else data, step
+        try:
+            while (more := _inflate(inner)) is not None:
+                inner, path = more, f"{path}/inflate"
+        except OverflowError:
+            yield path, None
+            continue
+        if (not start or path != step) and FERTILE.search(inner):
+            text = _readable(inner)
+            yield path, inner.decode("latin-1") if text is None else text
+
+
+def _base64(run: str) -> Iterator[tuple[str, str | None]]:
+    """(step, text) of a base64 run that may start at any of its characters.
+
+    Compressed streams inside are undone, layer by layer; bytes that are no clean
+    UTF-8 read as Latin-1, so that what stands between them is found.
+    """
+    body = re.sub(r"[\s=]", "", run).replace("-", "+").replace("_", "/")
+    for offset in range(4):
+        part = body[offset:]
+        part = part[: len(part) - (len(part) % 4 == 1)]
+        if len(part) >= BASE64_LEAST:
+            yield from _opened(base64.b64decode(part + "=" * (-len(part) % 4)), "base64")
+
+
+def _wrapped(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of two and more lines of base64: equally long, the last one not longer."""
+    for found in BASE64_LINES.finditer(text):
+        lines = [m.span() for m in BASE64_LINE.finditer(text, found.start(), found.end())]
+        first = 0
+        for at in range(1, len(lines) + 1):
+            width = lines[first][1] - lines[first][0]
+            ends = at == len(lines) or lines[at][1] - lines[at][0] > width
+            # a shorter line is the last of its block
+            if not ends and at > first + 1:
+                ends = lines[at - 1][1] - lines[at - 1][0] < width
+            if ends:
+                if at - first > 1:
+                    yield lines[first][0], lines[at - 1][1]
+                first = at
 
 
 def next_layers(layer: Layer) -> Iterator[Layer | tuple[int, int]]:
@@ -201,13 +256,20 @@ def next_layers(layer: Layer) -> Iterator[Layer | tuple[int, int]]:
         runs = [(m.start(), m.end(), _unescape(m)) for m in ESCAPE_RUN.finditer(layer.text)]
         if runs:
             yield layer.replaced(runs, "unicode")
+    runs = []
     if max(map(len, layer.raw.translate(IS_BASE64).split()), default=0) >= BASE64_LEAST:
-        for found in BASE64_RUN.finditer(layer.text):
-            try:
-                for step, text in _base64(found[0]):
-                    yield layer.inner(text, found.start(), found.end(), step)
-            except OverflowError:
-                yield layer.origin(found.start(), found.end())
+        runs = [found.span() for found in BASE64_RUN.finditer(layer.text)]
+    if b"\n" in layer.raw:
+        known = set(runs)
+        runs += [span for span in _wrapped(layer.text) if span not in known]
+    for start, end in runs:
+        for step, text in _base64(layer.text[start:end]):
+            yield layer.origin(start, end) if text is None else layer.inner(text, start, end, step)
+
+
+def _covered(out: list, kind: str, low: int, high: int, value: str) -> bool:
+    """Whether a run inside ``[low, high)`` gave the same value."""
+    return any(f[0] == kind and low <= f[1] and f[2] <= high and f[5] == value for f in out)
 
 
 def find_secrets(text: str) -> list[tuple[str, int, int, int, str, str]]:
@@ -215,7 +277,9 @@ def find_secrets(text: str) -> list[tuple[str, int, int, int, str, str]]:
 
     ``start`` and ``end`` are code points of the given text, ``layer`` counts the
     decodings (0: the text itself), ``path`` names them, ``value`` is what stands
-    in the layer. A find that maps to the kind and span of an outer one is left out.
+    in the layer. A find that maps to the kind and span of an outer one is left out;
+    in what a base64 run decodes to, where all finds have the run's span, only if
+    their values are equal as well.
     """
     out, spans, seen = [], set(), set()
     work = [(0, Layer(text))]
@@ -223,12 +287,16 @@ def find_secrets(text: str) -> list[tuple[str, int, int, int, str, str]]:
         depth, layer = work.pop(0)
         for kind, start, end in base_finds(layer.text, layer.raw):
             low, high = layer.origin(start, end)
-            if (kind, low, high) not in spans:
+            value = layer.text[start:end].encode("utf-8", "replace").decode()
+            in_run = "base64" in layer.path
+            if not (_covered(out, kind, low, high, value) if in_run else (kind, low, high) in spans):
                 spans.add((kind, low, high))
-                value = layer.text[start:end].encode("utf-8", "replace").decode()
                 out.append((kind, low, high, depth, layer.path, value))
         for inner in next_layers(layer):
             if isinstance(inner, tuple):
+                if ("oversize", *inner) in spans:
+                    continue
+                spans.add(("oversize", *inner))
                 out.append(("oversize", *inner, depth + 1, f"{layer.path}/base64", ""))
             elif (key := inner.key()) not in seen:
                 seen.add(key)
