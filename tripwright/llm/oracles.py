@@ -1,3 +1,89 @@
-"""DuckDB twins of the queries that SQL can express."""
+"""DuckDB twins of the queries that SQL can express, over the tables as views."""
 
-ORACLES: dict[str, str] = {}
+from __future__ import annotations
+
+from tripwright.llm import quality_rules
+
+
+def _quality_rules() -> str:
+    q = quality_rules
+    cutoffs = ", ".join(f"('{rule}', {cutoff}::DOUBLE)" for rule, held in q.CUTOFFS.items() for cutoff in held)
+    steps = ", ".join(f"({at}, {share}::DOUBLE)" for at, share in enumerate(q.STEPS))
+    return f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(lang, 'und') AS lang, coalesce(text, '') AS text FROM documents
+), split AS (
+  SELECT *, list_filter(string_split_regex(text, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words,
+    list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM texts
+), windows AS (
+  SELECT r, pos, array_to_string(words[pos:pos + {q.WINDOW - 1}], ' ') AS win
+  FROM (SELECT r, words, unnest(range(1, len(words) - {q.WINDOW - 2})) AS pos FROM split)
+), twins AS (
+  SELECT r, pos FROM windows QUALIFY count(*) OVER (PARTITION BY r, win) > 1
+), covered AS (
+  SELECT r, sum(least({q.WINDOW}, coalesce(later - pos, {q.WINDOW}))) AS n_repeat_words
+  FROM (SELECT r, pos, lead(pos) OVER (PARTITION BY r ORDER BY pos) AS later FROM twins) GROUP BY r
+), counted AS (
+  SELECT r, doc_id, lang, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+    length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    length(text) - length(replace(text, '!', '')) AS n_bangs,
+    length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) AS n_capitals,
+    len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM split LEFT JOIN covered USING (r)
+), measured AS (
+  SELECT *, n_symbols / greatest(n_words, 1) AS symbols_per_word, n_bangs / greatest(n_words, 1) AS bangs_per_word,
+    n_capitals / greatest(word_chars, 1) AS capitals_per_char, n_dup_lines / greatest(n_lines, 1) AS dup_line_share,
+    n_repeat_words / greatest(n_words, 1) AS repeat_share, word_chars / greatest(n_words, 1) AS chars_per_word
+  FROM counted
+), worst AS (
+  SELECT doc_id, min(quality) = 1 AS good FROM labels GROUP BY doc_id HAVING min(quality) IS NOT NULL
+), labelled AS (
+  SELECT measured.*, good, ('0x' || substr(md5(doc_id::VARCHAR), 1, 4))::BIGINT % {q.FOLDS} = 0 AS proposing
+  FROM measured JOIN worst USING (doc_id)
+), cutoffs(rule, cutoff) AS (VALUES {cutoffs}), steps(step, share) AS (VALUES {steps}),
+proposers AS (SELECT * FROM labelled WHERE proposing AND good),
+proposed AS (
+  UNPIVOT (SELECT r, {", ".join(q.CUTOFFS)} FROM proposers) ON {", ".join(q.CUTOFFS)} INTO NAME rule VALUE value
+), passing AS (
+  SELECT rule, cutoff, count(value) FILTER (value > cutoff) AS n FROM cutoffs LEFT JOIN proposed USING (rule) GROUP BY ALL
+), path AS (
+  SELECT step, rule, min(cutoff) AS cutoff FROM passing, steps, (SELECT count(*) AS total FROM proposers)
+  WHERE total > 0 AND n <= share * total GROUP BY ALL
+), every AS (
+  UNPIVOT (SELECT r, {", ".join(q.CUTOFFS)} FROM measured) ON {", ".join(q.CUTOFFS)} INTO NAME rule VALUE value
+), rejecting AS (
+  SELECT r, min(step) AS step FROM every JOIN path USING (rule) WHERE value > cutoff GROUP BY r
+), holdout AS (
+  SELECT lang, good, step FROM labelled LEFT JOIN rejecting USING (r) WHERE NOT proposing
+), own AS (
+  SELECT lang FROM holdout GROUP BY lang HAVING count(*) FILTER (good) >= {q.LEAST_LABELS}
+  ORDER BY count(*) FILTER (good) DESC, lang LIMIT {q.MAX_STRATA}
+), held AS (
+  SELECT coalesce(own.lang, '{q.POOLED}') AS stratum, good, step FROM holdout LEFT JOIN own ON holdout.lang = own.lang
+), tested AS (
+  SELECT stratum, steps.step, count(*) FILTER (good) AS n_good, count(*) FILTER (NOT good) AS n_bad,
+    count(*) FILTER (good AND held.step <= steps.step) AS good_out,
+    count(*) FILTER (NOT good AND held.step <= steps.step) AS bad_out
+  FROM held, steps WHERE steps.step IN (SELECT step FROM path) OR EXISTS (SELECT 1 FROM proposers) GROUP BY ALL
+), chances AS (
+  SELECT *, CASE WHEN good_out >= n_good * {q.RISK} THEN 1 ELSE list_sum(list_transform(range(0, good_out + 1), lambda i: exp(
+      lgamma(n_good + 1) - lgamma(i + 1) - lgamma(n_good - i + 1) + i * ln({q.RISK}) + (n_good - i) * ln(1 - {q.RISK})))) END AS chance,
+    (SELECT count(DISTINCT stratum) FROM held WHERE good) AS n_strata
+  FROM tested
+), taken AS (
+  SELECT stratum, arg_max(step, (bad_out / greatest(n_bad, 1) - good_out / n_good, -step)) AS step_taken
+  FROM (SELECT *, bool_and(chance <= {q.MISS} / n_strata) OVER (PARTITION BY stratum ORDER BY step) AS passed FROM chances)
+  WHERE passed GROUP BY stratum
+), judged AS (
+  SELECT measured.*, coalesce(own.lang, '{q.POOLED}') AS stratum, step,
+    n_words < {q.LEAST_WORDS} OR 100 * n_repeat_words > {q.MOST_REPEATED} * n_words AS base_failed
+  FROM measured LEFT JOIN own ON measured.lang = own.lang LEFT JOIN rejecting USING (r)
+)
+SELECT doc_id, {", ".join(f"{name}::BIGINT AS {name}" for name in q.COUNTS)}, base_failed,
+  NOT base_failed AND NOT coalesce(step <= step_taken, false) AS kept, stratum, step_taken::INTEGER AS step_taken
+FROM judged LEFT JOIN taken USING (stratum)"""
+
+
+ORACLES: dict[str, str] = {"op12_quality_rules": _quality_rules()}
