@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripwright.llm import quality_rules
+from tripwright.llm import quality_rules, spelling
 
 
 def _quality_rules() -> str:
@@ -86,4 +86,48 @@ SELECT doc_id, {", ".join(f"{name}::BIGINT AS {name}" for name in q.COUNTS)}, ba
 FROM judged LEFT JOIN taken USING (stratum)"""
 
 
-ORACLES: dict[str, str] = {"op12_quality_rules": _quality_rules()}
+def _spelling() -> str:
+    q = spelling
+    return f"""
+WITH table_of AS (  -- of CRC-32, by its polynomial
+  SELECT list(c ORDER BY i) AS crc FROM (
+    SELECT i, list_reduce(range(0, 8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS c
+    FROM range(0, 256) t(i))
+), runs AS (
+  SELECT coalesce(doc_id::VARCHAR, 'null') AS id,
+    translate(unnest(regexp_extract_all(text, '{q.RUN}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents
+), counted AS (
+  SELECT id, run, count(*) AS n, hex(encode(id || ':' || run)) AS bytes FROM runs WHERE length(run) >= {q.LEAST_CHARS} GROUP BY ALL
+), hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+    list_transform(range(0, length(bytes) // 2), lambda i: ('0x' || substr(bytes, (2 * i + 1)::BIGINT, 2))::BIGINT),
+    lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]), 4294967295)) AS h
+  FROM counted, table_of
+), words AS (
+  SELECT CASE WHEN h % {q.LOSING} = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word,
+    sum(n)::BIGINT AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= {q.LEAST_CHARS} AND sum(n) >= {q.LEAST_COUNT}
+), cut AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), pairs AS (  -- one replaced, or one more in the first word, then the other way round
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word
+), near AS (
+  SELECT word, count(*) AS n_near, max(other_n) AS most FROM pairs GROUP BY word
+), named AS (
+  SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= {q.TIMES} * n THEN most END AS form_n,
+    CASE WHEN most >= {q.TIMES} * n THEN (SELECT min(other) FROM pairs WHERE pairs.word = words.word AND other_n = most) END AS form
+  FROM words LEFT JOIN near USING (word)
+), chain AS (
+  WITH RECURSIVE steps AS (
+    SELECT word, word AS root, 0 AS step FROM named
+    UNION ALL SELECT steps.word, form, step + 1 FROM steps JOIN named ON steps.root = named.word WHERE form IS NOT NULL
+  ) SELECT word, arg_max(root, step) AS root FROM steps GROUP BY word
+)
+SELECT word, form, root, n, n_near, form_n FROM named JOIN chain USING (word)"""
+
+
+ORACLES: dict[str, str] = {"op12_quality_rules": _quality_rules(), "op13_spelling_variants": _spelling()}

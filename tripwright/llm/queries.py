@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwright.llm import bpe, brown_lm, decontamination, fingerprints, minhash_join, quality_rules, secret_scan, sharding, suffix_dedup, toxicity, url_filter
+from tripwright.llm import bpe, brown_lm, decontamination, fingerprints, minhash_join, quality_rules, secret_scan, sharding, spelling, suffix_dedup, toxicity, url_filter
 from tripwright.llm.common import crc_mod, read
 
 TOXIC_FROM = 0.3
@@ -145,6 +145,10 @@ def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "stratum", "step_taken")
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_toxicity": op2_toxicity,
@@ -157,4 +161,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_sharding": op10_sharding,
     "op12_quality_rules": op12_quality_rules,
+    "op13_spelling_variants": op13_spelling_variants,
 }
