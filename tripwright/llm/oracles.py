@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripwright.llm import quality_rules, spelling
+from tripwright.llm import collocations, quality_rules, spelling
 
 
 def _quality_rules() -> str:
@@ -130,4 +130,50 @@ WITH table_of AS (  -- of CRC-32, by its polynomial
 SELECT word, form, root, n, n_near, form_n FROM named JOIN chain USING (word)"""
 
 
-ORACLES: dict[str, str] = {"op12_quality_rules": _quality_rules(), "op13_spelling_variants": _spelling()}
+def _collocations() -> str:
+    q = collocations
+    exact = f"({q.SCALE}::HUGEINT * a * a) // (l::HUGEINT * r)"
+    return f"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS p, lang, piece FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents)
+), split AS (
+  SELECT p, lang, list_filter(string_split_regex(piece, '[ \\t]+'), lambda w: w <> '') AS words FROM pieces
+), placed AS (
+  SELECT p, lang, unnest(words) AS w1, unnest(range(1, len(words) + 1)) AS i FROM split
+), following AS (
+  SELECT lang, w1, lead(w1) OVER w AS w2, lead(w1, 2) OVER w AS w3 FROM placed WINDOW w AS (PARTITION BY p ORDER BY i)
+), grams AS (
+  SELECT lang, 1 AS size, w1 AS phrase FROM following
+  UNION ALL SELECT lang, 2, w1 || ' ' || w2 FROM following WHERE w2 IS NOT NULL
+  UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 FROM following WHERE w3 IS NOT NULL
+), f AS (
+  SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY ALL
+), candidates AS (
+  SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS words FROM f WHERE size > 1 AND f >= {q.LEAST_COUNT}
+), cuts AS (
+  SELECT lang, size, phrase, a, k, array_to_string(words[1:k], ' ') AS one, array_to_string(words[k + 1:], ' ') AS rest
+  FROM candidates, (VALUES (1), (2)) t(k) WHERE k < size
+), counted AS (
+  SELECT cuts.*, x.f AS l, y.f AS r FROM cuts
+  JOIN f x ON x.lang = cuts.lang AND x.phrase = one AND x.size = k
+  JOIN f y ON y.lang = cuts.lang AND y.phrase = rest AND y.size = cuts.size - k
+), least AS (
+  SELECT *, {exact} AS score FROM counted QUALIFY row_number() OVER (PARTITION BY lang, size, phrase ORDER BY {exact}, k) = 1
+), inside AS (
+  SELECT lang, pair, max(a) AS longer FROM (
+    SELECT lang, a, unnest([array_to_string(words[1:2], ' '), array_to_string(words[2:3], ' ')]) AS pair FROM candidates WHERE size = 3)
+  GROUP BY ALL
+), kept AS (
+  SELECT least.* FROM least LEFT JOIN inside ON inside.lang = least.lang AND pair = phrase AND size = 2
+  WHERE longer IS NULL OR 100 * longer < {q.COVERED} * a
+), totals AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= {q.TOP}"""
+
+
+ORACLES: dict[str, str] = {"op11_collocations": _collocations(), "op12_quality_rules": _quality_rules(), "op13_spelling_variants": _spelling()}

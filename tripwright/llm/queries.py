@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwright.llm import bpe, brown_lm, decontamination, fingerprints, minhash_join, quality_rules, secret_scan, sharding, spelling, suffix_dedup, toxicity, url_filter
+from tripwright.llm import bpe, brown_lm, collocations, decontamination, fingerprints, minhash_join, quality_rules, secret_scan, sharding, spelling, suffix_dedup, toxicity, url_filter
 from tripwright.llm.common import crc_mod, read
 
 TOXIC_FROM = 0.3
@@ -140,6 +140,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(placed, "doc_id", sharding.SHARDS[:-1], name="shard_after")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "stratum", "step_taken")
@@ -160,6 +164,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_sharding": op10_sharding,
+    "op11_collocations": op11_collocations,
     "op12_quality_rules": op12_quality_rules,
     "op13_spelling_variants": op13_spelling_variants,
 }
