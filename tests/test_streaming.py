@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from tests.test_events import brute, make, skewed
 from tripwright.operators import events as E
-from tripwright.streaming import joins, pairing
+from tripwright.sources import stream
+from tripwright.streaming import joins, pairing, progress
 from tripwright.streaming import sinks as S
 
 
@@ -95,6 +96,85 @@ def test_keyed_state_with_ttl_runs(spark, tmp_path):
     assert kinds == ["completed", "opened", "orphan"]
 
 
+def test_event_time_expiry_over_batches(spark, tmp_path):
+    rows = [(E.START, "late", 0, 0), (E.START, "lost", 1, 1), (E.START, "ok", 2, 60),
+            (E.END, "ok", 3, 120), (E.END, "late", 4, 121), (E.START, "new", 5, 130)]
+    for parts in (1, 2, 3, 6):
+        out = str(tmp_path / f"out{parts}")
+        paired = pairing.stream_pairing_expiring(stream_of(spark, rows, str(tmp_path / f"in{parts}"), parts), "2 hours")
+        S.stream_kinds_sink(paired, out, f"{out}-checkpoint").awaitTermination()
+        found = S.read_kinds(spark, paired, out).collect()
+        kinds = sorted((r["kind"], r["trip_id"]) for r in found if r["kind"] != "opened")
+        assert kinds == [("completed", "ok"), ("expired", "late"), ("expired", "lost"), ("orphan", "late")], parts
+
+
+def test_event_time_expiry_on_dense_ids(spark, tmp_path):
+    rows = [(k, t, a, a * 7) for k, t, a, _ in skewed(120, 15)]
+    results = []
+    for parts in (1, 5):
+        out = str(tmp_path / f"out{parts}")
+        paired = pairing.stream_pairing_expiring(stream_of(spark, rows, str(tmp_path / f"in{parts}"), parts), "1 hour")
+        S.stream_kinds_sink(paired, out, f"{out}-checkpoint").awaitTermination()
+        found = S.read_kinds(spark, paired, out).filter("kind <> 'opened'")
+        results.append(sorted(map(repr, found.drop("batch_id").collect())))
+    sliced = str(tmp_path / "sliced")
+    pairing.stream_pairing_sink(stream_of(spark, rows, str(tmp_path / "in"), 3), sliced, ttl="1 hour").awaitTermination()
+    counts = {k: spark.read.parquet(f"{sliced}/{k}").count() for k in ("completed", "orphan", "expired")}
+    assert results[0] == results[1]
+    assert {k: sum(f"kind='{k}'" in r for r in results[0]) for k in counts} == counts
+
+
+def test_repeated_batches_replace_themselves(spark, tmp_path):
+    rows = skewed(120, 16)
+    out = str(tmp_path / "out")
+    for attempt in range(2):
+        paired = pairing.stream_pairing(stream_of(spark, rows, str(tmp_path / f"in{attempt}"), 3))
+        # a new checkpoint numbers the batches from 0 again, as a repeated run of them would
+        S.stream_kinds_sink(paired, out, str(tmp_path / f"checkpoint{attempt}")).awaitTermination()
+        found = S.read_kinds(spark, paired, out).filter("kind = 'completed'")
+        assert pairs_of(found.collect()) == brute(rows)[0]
+
+
+def test_listener_hears_every_report(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    spark.range(150).repartition(150).write.parquet(folder)
+    files = sum(1 for _ in (tmp_path / "in").glob("part-*"))
+    assert files > 100
+    totals = progress.ProgressTotals("numbers")
+    spark.streams.addListener(totals)
+    try:
+        numbers = spark.readStream.schema("id bigint").option("maxFilesPerTrigger", 1).parquet(folder)
+        query = S.drain(progress.counted(numbers, "numbers"), lambda batch, _: batch.collect(), str(tmp_path / "checkpoint"))
+        assert totals.of(query) == {"rows": 150}
+        assert len(query.recentProgress) <= 100
+    finally:
+        spark.streams.removeListener(totals)
+
+
+def test_messages_keep_their_order_per_key(spark, tmp_path):
+    rows = skewed(400, 17)
+    out = str(tmp_path / "out")
+    events = stream_of(spark, rows, str(tmp_path / "in"), 3)
+    S.stream_kv_files(events, out, str(tmp_path / "checkpoint"), partitions=4).awaitTermination()
+    seen = {}
+    for file in sorted((tmp_path / "out").glob("batch_id=*/partition=*/*.parquet"), key=lambda f: f.parent.parent.name):
+        for r in spark.read.parquet(str(file)).collect():
+            seen.setdefault(r["key"], []).append((file.parent.name, r["position"]))
+    assert sum(map(len, seen.values())) == len(rows)
+    for places in seen.values():
+        assert len({folder for folder, _ in places}) == 1
+        assert [at for _, at in places] == sorted(at for _, at in places)
+
+
+def test_arrival_orders_all_partitions(spark):
+    rows = [("2024-01-01 00:00:00.000001", 5, 7), ("2024-01-01 00:00:00.000001", 5, 8), ("2024-01-01 00:00:00.000001", 6, 0),
+            ("2024-01-01 00:00:00.000002", 0, 10**15 - 1), ("2024-01-01 00:00:00.000002", 1, 0), ("9999-12-31 00:00:00", 99_999, 3)]
+    frame = spark.createDataFrame(rows, "t string, partition int, offset bigint")
+    order = stream.arrival_order(F.col("t").cast("timestamp"), F.col("partition"), F.col("offset"))
+    got = [r[0] for r in frame.select(order).collect()]
+    assert None not in got and got == sorted(set(got))
+
+
 def test_interval_join_over_batches(spark, tmp_path):
     rows = [(k, t, a, a * 3) for k, t, a, _ in skewed(300, 14)]
     events = stream_of(spark, rows, str(tmp_path / "in"))

@@ -81,6 +81,32 @@ def test_register_adds_and_reports(spark, tmp_path):
     assert catalog.catalog_register(spark, name, path, ["pickup_month"]).filter("change <> 'missing'").count() == 0
 
 
+def test_drift_of_types(spark, tmp_path):
+    path, name = str(tmp_path / "d"), "drift_test"
+    base = spark.range(4).select(F.col("id").cast("int").alias("a"), F.col("id").cast("bigint").alias("b"), F.lit("x").alias("c"))
+    base.write.parquet(f"{path}/month=1")
+    catalog.catalog_register(spark, name, path, ["month"])
+    base.select(F.col("a").cast("bigint") + 2**40, F.col("b").cast("int").alias("b"), F.lit(1.5).alias("d")).toDF("a", "b", "d").write.parquet(f"{path}/month=2")
+    base.withColumn("c", F.lit(1)).write.parquet(f"{path}/month=3")
+    base.write.parquet(f"{path}/month=4")
+    base.withColumn("a", F.lit("text")).write.mode("append").parquet(f"{path}/month=4")
+    drift = {tuple(r)[:3]: tuple(r)[3:] for r in catalog.schema_drift(spark, name, path, ["month"]).collect()}
+    assert drift == {
+        ("month=2", "a", "widened"): ("int", "bigint"),
+        ("month=2", "b", "narrowed"): ("bigint", "int"),
+        ("month=2", "c", "lost"): ("string", None),
+        ("month=2", "d", "added"): (None, "double"),
+        ("month=3", "c", "retyped"): ("string", "int"),
+        ("month=4", None, "conflict"): (None, None),
+    }
+    catalog.widen_table(spark, name, path, ["month"])
+    wide = spark.table(name).filter("month < 3")
+    assert dict(wide.dtypes)["a"] == "bigint" and dict(wide.dtypes)["b"] == "bigint"
+    assert [tuple(r) for r in wide.groupBy("month").agg(F.sum("a"), F.sum("b"), F.sum("d")).orderBy("month").collect()] == [
+        (1, 6, 6, None), (2, 6 + 4 * 2**40, 6, 6.0)
+    ]
+
+
 def test_documents_are_read_whole(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     (tmp_path / "a.md").write_text("one\n\ntwo\n", encoding="utf-8")
@@ -100,14 +126,6 @@ def test_vector_collection_keeps_size_and_metric(spark, tmp_path):
         sinks.vector_collection_replace(points, path, 3)
 
 
-def test_upsert_replaces_by_id(spark):
-    old = spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, source string")
-    new = spark.createDataFrame([(2, "c"), (3, "d")], "id bigint, source string")
-    assert sorted(map(tuple, sinks.vector_upsert(old, new).collect())) == [(1, "a"), (2, "c"), (3, "d")]
-    twice = spark.createDataFrame([(3, "x", 2), (3, "y", 1), (2, "z", 1)], "id bigint, source string, at int")
-    assert sorted(map(tuple, sinks.vector_upsert(old, twice, "at").collect())) == [(1, "a"), (2, "z"), (3, "x")]
-
-
 def test_scratch_lies_in_the_shared_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     one, two = scratch_dir(spark, "x"), scratch_dir(spark, "x")

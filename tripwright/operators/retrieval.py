@@ -79,6 +79,21 @@ def chunk_stats(chunks: DataFrame, keys: Sequence[str] = ("source",)) -> DataFra
     )
 
 
+def chunk_totals(chunks: DataFrame, keys: Sequence[str] = ("source",)) -> DataFrame:
+    """``chunk_stats`` of every document and of the whole corpus (``is_total``), from one pass.
+
+    The grouping sets are expanded before the partial sums, so the total is
+    combined in each task first. Without chunks there are no rows.
+    """
+    total = F.sum("token_count")
+    return chunks.groupingSets([list(keys), []], *keys).agg(
+        (F.grouping_id() > 0).alias("is_total"),
+        F.count("*").alias("chunks"),
+        total.alias("total_tokens"),
+        F.floor(total / F.count("*")).alias("avg_tokens"),
+    )
+
+
 def embed_batch(
     df: DataFrame,
     text_col: str = "text",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -16,9 +16,10 @@ def sink_partitioned(
     asks for evenly sized files instead; the rebalance splits a large month.
     """
     rows = df.hint("rebalance", F.col(partition_col)) if balance else df
-    rows.write.mode("overwrite").partitionBy(partition_col).parquet(path)
-    # the Parquet footers hold the counts, so no column is read again
-    return df.sparkSession.read.parquet(path).count()
+    # counted in the tasks that write, whose failed attempts don't count
+    counted = Observation()
+    rows.observe(counted, F.count("*").alias("n")).write.mode("overwrite").partitionBy(partition_col).parquet(path)
+    return counted.get["n"]
 
 
 def materialize(df: DataFrame, name: str, kind: str = "view", path: str | None = None) -> DataFrame:
@@ -55,15 +56,3 @@ def collection_info(spark: SparkSession, table: str) -> DataFrame:
     return points.agg(F.count("*").alias("points")).select(
         "points", F.lit(meta["dim"]).alias("dim"), F.lit(meta["metric"]).alias("metric")
     )
-
-
-def vector_upsert(existing: DataFrame, new: DataFrame, order: str | None = None) -> DataFrame:
-    """``existing`` with the points of ``new`` added, or put in place of the same id.
-
-    Of new points with one id the last by ``order`` stays, or the greatest row if
-    there is no such column, so an id has one point afterwards.
-    """
-    row = F.struct(*([order] if order else []), *[c for c in new.columns if c != order])
-    last = new.groupBy("id").agg(F.max(row).alias("row"))
-    points = last.select(*[F.col(f"row.{c}").alias(c) for c in existing.columns])
-    return existing.join(last.select("id"), "id", "left_anti").unionByName(points)

@@ -178,6 +178,9 @@ FROM seen WHERE kind = 'trip_ended' AND prev_kind = 'trip_started'"""
 ORPHANS = """SELECT trip_id, dropoff_datetime, fare_amount, tip_amount, payment_type, trip_distance,
     'missing_trip_started' AS reason
 FROM seen WHERE kind = 'trip_ended' AND prev_kind IS DISTINCT FROM 'trip_started'"""
+PAIRS = f"""WITH {PAIRED}
+SELECT *, NULL AS reason, 'completed' AS kind FROM ({COMPLETED})
+UNION ALL BY NAME SELECT *, 'orphan' AS kind FROM ({ORPHANS})"""
 HEALTH = f"""WITH {PAIRED}
 SELECT
     count(*) FILTER (WHERE kind = 'trip_ended' AND prev_kind = 'trip_started') AS completed_trips,
@@ -231,12 +234,33 @@ TOPK = """means AS (
     FROM scored
     QUALIFY rank <= 5
 )"""
-CONTEXTS = f"""{TOPK}, contexts AS (
-    SELECT query_id, string_agg('[Source ' || rank || ': ' || top.source || ' (similarity: '
+# every chunk and question as slots with counts; the score is the cosine of the counts
+SEARCH = f"""{CHUNKS}, chunk_slots AS (
+    SELECT doc_id || '-' || chunk_index AS id, ('0x' || substr(md5(word), 1, 8))::BIGINT % 384 AS slot, count(*) AS n
+    FROM (SELECT doc_id, chunk_index, unnest(string_split(lower(text), ' ')) AS word FROM chunks) GROUP BY ALL
+), question_slots AS (
+    SELECT item_id, ('0x' || substr(md5(word), 1, 8))::BIGINT % 384 AS slot, count(*) AS n
+    FROM (SELECT item_id, unnest(regexp_extract_all(lower(text), '[^ \\t\\n\\x0B\\f\\r]+')) AS word FROM benchmark) GROUP BY ALL
+), chunk_norms AS (SELECT id, sqrt(sum(n * n)) AS norm FROM chunk_slots GROUP BY id),
+question_norms AS (SELECT item_id, sqrt(sum(n * n)) AS norm FROM question_slots GROUP BY item_id),
+products AS (
+    SELECT item_id, id, sum(q.n * c.n) AS product FROM question_slots q JOIN chunk_slots c USING (slot) GROUP BY ALL
+), likeness AS (
+    SELECT item_id AS query_id, id, CAST(product / (q.norm * c.norm) AS DECIMAL(20, 12)) AS exact
+    FROM products JOIN chunk_norms c USING (id) JOIN question_norms q USING (item_id)
+), found AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY exact DESC, id) AS INT) AS rank, id,
+        CAST(round(exact, 6) AS DOUBLE) AS score
+    FROM likeness QUALIFY rank <= 5
+), searched AS (
+    SELECT query_id, rank, id, score, source, chunk_index, token_count, text
+    FROM found JOIN chunks ON id = doc_id || '-' || chunk_index
+)"""
+CONTEXTS = f"""{SEARCH}, contexts AS (
+    SELECT query_id, string_agg('[Source ' || rank || ': ' || source || ' (similarity: '
         || CAST(CAST(round(CAST(score AS DECIMAL(18, 6)), 3) AS DECIMAL(18, 3)) AS VARCHAR) || ')]' || chr(10)
-        || coalesce(documents.text, ''), chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY rank) AS context
-    FROM top LEFT JOIN documents ON doc_id = id
-    GROUP BY query_id
+        || text, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY rank) AS context
+    FROM searched GROUP BY query_id
 )"""
 ANSWERS = r"""pairs AS (
     SELECT u.conv_id, u.turn + 1 AS turn, lower(coalesce(a.text, '')) AS answer,
@@ -323,22 +347,17 @@ FROM (SELECT unnest([['tip_pct', 'added'], ['pickup_hour', 'missing']]) AS chang
         # sinks and table writes
         "sink_partitioned": f"WITH {CLEAN} SELECT {CLEAN_COLS} FROM clean",
         "materialize": f"WITH {SUMMARY} SELECT * FROM summary",
-        "stream_kv_sink": f"""WITH {CLEAN}
-SELECT trip_id AS key, CAST(to_json({{'event_type': 'trip_started', 'trip_id': trip_id,
-    'pickup_datetime': CAST(pickup_datetime AS VARCHAR), 'pickup_location_id': pickup_location_id,
-    'passenger_count': passenger_count}}) AS VARCHAR) AS value
-FROM clean
-UNION ALL
-SELECT trip_id, CAST(to_json({{'event_type': 'trip_ended', 'trip_id': trip_id,
-    'dropoff_datetime': CAST(dropoff_datetime AS VARCHAR), 'dropoff_location_id': dropoff_location_id,
-    'fare_amount': fare_amount, 'tip_amount': tip_amount, 'payment_type': payment_type,
-    'trip_distance': trip_distance}}) AS VARCHAR)
-FROM clean""",
+        "stream_kv_sink": f"""WITH {EVENTS}
+SELECT trip_id AS key, CAST(CASE kind WHEN 'trip_started' THEN to_json({{'event_type': kind, 'trip_id': trip_id,
+    'pickup_datetime': pickup_datetime, 'pickup_location_id': pickup_location_id, 'passenger_count': passenger_count}})
+    ELSE to_json({{'event_type': kind, 'trip_id': trip_id, 'dropoff_datetime': dropoff_datetime,
+    'dropoff_location_id': dropoff_location_id, 'fare_amount': fare_amount, 'tip_amount': tip_amount,
+    'payment_type': payment_type, 'trip_distance': trip_distance}}) END AS VARCHAR) AS value,
+    CAST(row_number() OVER (PARTITION BY trip_id ORDER BY event_id) AS INT) AS nth
+FROM trips WHERE kind IN ('trip_started', 'trip_ended')""",
         "stream_print_sink": f"""WITH {EVENTS}
 SELECT count(*) AS rows_printed FROM trips WHERE kind = 'trip_started'""",
-        "stream_batch_sink": f"""WITH {EVENTS}
-SELECT CASE kind WHEN 'trip_started' THEN 'completed' ELSE 'orphan' END AS kind, trip_id, dropoff_datetime
-FROM trips WHERE kind IN ('trip_started', 'trip_ended')""",
+        "stream_batch_sink": PAIRS,
         "table_create": f"WITH {CLEAN} SELECT count(*) AS total_rows FROM clean",
         "table_append": f"""WITH {CLEAN}
 SELECT CAST(payment_type AS INT) AS payment_type, count(*) AS total_trips,
@@ -352,11 +371,18 @@ SELECT CAST(n AS BIGINT) AS snapshot_id, count(*) AS total_rows
 FROM clean JOIN (SELECT unnest([1, 2]) AS n) ON pickup_month <= n GROUP BY 1""",
         "vector_collection_replace": """SELECT count(*) AS points,
     CAST(max(len(embedding)) AS INT) AS dim, 'cosine' AS metric FROM embeddings""",
-        "vector_upsert": """WITH new AS (
-    SELECT label, unnest([min(vec_id), -min(vec_id) - 1]) AS id FROM embeddings GROUP BY label
+        "vector_upsert": """WITH lowest AS (
+    SELECT label, min(vec_id) AS low, list_reverse(arg_min(embedding, vec_id)) AS vector FROM embeddings GROUP BY label
+), new AS (
+    SELECT unnest([low, -low - 1]) AS id, 'new_' || label AS source, label, vector FROM lowest
+), points AS (
+    SELECT * FROM new
+    UNION ALL SELECT vec_id, 'label_' || label, label, embedding FROM embeddings WHERE vec_id NOT IN (SELECT id FROM new)
 )
-SELECT vec_id AS id, 'label_' || label AS source FROM embeddings WHERE vec_id NOT IN (SELECT id FROM new)
-UNION ALL SELECT id, 'new_' || label FROM new""",
+SELECT id, source, label, CAST(len(vector) AS INT) AS dim,
+    round(list_reduce(list_transform(vector, lambda x, i: x::DOUBLE * i), lambda s, x: s + x, 0.0::DOUBLE), 6) AS weighed
+FROM points""",
+        "clustered_topk": f"WITH {TOPK} SELECT * FROM top",
         # projections
         "rename_project": f"WITH {RAW} SELECT {RENAMED_COLS} FROM raw",
         "derive_tip_pct": f"WITH {RAW} SELECT {KEY}, {TIP_PCT} AS tip_pct FROM raw WHERE fare_amount > 0",
@@ -459,6 +485,10 @@ FROM raw""",
 SELECT doc_id, count(*) AS chunks, CAST(sum(token_count) AS BIGINT) AS total_tokens,
     CAST(floor(sum(token_count) / count(*)) AS BIGINT) AS avg_tokens
 FROM chunks GROUP BY 1""",
+        "chunk_totals": f"""WITH {CHUNKS}
+SELECT doc_id, grouping_id(doc_id) > 0 AS is_total, count(*) AS chunks, CAST(sum(token_count) AS BIGINT) AS total_tokens,
+    CAST(floor(sum(token_count) / count(*)) AS BIGINT) AS avg_tokens
+FROM chunks GROUP BY GROUPING SETS ((doc_id), ())""",
         # shares and order
         "pct_of_total": f"""WITH {RAW}
 SELECT "PULocationID", count(*) AS total_trips,
@@ -494,9 +524,9 @@ FROM trips s, mark
 WHERE kind = 'trip_started' AND ts + INTERVAL 2 HOUR < passed AND NOT EXISTS (
     SELECT 1 FROM trips e WHERE e.kind = 'trip_ended' AND e.trip_id = s.trip_id
        AND e.ts BETWEEN s.ts AND s.ts + INTERVAL 2 HOUR)""",
-        "stream_pairing": f"""WITH {PAIRED}
-SELECT *, NULL AS reason, 'completed' AS kind FROM ({COMPLETED})
-UNION ALL BY NAME SELECT *, 'orphan' AS kind FROM ({ORPHANS})""",
+        "stream_pairing": PAIRS,
+        "stream_pairing_partitions": PAIRS,
+        "stream_pairing_sliced": PAIRS,
         "stream_state_ttl": f"""WITH {PAIRED}
 SELECT *, NULL AS reason, 'completed' AS kind FROM ({COMPLETED} AND ts <= prev_ts + INTERVAL 2 HOUR)
 UNION ALL BY NAME SELECT *, 'orphan' AS kind
@@ -533,15 +563,16 @@ UNION ALL SELECT 'tests', CAST({PRODUCTION_FAILING} > 0 AS BIGINT)
         "chunk_docs": f"WITH {CHUNKS} SELECT * FROM chunks",
         "embed_batch": f"WITH {CHUNKS} SELECT doc_id, chunk_index, 384 AS dim, 1.0::DOUBLE AS norm FROM chunks",
         "vector_topk": f"WITH {TOPK} SELECT * FROM top",
+        "search": f"WITH {SEARCH} SELECT * FROM searched",
         "build_context": f"WITH {CONTEXTS} SELECT * FROM contexts",
         "build_prompt": f"""WITH {CONTEXTS}
-SELECT query_id, concat_ws(chr(10),
+SELECT item_id AS query_id, concat_ws(chr(10),
     'You are a helpful data analyst assistant with expertise in NYC taxi data.',
     'Answer the question based on the context provided below.',
     'If the answer is not in the context, say so clearly.',
-    '', 'Context:', context, '',
-    'Question: What belongs to label ' || query_id || '?', '', 'Answer:') AS prompt
-FROM contexts""",
+    '', 'Context:', coalesce(context, ''), '',
+    'Question: ' || text, '', 'Answer:') AS prompt
+FROM benchmark LEFT JOIN contexts ON query_id = item_id""",
         "recall_at_k": f"""WITH {TOPK}, hits AS (
     SELECT query_id, bool_or(source = 'label_' || query_id) AS hit FROM top GROUP BY 1)
 SELECT count(*) FILTER (WHERE hit) AS correct, count(*) AS total,

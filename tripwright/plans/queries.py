@@ -5,16 +5,25 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripwright.functions import scalar as S
-from tripwright.operators import checks, cleaning, events, profile, retrieval, shares, sinks
-from tripwright.plans import chain, marts
-from tripwright.session import scratch_dir
+from tripwright.operators import checks, cleaning, collections, events, profile, retrieval, shares, sinks
+from tripwright.plans import answers, chain, marts
+from tripwright.session import keyed_state, scratch_dir
 from tripwright.sources import catalog, files, lake, stream
-from tripwright.sources.trips import TRIP_KEY, raw_trips, spread, table, trip_event_stream, trip_events
-from tripwright.streaming import joins, pairing
+from tripwright.sources.trips import (
+    STREAM_FILES,
+    TRIP_KEY,
+    raw_trips,
+    spread,
+    table,
+    trip_event_stream,
+    trip_events,
+    write_in_order,
+)
+from tripwright.streaming import joins, pairing, progress
 from tripwright.streaming import sinks as stream_sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +33,7 @@ DAILY_BOUNDS = {"total_trips": (5, 40), "total_revenue": (200_000, 2_500_000), "
 PAYMENT_BOUNDS = {"credit_card": (700, 100_000), "flex_fare": (0, 900), "cash": (600, 10_000)}
 AS_OF_DATE = "1998-01-01"
 SAMPLE_ROWS = 1000
+TOPIC_PARTITIONS = 3
 
 _REGISTRY: dict[str, Query] = {}
 
@@ -103,19 +113,36 @@ def row_count(spark, sf):
     return files.row_count(raw_trips(spark, sf))
 
 
+def _topic(spark: SparkSession, sf: str, damaged: bool = False) -> DataFrame:
+    """The trip events as a stream of messages from a topic of three partitions, dealt regardless of the trip."""
+    rows = trip_events(spark, sf)
+    columns = [c for c in rows.columns if c not in ("event_time", "arrival")]
+    value = F.to_json(F.struct(*columns))
+    if damaged:
+        # every error event is sent as a cut-off message, and must be set aside
+        value = F.when(F.col("event_type") == "error", value.substr(F.lit(1), F.length(value) - 5)).otherwise(value)
+    messages = rows.select(
+        value.alias("value"),
+        F.col("event_time").alias("timestamp"),
+        (F.col("arrival") % TOPIC_PARTITIONS).cast("int").alias("partition"),
+        F.floor(F.col("arrival") / TOPIC_PARTITIONS).alias("offset"),
+    )
+    folder = scratch_dir(spark, "topic")
+    write_in_order(messages, folder, "timestamp", STREAM_FILES, "partition")
+    options = {"format": "log", "path": folder, "maxFilesPerTrigger": str(TOPIC_PARTITIONS)}
+    return stream.stream_json_source(spark, options)
+
+
 @query
 def stream_json_source(spark, sf):
-    # every error event is sent as a cut-off message, and must be set aside
     folder = scratch_dir(spark, "json")
-    rows = trip_events(spark, sf).drop("event_time", "arrival")
-    text = events.json_encode(rows, rows.columns)
-    broken = F.expr("substring(value, 1, length(value) - 5)")
-    text.select(
-        F.when(F.col("event_type") == "error", broken).otherwise(F.col("value")).alias("value")
-    ).write.text(f"{folder}/in")
-    typed = stream.stream_json_source(spark, {"format": "text", "path": f"{folder}/in"})
-    out = stream_sinks.run_to_table(spark, typed, f"{folder}/out", f"{folder}/checkpoint")
-    return out.drop("raw")
+    typed = stream.malformed_apart(_topic(spark, sf, damaged=True))
+    stream_sinks.stream_kinds_sink(typed, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    out = stream_sinks.read_kinds(spark, typed, f"{folder}/out")
+    # each kind lies in folders of its own
+    return out.filter((F.col("kind") == "malformed") == F.col("malformed")).drop(
+        "raw", "kind", "batch_id", "event_time", "arrival"
+    )
 
 
 @query
@@ -163,37 +190,38 @@ def materialize(spark, sf):
 
 @query
 def stream_kv_sink(spark, sf):
-    halves = events.explode_trip_events(_with_id(_clean(spark, sf, keys=True)), "trip_id")
-    return events.key_value(halves.select("event.*"))
+    """The messages of a drained stream, with their place among those of their key."""
+    folder = scratch_dir(spark, "messages")
+    halves = events.trip_halves(trip_event_stream(spark, sf))
+    stream_sinks.stream_kv_files(halves, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    sent = spark.read.parquet(f"{folder}/out")
+    in_key = Window.partitionBy("key", "partition").orderBy("batch_id", "position")
+    return sent.select("key", "value", F.row_number().over(in_key).alias("nth"))
 
 
 @query
 def stream_print_sink(spark, sf):
     started = trip_event_stream(spark, sf).filter(F.col("event_type") == events.START)
-    shown = stream_sinks.stream_print_sink(started.observe("printed", F.count("*").alias("n")), {"numRows": "1"})
-    shown.awaitTermination()
-    seen = [p.observedMetrics["printed"]["n"] for p in shown.recentProgress if p.observedMetrics]
-    return spark.createDataFrame([(sum(seen),)], "rows_printed bigint")
+    totals = progress.ProgressTotals(_name("printed"))
+    spark.streams.addListener(totals)
+    try:
+        shown = stream_sinks.stream_print_sink(progress.counted(started, totals.name), {"numRows": "1"})
+        printed = totals.of(shown).get("rows", 0)
+    finally:
+        spark.streams.removeListener(totals)
+    return spark.createDataFrame([(printed,)], "rows_printed bigint")
 
 
 @query
 def stream_batch_sink(spark, sf):
-    """Ends as orphans, starts as completed halves: both folders filled from one stream."""
+    """Completed trips and orphans of the keyed pairing, each in its folder."""
     folder = scratch_dir(spark, "batches")
-    kind = F.when(F.col("event_type") == events.START, "completed").when(
-        F.col("event_type") == events.END, "orphan"
-    )
-    stream_rows = trip_event_stream(spark, sf).select(
-        kind.alias("kind"), *events.COMPLETED_COLS, F.lit(events.REASON).alias("reason")
-    )
-    stream_sinks.stream_batch_sink(
-        stream_rows, f"{folder}/completed", f"{folder}/orphan", f"{folder}/checkpoint", max_records=1000
-    ).awaitTermination()
-    parts = [
-        spark.read.parquet(f"{folder}/{k}").select(F.lit(k).alias("kind"), "trip_id", "dropoff_datetime")
-        for k in ("completed", "orphan")
-    ]
-    return parts[0].unionByName(parts[1])
+    with keyed_state(spark):
+        stream_sinks.stream_batch_sink(
+            pairing.stream_pairing(trip_event_stream(spark, sf)),
+            f"{folder}/completed", f"{folder}/orphan", f"{folder}/checkpoint", max_records=1000,
+        ).awaitTermination()
+    return _paired_rows(spark, folder)
 
 
 @query
@@ -276,15 +304,32 @@ def vector_collection_replace(spark, sf):
 
 @query
 def vector_upsert(spark, sf):
-    points = _points(spark, sf).select("id", F.col("payload.source").alias("source"))
-    # the lowest and a new id of every label get a new payload
-    labels = table(spark, sf, "embeddings").groupBy("label")
-    bounds = labels.agg(F.min("vec_id").alias("low"), F.max("vec_id").alias("high"))
-    new = bounds.select(
+    """A stored collection after two equal upserts: the lowest and a new id of every label get a new point."""
+    path = scratch_dir(spark, "collection")
+    collections.create_collection(_points(spark, sf), path, dim=64)
+    lowest = table(spark, sf, "embeddings").groupBy("label").agg(F.min_by("embedding", "vec_id").alias("vector"), F.min("vec_id").alias("low"))
+    turned = F.reverse("vector")
+    new = lowest.select(
         F.explode(F.array("low", -F.col("low") - 1)).alias("id"),
-        F.concat(F.lit("new_"), "label").alias("source"),
+        turned.alias("vector"),
+        F.struct(F.concat(F.lit("new_"), "label").alias("source"), "label").alias("payload"),
     )
-    return sinks.vector_upsert(points, _sized(new, "points"))
+    for _ in range(2):
+        collections.upsert(spark, path, new)
+    stored = collections.read_collection(spark, path)
+    # a sum in which every value has its own weight tells vectors apart
+    weighed = F.aggregate(F.transform("vector", lambda x, at: x.cast("double") * (at + 1)), F.lit(0.0), lambda s, x: s + x)
+    return stored.select("id", "payload.source", "payload.label", F.size("vector").alias("dim"), F.round(weighed, 6).alias("weighed"))
+
+
+@query
+def clustered_topk(spark, sf):
+    """The search of ``vector_topk`` on the points stored by cluster."""
+    path = scratch_dir(spark, "clusters")
+    collections.build_clusters(_points(spark, sf), path, dim=64)
+    queries = _label_vectors(spark, sf).withColumnRenamed("label", "query_id")
+    top = collections.clustered_topk(queries, path).withColumn("score", F.round("score", 6))
+    return top.select("query_id", "rank", "id", "score", F.col("payload.source").alias("source"))
 
 
 # Projections and scalar functions
@@ -471,6 +516,11 @@ def chunk_stats(spark, sf):
     return retrieval.chunk_stats(_chunks(spark, sf), keys=("doc_id",))
 
 
+@query
+def chunk_totals(spark, sf):
+    return retrieval.chunk_totals(_chunks(spark, sf), keys=("doc_id",))
+
+
 # Shares and order
 
 
@@ -560,12 +610,6 @@ def stream_unmatched(spark, sf):
     return stream_sinks.run_to_table(spark, joined, f"{folder}/out", f"{folder}/checkpoint")
 
 
-def _paired(spark: SparkSession, sf: str, ttl: str | None = None) -> str:
-    folder = scratch_dir(spark, "pairing")
-    pairing.stream_pairing_sink(trip_event_stream(spark, sf), folder, ttl=ttl).awaitTermination()
-    return folder
-
-
 def _paired_rows(spark: SparkSession, folder: str) -> DataFrame:
     done = spark.read.parquet(f"{folder}/completed").drop("batch_id")
     orphans = spark.read.parquet(f"{folder}/orphan").drop("batch_id")
@@ -574,23 +618,58 @@ def _paired_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _kinds(spark: SparkSession, rows: DataFrame, name: str, *kinds: str) -> DataFrame:
+    """The rows of these kinds after a run of the keyed pairing over its present input."""
+    folder = scratch_dir(spark, name)
+    with keyed_state(spark):
+        stream_sinks.stream_kinds_sink(rows, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    found = stream_sinks.read_kinds(spark, rows, f"{folder}/out").drop("batch_id").filter(F.col("kind").isin(*kinds))
+    # the orphan report has no drop-off place
+    place = F.when(F.col("kind") != "orphan", F.col("dropoff_location_id"))
+    return found.withColumn("dropoff_location_id", place)
+
+
 @query
 def stream_pairing(spark, sf):
-    return _paired_rows(spark, _paired(spark, sf))
+    rows = pairing.stream_pairing(trip_event_stream(spark, sf))
+    return _kinds(spark, rows, "pairing", "completed", "orphan")
+
+
+@query
+def stream_pairing_partitions(spark, sf):
+    """The pairing of a topic whose partitions share the events of a trip."""
+    messages = _topic(spark, sf).filter(~F.col("malformed")).drop("malformed", "raw")
+    return _kinds(spark, pairing.stream_pairing(messages), "partitions", "completed", "orphan")
+
+
+@query
+def stream_pairing_sliced(spark, sf):
+    """The pairing that slices hot ids, batch by batch."""
+    folder = scratch_dir(spark, "pairing")
+    pairing.stream_pairing_sink(trip_event_stream(spark, sf), folder).awaitTermination()
+    return _paired_rows(spark, folder)
 
 
 @query
 def stream_state_ttl(spark, sf):
-    folder = _paired(spark, sf, ttl="2 hours")
-    expired = spark.read.parquet(f"{folder}/expired").drop("batch_id")
-    return _paired_rows(spark, folder).unionByName(
-        expired.withColumn("kind", F.lit("expired")), allowMissingColumns=True
-    )
+    rows = pairing.stream_pairing_expiring(trip_event_stream(spark, sf), "2 hours")
+    return _kinds(spark, rows, "expiring", "completed", "orphan", "expired")
 
 
 @query
 def stream_health(spark, sf):
-    return pairing.read_health(spark, _paired(spark, sf))
+    """Totals that a listener adds up over all progress reports of the keyed pairing."""
+    folder = scratch_dir(spark, "health")
+    totals = progress.ProgressTotals(_name("health"))
+    spark.streams.addListener(totals)
+    try:
+        with keyed_state(spark):
+            paired = pairing.stream_health(pairing.stream_pairing(trip_event_stream(spark, sf)), totals.name)
+            query = stream_sinks.stream_kinds_sink(paired, f"{folder}/out", f"{folder}/checkpoint")
+            health = progress.health_of(totals.of(query))
+    finally:
+        spark.streams.removeListener(totals)
+    return spark.createDataFrame([tuple(health.values())], ", ".join(f"{name} bigint" for name in health))
 
 
 # Data tests and the chain
@@ -669,18 +748,30 @@ def vector_topk(spark, sf):
     return top.select("query_id", "rank", "id", "score", F.col("payload.source").alias("source"))
 
 
-def _contexts(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
-    winners = _sized(_label_topk(spark, sf), "winners")
-    texts = docs.join(winners.select("id").distinct(), "id")
-    top = winners.join(_sized(texts, "texts"), "id", "left")
-    text = F.coalesce("text", F.lit(""))
-    return retrieval.build_context(top.withColumn("payload", F.col("payload").withField("text", text)))
+def _questions(spark: SparkSession, sf: str) -> DataFrame:
+    """The benchmark items as questions."""
+    return table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("question"))
+
+
+def _searched(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents cut, embedded and stored; the best chunks for every question."""
+    path, encode = scratch_dir(spark, "chunks"), answers.encoder()
+    docs = spread(table(spark, sf, "documents").select("doc_id", "source", "text"), "doc_id")
+    answers.index_documents(docs, path, encode)
+    # ranked by the full score; the score shown is rounded
+    return answers.search(spark, _questions(spark, sf), path, encode).withColumn("score", F.round("score", 6))
+
+
+@query
+def search(spark, sf):
+    return _searched(spark, sf).select(
+        "query_id", "rank", "id", "score", "payload.source", "payload.chunk_index", "payload.token_count", "payload.text"
+    )
 
 
 @query
 def build_context(spark, sf):
-    return _contexts(spark, sf)
+    return retrieval.build_context(_searched(spark, sf))
 
 
 def _cases(spark: SparkSession, sf: str) -> DataFrame:
@@ -694,7 +785,7 @@ def _cases(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def build_prompt(spark, sf):
-    return retrieval.build_prompt(_contexts(spark, sf), _cases(spark, sf))
+    return answers.prompts(_searched(spark, sf), _questions(spark, sf))
 
 
 @query

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -44,6 +46,21 @@ def build_session(
     return builder.getOrCreate()
 
 
+@contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started within use the state store that keyed state and timers need."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, ROCKSDB_PROVIDER)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for written intermediate tables and stream checkpoints.
 

@@ -2,25 +2,20 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from tripwright.session import scratch_dir
 
 TRIP_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
-@lru_cache(maxsize=256)
-def _schema(application: str, path: str) -> T.StructType:
-    """Schema of a fixed input table, read from its footer once per session."""
-    return SparkSession.active().read.parquet(path).schema
+# Files, and so micro-batches, that a table is streamed in.
+STREAM_FILES = 4
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    schema = _schema(spark.sparkContext.applicationId, path)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def spread(scan: DataFrame, *keys: str) -> DataFrame:
@@ -107,9 +102,24 @@ def trip_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_trip_events(table(spark, sf_dir, "events"))
 
 
-def trip_event_stream(spark: SparkSession, sf_dir: str, **options: str) -> DataFrame:
-    """The same events as a file stream."""
-    schema = table(spark, sf_dir, "events").schema
-    # a pattern, because a plain path to a single file is not taken as a stream source
-    path = f"{sf_dir}/{{events.parquet}}"
-    return to_trip_events(spark.readStream.schema(schema).options(**options).parquet(path))
+def write_in_order(rows: DataFrame, folder: str, order: str, files: int = STREAM_FILES, *by: str) -> None:
+    """Writes ``rows`` as ``files`` files one after the other, cut at quantiles of ``order``.
+
+    A file stream takes files by their time, so it sees the rows in this order.
+    With ``by`` each cut is written below folders of these columns.
+    """
+    shares = [at / files for at in range(1, files)]
+    edges = rows.agg(F.percentile_approx(order, shares, 10_000)).first()[0] if files > 1 else []
+    bounds = [None, *(edges or []), None]
+    for low, high in zip(bounds, bounds[1:]):
+        above = F.lit(True) if low is None else F.col(order) > low
+        part = rows.filter(above if high is None else above & (F.col(order) <= high))
+        part.coalesce(1).write.mode("append").partitionBy(*by).parquet(folder)
+
+
+def trip_event_stream(spark: SparkSession, sf_dir: str, files: int = STREAM_FILES) -> DataFrame:
+    """The same events as a stream of several files, one per micro-batch, in order of arrival."""
+    events = table(spark, sf_dir, "events")
+    folder = scratch_dir(spark, "events")
+    write_in_order(events, folder, "event_id", files)
+    return to_trip_events(spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder))

@@ -2,8 +2,9 @@
 
 Two forms with the same result:
 
-``stream_pairing`` keeps the open start of each trip in keyed state. It suits
-trip ids with a few events each. All rows one id has in one micro-batch are
+``stream_pairing`` (and ``stream_pairing_expiring``, with timers on event time)
+keeps the open start of each trip in keyed state. It suits trip ids with a few
+events each. All rows one id has in one micro-batch are
 ordered in one task, so bound the batch at the source (``maxOffsetsPerTrigger``,
 ``maxBytesPerTrigger``).
 
@@ -103,6 +104,89 @@ def stream_pairing(
     )
 
 
+def stream_pairing_expiring(
+    events: DataFrame,
+    ttl: str,
+    id: str = "trip_id",
+    arrival: str = "arrival",
+    time: str = "event_time",
+    delay: str = "0 seconds",
+) -> DataFrame:
+    """``stream_pairing`` with rows of kind ``expired`` for starts that no event followed within ``ttl``.
+
+    Each open start sets a timer on event time. It fires once the watermark (the
+    latest time seen, less ``delay``) has passed it; an event of the same id that
+    comes too late expires the start itself. State and timers are kept per id and
+    written by changed ids only. Rows older than the watermark are dropped, so
+    ``delay`` must cover how far times may fall behind arrival; with times that
+    rise with arrival the rows do not depend on the cut into batches.
+    """
+    fields = {f.name: f.dataType for f in events.schema}
+    output = T.StructType(
+        [T.StructField("kind", T.StringType())]
+        + [T.StructField(c, fields[c]) for c in COMPLETED_COLS]
+        + [T.StructField("reason", T.StringType())]
+    )
+    state = T.StructType([T.StructField(c, fields[c]) for c in START_COLS] + [T.StructField("until", T.LongType())])
+    start_type, end_type, reason = START, END, REASON
+    start_cols, end_cols, all_cols = START_COLS, END_COLS, COMPLETED_COLS
+
+    class Expiring(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            self.open = handle.getValueState("open", state)
+
+        def row(self, kind, key, held=None, end=None, why=None) -> Row:
+            values = dict.fromkeys(all_cols)
+            values["trip_id"] = key[0]
+            if held is not None:
+                values.update(zip(start_cols, held))
+            if end is not None:
+                values.update((c, end[c]) for c in end_cols)
+            return Row(kind=kind, **values, reason=why)
+
+        def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+            before = tuple(self.open.get()) if self.open.exists() else None
+            held = before
+            for row in sorted(rows, key=lambda r: r[arrival]):
+                if held is not None and row["_at"] > held[-1]:
+                    yield self.row("expired", key, held)
+                    held = None
+                if row["event_type"] == start_type:
+                    if held is None:
+                        yield self.row("opened", key, [row[c] for c in start_cols])
+                    held = (*(row[c] for c in start_cols), row["_until"])
+                elif row["event_type"] == end_type and held is not None:
+                    yield self.row("completed", key, held, row)
+                    held = None
+                elif row["event_type"] == end_type:
+                    yield self.row("orphan", key, None, row, reason)
+            if held != before:
+                for timer in list(self.handle.listTimers()):
+                    self.handle.deleteTimer(timer)
+                if held is None:
+                    self.open.clear()
+                else:
+                    self.open.update(held)
+                    # the first whole millisecond behind the last moment that counts
+                    self.handle.registerTimer(held[-1] // 1000 + 1)
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+            if self.open.exists():
+                yield self.row("expired", key, tuple(self.open.get()))
+                self.open.clear()
+
+        def close(self) -> None:
+            pass
+
+    timed = trip_halves(events.withWatermark(time, delay)).withColumns(
+        {"_at": F.unix_micros(time), "_until": F.unix_micros(F.col(time) + F.expr(f"INTERVAL {ttl}"))}
+    )
+    return timed.groupBy(id).transformWithState(
+        statefulProcessor=Expiring(), outputStructType=output, outputMode="Append", timeMode="EventTime"
+    )
+
+
 def stream_health(paired: DataFrame, name: str = "health") -> DataFrame:
     """Attaches the health counters to a paired stream; read them with ``observed_health``."""
     kind = F.col("kind")

@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tripwright.operators.events import COMPLETED_COLS, ORPHAN_COLS, key_value
@@ -65,6 +66,48 @@ def stream_batch_sink(
     return drain(paired, write, checkpoint)
 
 
+def stream_kinds_sink(rows: DataFrame, out: str, checkpoint: str, max_records: int | None = None) -> StreamingQuery:
+    """Writes a stream with a ``kind`` column below ``out``, one folder per batch number and kind.
+
+    A batch is read once for all its kinds. A repeated batch replaces itself.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        writer = batch.write.mode("overwrite").partitionBy("kind")
+        if max_records:
+            writer = writer.option("maxRecordsPerFile", max_records)
+        writer.parquet(f"{out}/batch_id={batch_id}")
+
+    return drain(rows, write, checkpoint)
+
+
+def read_kinds(spark: SparkSession, rows: DataFrame, out: str) -> DataFrame:
+    """What ``stream_kinds_sink`` wrote of ``rows``, with the batch numbers."""
+    schema = T.StructType([*rows.schema.fields, T.StructField("batch_id", T.LongType())])
+    return spark.read.schema(schema).parquet(out)
+
+
+def stream_kv_files(
+    events: DataFrame, out: str, checkpoint: str, partitions: int = 8, id_col: str = "trip_id", arrival: str = "arrival"
+) -> StreamingQuery:
+    """Keyed messages as files: (key, value, position) below batch number and partition.
+
+    The file twin of ``stream_kv_sink``: a key's messages lie in one partition, in
+    the order of arrival (``position``), as in a topic. A repeated batch replaces
+    itself, so every message is there once.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        carried = [c for c in batch.columns if c not in (arrival, "event_time")]
+        value = F.to_json(F.struct(*carried))
+        rows = batch.select(F.col(id_col).alias("key"), value.alias("value"), F.col(arrival).alias("position"))
+        rows = rows.withColumn("partition", F.pmod(F.xxhash64("key"), F.lit(partitions)).cast("int"))
+        ordered = rows.repartition(partitions, "partition").sortWithinPartitions("partition", "position")
+        ordered.write.mode("overwrite").partitionBy("partition").parquet(f"{out}/batch_id={batch_id}")
+
+    return drain(events, write, checkpoint)
+
+
 def drain(
     df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, once: bool = True
 ) -> StreamingQuery:
