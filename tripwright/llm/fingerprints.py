@@ -4,7 +4,7 @@ Each paragraph is hashed to a wide vector, and a document's fingerprint is the
 sum of its paragraphs' vectors, lane by lane and modulo a power of two. The sum
 does not depend on the order of paragraphs, and a paragraph is inserted or
 deleted by adding or subtracting its vector. Strong lanes (64 bits) decide
-equality. Sketch lanes (16 bits) count the paragraph's word pairs with signs, so
+equality. Sketch lanes (32 bits) count the paragraph's word pairs with signs, so
 the difference of two fingerprints tells how much of the texts differs.
 """
 
@@ -29,7 +29,7 @@ MAX_RANGES = 50_000
 
 
 class Vector:
-    """The sum of paragraph vectors: strong lanes modulo 2^64, sketch lanes modulo 2^16."""
+    """The sum of paragraph vectors: strong lanes modulo 2^64, sketch lanes modulo 2^32."""
 
     __slots__ = ("strong", "sketch")
 
@@ -43,13 +43,13 @@ class Vector:
         return Vector(self.strong - other.strong, self.sketch - other.sketch)
 
     def encoded(self) -> str:
-        return base64.b64encode(self.strong.astype("<u8").tobytes() + self.sketch.astype("<u2").tobytes()).decode()
+        return base64.b64encode(self.strong.astype("<u8").tobytes() + self.sketch.astype("<u4").tobytes()).decode()
 
 
 def decoded(fingerprint: str) -> Vector:
     data = base64.b64decode(fingerprint)
     cut = 8 * STRONG_LANES
-    return Vector(np.frombuffer(data[:cut], "<u8").astype(np.uint64), np.frombuffer(data[cut:], "<u2").astype(np.uint16))
+    return Vector(np.frombuffer(data[:cut], "<u8").astype(np.uint64), np.frombuffer(data[cut:], "<u4").astype(np.uint32))
 
 
 def hash_paragraphs(paragraphs: list[bytes]) -> Vector:
@@ -70,7 +70,7 @@ def hash_paragraphs(paragraphs: list[bytes]) -> Vector:
     lanes = (pairs >> np.uint64(40)).astype(np.int64) % SKETCH_LANES
     signs = 1.0 - 2.0 * (pairs & np.uint64(1)).astype(np.float64)
     sketch = np.bincount(lanes, weights=signs, minlength=SKETCH_LANES).astype(np.int64)
-    return Vector(strong, sketch.astype(np.uint16))
+    return Vector(strong, sketch.astype(np.uint32))
 
 
 def fingerprint(text: bytes) -> Vector:
@@ -86,7 +86,7 @@ def likeness(a: Vector, b: Vector) -> float:
     """
     if np.array_equal(a.strong, b.strong):
         return 1.0
-    x, y = a.sketch.view(np.int16).astype(np.float64), b.sketch.view(np.int16).astype(np.float64)
+    x, y = a.sketch.view(np.int32).astype(np.float64), b.sketch.view(np.int32).astype(np.float64)
     both = x @ x + y @ y
     return float(min(1.0, max(0.0, 2.0 * (x @ y) / both))) if both else 0.0
 
@@ -155,6 +155,9 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "te
     first. The edited fingerprint is the text's, with the paragraphs that the edit
     touches taken out and the new ones put in. Columns: the id, n_chars,
     edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
+    Ids are whole numbers; null ids come first. Null texts read as empty, and an
+    empty text is not edited; texts are whole, whatever their length. Repeated rows
+    follow each other; other columns are ignored. Empty in, empty out.
     """
     dealt = with_next(docs, id_col, text)
     id_type = docs.schema[id_col].dataType.simpleString()
