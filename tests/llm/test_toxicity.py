@@ -71,7 +71,7 @@ def test_without_two_classes_the_share_decides(spark, documents):
     docs = documents((1, "a b"), (2, "c d"))
     none = toxicity.train(docs, _labels(spark, []))
     clean = toxicity.train(docs, _labels(spark, [(1, 1, 0), (2, 1, 0)]))
-    assert toxicity.text_scores(none, ["x"])[0] == pytest.approx(0.5)
+    assert toxicity.text_scores(none, ["x"])[0] == pytest.approx(toxicity.UNFITTED)
     assert toxicity.text_scores(clean, ["x"])[0] == pytest.approx(0.5 / 3)
 
 
@@ -91,6 +91,36 @@ def _recall(spark, name):
     return np.mean([r["hit"] for r in rows if r["toxic"] == 1]), np.mean([not r["hit"] for r in rows if r["toxic"] == 0])
 
 
+def test_predicted_is_the_threshold_on_any_labels(spark, documents, tmp_path):
+    from tripwright.llm.queries import QUERIES
+
+    documents((0, "aa"), (1, "bb"), (2, None), (None, "")).write.parquet(f"{tmp_path}/documents.parquet")
+    for at, labels in enumerate(([], [(0, 1, 1), (1, 1, 1)], [(0, 1, 0)], [(0, 1, 1), (1, 1, 0)])):
+        _labels(spark, labels).write.mode("overwrite").parquet(f"{tmp_path}/labels.parquet")
+        rows = QUERIES["op2_toxicity"](spark, str(tmp_path)).collect()
+        assert len(rows) == 4
+        for row in rows:
+            assert 0 <= row["score"] <= 1 and row["predicted"] == int(row["score"] >= TOXIC_FROM)
+        if at < 3:
+            assert not any(row["predicted"] for row in rows)
+
+
+def _held_out(spark, name):
+    """Toxic texts found, rejected and in all, among rows that the model never saw."""
+    from tripwright.llm.queries import QUERIES
+
+    labels = spark.read.parquet(f"/root/testdata/{name}/labels.parquet").filter("toxic IS NOT NULL")
+    scored = QUERIES["op2_toxicity"](spark, f"/root/testdata/{name}").filter("held_out").join(labels, "doc_id")
+    toxic = F.col("toxic") == 1
+    return tuple(scored.agg(F.count_if(toxic & (F.col("predicted") == 1)), F.sum("predicted"), F.count_if(toxic)).first())
+
+
+@pytest.mark.parametrize(("name", "recall", "precision"), [("sf0.01", 0.65, 0.95), ("sf0.1", 0.6, 0.95)])
+def test_held_out_recall(spark, name, recall, precision):
+    found, rejected, toxic = _held_out(spark, name)
+    assert found >= recall * toxic and found >= precision * rejected
+
+
 # of check_s, which takes minutes, the README has a sample's figures
 @pytest.mark.parametrize(("name", "least"), [("sf0.001", 0.7), ("sf0.01", 0.85)])
 def test_small_tables_find_toxic_texts(spark, name, least):

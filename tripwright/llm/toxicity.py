@@ -23,6 +23,8 @@ BITS = 18
 # The model is fitted on at most this many labelled texts of each class, those
 # with the least hash of their id. Everything else covers all rows.
 FIT_ROWS = 4_000
+# Highest score of a model without both classes to learn from.
+UNFITTED = 0.25
 SMOOTHING = 1.0
 RIDGE = 1e-3
 # Tasks that count features; each returns two numbers per table place.
@@ -103,13 +105,14 @@ def train(
     Rows without id or label, and labels other than 0 and 1, are left out; an id
     labelled twice counts as toxic if either label says so. Ids that ``docs`` has
     not are no loss. With one class or none, or texts without n-grams, the model is
-    not ``fitted``: the score is the smoothed share of toxic labels for every text.
+    not ``fitted``: every text scores the smoothed share of toxic labels, but no
+    more than ``UNFITTED``, so that a model that knows nothing condemns nothing.
     """
     spark = docs.sparkSession
     picked, scale = fit_sample(labels, id_col, label, F.lit(True) if eligible is None else eligible)
     ones = sum(value for _, value in picked)
     size = 1 << BITS
-    share = (ones + 0.5) / (len(picked) + 1.0)
+    share = min((ones + 0.5) / (len(picked) + 1.0), UNFITTED)
     unfitted = Model(np.zeros(size), float(np.log(share / (1 - share))), False)
     if not 0 < ones < len(picked):
         return unfitted
