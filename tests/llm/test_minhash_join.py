@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tripwright.llm import components as comp
 from tripwright.llm import minhash_join as mj
-from tripwright.llm.common import words_of
+from tripwright.llm.common import row_key, words_of
 
 
 def _shingles(text):
@@ -97,8 +97,22 @@ def test_keep_one(documents):
     assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == sorted({c for _, c, _ in classes}, key=repr)
 
 
+def test_keep_one_leaves_columns_and_takes_the_least_of_equal_rows(spark, documents):
+    text = " ".join(f"w{i}" for i in range(40))
+    docs = documents((1, text), (1, text), (2, text), (3, "other words here")).withColumn("kept_key", F.lit("mine"))
+    extra = documents((1, text)).withColumn("kept_key", F.lit("less"))
+    kept = {r["doc_id"]: r["kept_key"] for r in mj.keep_one(docs.unionByName(extra)).collect()}
+    assert kept == {1: "less", 3: "mine"}
+
+
+def test_row_keys_differ(spark):
+    rows = [("1", "a|null"), ("1|text|a", None), (None, None), ("null", None), ("1", "a"), ("1:1", "a"), (None, "null"), ("", "")]
+    frame = spark.createDataFrame(rows, "doc_id string, text string")
+    assert frame.select(row_key()).distinct().count() == len(rows)
+
+
 def test_pruning_keeps_pairs_at_the_threshold():
-    least = mj.least_matches(0.8, 1e-6)
+    least = mj.least_matches(0.8, mj.TOLERANCE)
     draw = np.random.default_rng(0)
     one = np.zeros(mj.VALUES, np.uint8)
     others = (draw.random((2_000, mj.VALUES)) >= 0.8).astype(np.uint8)

@@ -28,11 +28,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
-    """One key for a row: equal for repeated rows, never null."""
-    return F.md5(
-        F.concat_ws("|", F.coalesce(F.col(doc_id).cast("string"), F.lit("null")),
-                    F.when(F.col(text).isNull(), "null").otherwise("text"), F.col(text))
-    )
+    """One key for a row: equal for repeated rows only, never null.
+
+    Lengths stand before the values, so no id and text read like another pair.
+    """
+
+    def part(name: str) -> Column:
+        value = F.col(name).cast("string")
+        return F.coalesce(F.concat(F.char_length(value).cast("string"), F.lit(":"), value), F.lit("null"))
+
+    return F.md5(F.concat(part(doc_id), F.lit("|"), part(text)))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front as long as ``df`` has such a column."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
 
 
 def crc_mod(column: str, n: int) -> Column:

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripwright.llm.common import byte_texts, groups, mix64, row_key, words_of, written
+from tripwright.llm.common import byte_texts, free_name, groups, mix64, row_key, words_of, written
 from tripwright.llm.components import components
 
 SHINGLE_WORDS = 5
@@ -353,10 +353,13 @@ def jaccard_join(
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each class: that of the least id, then of the least row key.
 
-    All columns are kept as they are. Rows repeated with id and text count once.
+    All columns are kept as they are, whatever their names. Of rows with one id
+    and text the one with the least other columns, as JSON, stays.
     """
     joined = jaccard_join(docs, id_col=id_col, text=text)
     first = joined.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("first"))
-    kept = first.select(F.col("first.row_key").alias("_kept_key"))
-    keyed = docs.withColumn("_kept_key", F.unhex(row_key(id_col, text)))
-    return keyed.join(kept, "_kept_key", "left_semi").dropDuplicates(["_kept_key"]).select(*docs.columns)
+    key = free_name(docs, "kept_key")
+    kept = first.select(F.col("first.row_key").alias(key))
+    keyed = docs.withColumn(key, F.unhex(row_key(id_col, text))).join(kept, key, "left_semi")
+    others = F.to_json(F.struct(*[c for c in docs.columns if c != text]))
+    return keyed.groupBy(key).agg(F.min_by(F.struct(*docs.columns), others).alias("row")).select("row.*")
