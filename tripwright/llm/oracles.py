@@ -176,4 +176,74 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p
 FROM kept JOIN totals USING (lang) QUALIFY rank <= {q.TOP}"""
 
 
-ORACLES: dict[str, str] = {"op11_collocations": _collocations(), "op12_quality_rules": _quality_rules(), "op13_spelling_variants": _spelling()}
+LOW = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+def _decontamination(window: int = 10) -> str:
+    words = r"regexp_extract_all(translate(text, %s), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')" % LOW
+    ahead = f"ROWS BETWEEN CURRENT ROW AND {window - 1} FOLLOWING"
+    return f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce({words}, []) AS words FROM documents
+), items AS (
+  SELECT row_number() OVER () AS r, coalesce(item_id::VARCHAR, 'null') AS item, {words} AS words FROM benchmark
+), doc_words AS (
+  SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM docs
+), item_words AS (
+  SELECT r, item, least(len(words), {window}) AS size, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM items
+), windows AS (
+  SELECT DISTINCT item, size, array_to_string(ten, ' ') AS phrase FROM (
+    SELECT item, size, list(word) OVER (PARTITION BY r ORDER BY i {ahead}) AS ten FROM item_words) WHERE len(ten) = size
+), doc_windows AS (
+  SELECT r, i, size, array_to_string(ten[1:size], ' ') AS phrase FROM (
+    SELECT r, i, list(word) OVER (PARTITION BY r ORDER BY i {ahead}) AS ten FROM doc_words), (SELECT DISTINCT size FROM windows)
+  WHERE len(ten) >= size
+), found AS (
+  SELECT r, i, item, size FROM doc_windows JOIN windows USING (size, phrase)
+), hit AS (
+  SELECT r, count(DISTINCT at_word) AS n_hit FROM (SELECT r, unnest(range(i, i + size)) AS at_word FROM found) GROUP BY r
+), named AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM found) GROUP BY r
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)"""
+
+
+def _suffix_dedup(size: int = 200) -> str:
+    return f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, strlen(coalesce(text, '')) AS n, hex(encode(coalesce(text, ''))) AS h FROM documents
+), parts AS (  -- so that a row holds the bytes of {size} starts and no whole text
+  SELECT r, n, low, substr(h, (2 * low + 1)::BIGINT, {4 * size}) AS part FROM (SELECT *, unnest(range(0, greatest(n - {size - 1}, 0), {size})) AS low FROM docs)
+), starts AS (
+  SELECT r, low + ahead AS i, md5(substr(part, (2 * ahead + 1)::BIGINT, {2 * size})) AS digest
+  FROM (SELECT *, unnest(range(0, {size})) AS ahead FROM parts) WHERE low + ahead + {size} <= n
+), again AS (
+  SELECT digest FROM starts GROUP BY digest HAVING count(*) > 1
+), marked AS (
+  SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM starts JOIN again USING (digest)
+), runs AS (
+  SELECT r, min(i) AS low, max(i) + {size} AS high FROM (
+    SELECT r, i, sum((before IS NULL OR i > before + {size})::INT) OVER (PARTITION BY r ORDER BY i) AS run FROM marked)
+  GROUP BY r, run
+), gaps AS (
+  SELECT r, coalesce(lag(high) OVER (PARTITION BY r ORDER BY low), 0) AS low, low AS high FROM runs
+  UNION ALL SELECT r, coalesce(last, 0), n FROM docs LEFT JOIN (SELECT r, max(high) AS last FROM runs GROUP BY r) USING (r)
+), kept AS (
+  SELECT r, string_agg(substr(h, (2 * low + 1)::BIGINT, (2 * (high - low))::BIGINT), '' ORDER BY low) AS h FROM gaps JOIN docs USING (r) GROUP BY r
+), sums AS (
+  SELECT r, sum(high - low) AS n_removed, count(*) AS n_spans FROM runs GROUP BY r
+)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(kept.h)) AS kept_sha256
+FROM docs JOIN kept USING (r) LEFT JOIN sums USING (r)"""
+
+
+ORACLES: dict[str, str] = {
+    "op6_decontamination": _decontamination(),
+    "op9_suffix_dedup": _suffix_dedup(),
+    "op11_collocations": _collocations(),
+    "op12_quality_rules": _quality_rules(),
+    "op13_spelling_variants": _spelling(),
+}
