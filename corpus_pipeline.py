@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripwright.llm import minhash_join, secret_scan, toxicity
-from tripwright.llm.common import read, row_key, written
+from tripwright.llm.common import free_name, read, row_key, written
 from tripwright.llm.queries import TOXIC_FROM, byte_bpe, leaks, toxic_model
 
 
@@ -27,10 +27,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
-    keyed = docs.withColumn("_leak_key", F.unhex(row_key()))
-    found = leaks(keyed, read(spark, sf_dir, "benchmark"), "_leak_key").filter("n_hit > 0")
-    hit = found.select(F.col("doc_id").alias("_leak_key"))
-    return keyed.join(hit, "_leak_key", "left_anti").select(*docs.columns)
+    key = free_name(docs, "leak_key")
+    keyed = docs.withColumn(key, F.unhex(row_key()))
+    found = leaks(keyed, read(spark, sf_dir, "benchmark"), key).filter("n_hit > 0")
+    hit = found.select(F.col("doc_id").alias(key))
+    return keyed.join(hit, key, "left_anti").select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
