@@ -107,6 +107,7 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(read(spark, sf_dir, "documents"))
+    known = F.filter("findings", lambda f: f["kind"].isin(*secret_scan.KINDS))
     base = F.filter("findings", lambda f: f["layer"] == 0)
     counts = [
         F.size(F.filter(base, lambda f: f["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -116,7 +117,7 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         *counts,
         F.sha2(secret_scan.span_list(base), 256).alias("base_sha256"),
-        secret_scan.span_list(F.col("findings")).alias("spans"),
+        secret_scan.span_list(known).alias("spans"),
     )
 
 

@@ -16,6 +16,7 @@ import hashlib
 import lzma
 import re
 import zlib
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -64,8 +65,14 @@ IS_BASE64 = bytes(
     b if chr(b).isalnum() and b < 128 or chr(b) in "+/_-" else 32 for b in range(256)
 )
 IS_HEX = bytes(104 if chr(b) in "0123456789abcdef" else 32 for b in range(256))
-# A layer that would decode to more bytes is reported as kind "oversize" and not scanned.
-MAX_LAYER_BYTES = 1 << 28
+# A layer that would decode to more bytes is reported as kind "oversize" and not scanned. A layer takes
+# some six bytes of memory per byte.
+MAX_LAYER_BYTES = 1 << 26
+# Escapes inside of escapes are undone one by one this often, and then all at once.
+ESCAPE_STEPS = 8
+HEX_DIGITS = frozenset("0123456789abcdefABCDEF")
+BRACED = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}$")
+ENTITY = re.compile(r"&#(?:[xX]([0-9A-Fa-f]{1,6})|([0-9]{1,7}));$")
 
 FINDING = "array<struct<kind:string,start:int,end:int,layer:int,path:string,value:string>>"
 
@@ -88,28 +95,44 @@ def base_finds(text: str, raw: bytes) -> list[tuple[str, int, int]]:
 
 
 class Layer:
-    """A text and the original span of each of its characters (None: the text as given)."""
+    """A text and the original span of each of its characters.
 
-    def __init__(self, text: str, starts=None, ends=None, path: str = ""):
+    Without ``starts`` the text is the given one, or all of it has the span
+    ``fixed``. ``escapes`` counts the escape steps since the text or the run.
+    """
+
+    def __init__(self, text: str, starts=None, ends=None, path: str = "", fixed=None, escapes: int = 0):
         self.text, self.starts, self.ends, self.path = text, starts, ends, path
+        self.fixed, self.escapes = fixed, escapes
         self.raw = text.encode("utf-8", "surrogatepass")
 
     def origin(self, start: int, end: int) -> tuple[int, int]:
+        if self.fixed is not None:
+            return self.fixed
         if self.starts is None:
             return start, end
         return int(self.starts[start:end].min()), int(self.ends[start:end].max())
 
     def key(self) -> bytes:
-        spans = b"" if self.starts is None else self.starts.tobytes() + self.ends.tobytes()
-        return hashlib.blake2b(self.raw + b"\0" + spans, digest_size=16).digest()
+        digest = hashlib.blake2b(self.raw, digest_size=16)
+        spans = [] if self.starts is None else [self.starts, self.ends]
+        for part in (repr((self.fixed, len(self.raw))).encode(), *spans):
+            digest.update(part)
+        return digest.digest()
 
     def inner(self, text: str, start: int, end: int, step: str) -> "Layer":
         """What the run ``[start, end)`` decodes to, as a layer of its own."""
-        low, high = self.origin(start, end)
-        return Layer(text, np.full(len(text), low), np.full(len(text), high), f"{self.path}/{step}")
+        return Layer(text, path=f"{self.path}/{step}", fixed=self.origin(start, end))
 
     def replaced(self, runs: list[tuple[int, int, str]], step: str) -> "Layer":
         """The layer with runs replaced by what they decode to."""
+        path, escapes = f"{self.path}/{step}", self.escapes + 1
+        if self.fixed is not None:
+            parts, at = [], 0
+            for start, end, new in runs:
+                parts += [self.text[at:start], new]
+                at = end
+            return Layer("".join(parts) + self.text[at:], path=path, fixed=self.fixed, escapes=escapes)
         starts = np.arange(len(self.text)) if self.starts is None else self.starts
         ends = starts + 1 if self.ends is None else self.ends
         parts, low_parts, high_parts, at = [], [], [], 0
@@ -122,9 +145,72 @@ class Layer:
                 low_parts.append(np.full(len(new), low))
                 high_parts.append(np.full(len(new), high))
             at = end
-        return Layer(
-            "".join(parts), np.concatenate(low_parts), np.concatenate(high_parts), f"{self.path}/{step}"
-        )
+        return Layer("".join(parts), np.concatenate(low_parts), np.concatenate(high_parts), path, escapes=escapes)
+
+    def settled(self) -> "Layer | None":
+        """The layer with all escapes undone until none is left, in one walk; None if there is none.
+
+        What is decoded goes back to the end of what was read so far, where it may
+        complete another escape. Each one makes the text shorter, so the time is
+        linear. Bytes of a character wait until they are all there.
+        """
+        out, low, high = [], [], []
+        flat = self.fixed is not None or self.starts is None
+        starts = range(len(self.text)) if flat else self.starts.tolist()
+        ends = range(1, len(self.text) + 1) if flat else self.ends.tolist()
+        changed = False
+
+        def fold(width: int, value) -> None:
+            low[-width:], high[-width:] = [min(low[-width:])], [max(high[-width:])]
+            out[-width:] = [value]
+
+        for char, start, end in zip(self.text, starts, ends):
+            out.append(char)
+            low.append(start)
+            high.append(end)
+            while (found := _escape_at_end(out)) is not None:
+                changed = True
+                fold(*found)
+        if not changed:
+            return None
+        # bytes that are no character stay as they were
+        parts = [value if isinstance(value, str) else value[1] for value in out]
+        text, path = "".join(parts), f"{self.path}/escapes"
+        if self.fixed is not None:
+            return Layer(text, path=path, fixed=self.fixed, escapes=ESCAPE_STEPS + 1)
+        sizes = [len(part) for part in parts]
+        return Layer(text, np.repeat(low, sizes), np.repeat(high, sizes), path, escapes=ESCAPE_STEPS + 1)
+
+
+def _escape_at_end(out: list) -> tuple[int, str | tuple[int, str]] | None:
+    """How many of the last items are an escape, and what it stands for: a character, or a byte and how it was written."""
+    last = out[-1]
+    if isinstance(last, tuple):
+        # a character of two to four bytes is complete
+        for width in range(2, min(4, len(out)) + 1):
+            if not all(isinstance(value, tuple) for value in out[-width:]):
+                break
+            try:
+                return width, bytes(value for value, _ in out[-width:]).decode("utf-8")
+            except UnicodeDecodeError:
+                continue
+        return None
+    if last in HEX_DIGITS and len(out) > 2 and out[-2] in HEX_DIGITS:
+        if out[-3] == "%":
+            value = int(out[-2] + last, 16)
+            return 3, chr(value) if value < 128 else (value, "".join(out[-3:]))
+        if out[-4:-2] == ["\\", "x"]:
+            return 4, chr(int(out[-2] + last, 16))
+        if out[-6:-4] == ["\\", "u"] and out[-3] in HEX_DIGITS and out[-4] in HEX_DIGITS:
+            return 6, chr(int("".join(out[-4:]), 16))
+    elif last == ";" or last == "}":
+        tail = "".join(value if isinstance(value, str) else "\0" for value in out[-11:])
+        if found := (ENTITY if last == ";" else BRACED).search(tail):
+            value = int(found[1], 16) if found[1] else int(found[2])
+            return len(found[0]), chr(min(value, 0x10FFFF))
+    elif "\udc00" <= last <= "\udfff" and len(out) > 1 and isinstance(out[-2], str) and "\ud800" <= out[-2] <= "\udbff":
+        return 2, chr(0x10000 + ((ord(out[-2]) - 0xD800) << 10) + ord(last) - 0xDC00)
+    return None
 
 
 def _url(found: re.Match) -> str | None:
@@ -248,11 +334,14 @@ def _wrapped(text: str) -> Iterator[tuple[int, int]]:
 
 def next_layers(layer: Layer) -> Iterator[Layer | tuple[int, int]]:
     """The layers one step further in; a pair is the span of a run too large to decode."""
-    if b"%" in layer.raw:
+    single = layer.escapes < ESCAPE_STEPS
+    if layer.escapes == ESCAPE_STEPS and (last := layer.settled()) is not None:
+        yield last
+    if single and b"%" in layer.raw:
         runs = [(m.start(), m.end(), new) for m in URL_RUN.finditer(layer.text) if (new := _url(m)) is not None]
         if runs:
             yield layer.replaced(runs, "url")
-    if b"\\u" in layer.raw or b"\\x" in layer.raw or b"&#" in layer.raw:
+    if single and (b"\\u" in layer.raw or b"\\x" in layer.raw or b"&#" in layer.raw):
         runs = [(m.start(), m.end(), _unescape(m)) for m in ESCAPE_RUN.finditer(layer.text)]
         if runs:
             yield layer.replaced(runs, "unicode")
@@ -279,12 +368,14 @@ def find_secrets(text: str) -> list[tuple[str, int, int, int, str, str]]:
     decodings (0: the text itself), ``path`` names them, ``value`` is what stands
     in the layer. A find that maps to the kind and span of an outer one is left out;
     in what a base64 run decodes to, where all finds have the run's span, only if
-    their values are equal as well.
+    their values are equal as well. Escapes nested deeper than ``ESCAPE_STEPS`` are
+    undone in one walk, so the time is linear in the length; what only stands in a
+    layer between is not scanned.
     """
     out, spans, seen = [], set(), set()
-    work = [(0, Layer(text))]
+    work = deque([(0, Layer(text))])
     while work:
-        depth, layer = work.pop(0)
+        depth, layer = work.popleft()
         for kind, start, end in base_finds(layer.text, layer.raw):
             low, high = layer.origin(start, end)
             value = layer.text[start:end].encode("utf-8", "replace").decode()
