@@ -562,6 +562,13 @@ UNION ALL SELECT 'tests', CAST({PRODUCTION_FAILING} > 0 AS BIGINT)
         # retrieval
         "chunk_docs": f"WITH {CHUNKS} SELECT * FROM chunks",
         "embed_batch": f"WITH {CHUNKS} SELECT doc_id, chunk_index, 384 AS dim, 1.0::DOUBLE AS norm FROM chunks",
+        "embed_slots": f"""WITH {CHUNKS}, slots AS (
+    SELECT doc_id, chunk_index, ('0x' || substr(md5(word), 1, 8))::BIGINT % 384 AS slot, count(*) AS n
+    FROM (SELECT doc_id, chunk_index, unnest(string_split(lower(text), ' ')) AS word FROM chunks) GROUP BY ALL
+)
+SELECT doc_id, chunk_index, 384 AS dim, sum(n)::BIGINT AS words, sum(n * (slot + 1))::BIGINT AS weighed,
+    sum(n * n)::BIGINT AS squares
+FROM slots GROUP BY ALL""",
         "vector_topk": f"WITH {TOPK} SELECT * FROM top",
         "search": f"WITH {SEARCH} SELECT * FROM searched",
         "build_context": f"WITH {CONTEXTS} SELECT * FROM contexts",

@@ -736,6 +736,25 @@ def embed_batch(spark, sf):
     )
 
 
+@query
+def embed_slots(spark, sf):
+    """Chunk vectors of the encoder that the search uses, as weighted sums that tell vectors apart."""
+    vectors = answers.encoder()(_chunks(spark, sf), "text")
+    x = F.transform("vector", lambda v: v.cast("bigint"))
+
+    def total(weight):
+        return F.aggregate(F.transform(x, lambda v, at: v * weight(at, v)), F.lit(0).cast("bigint"), lambda s, v: s + v)
+
+    return vectors.select(
+        "doc_id",
+        "chunk_index",
+        F.size("vector").alias("dim"),
+        total(lambda at, v: F.lit(1)).alias("words"),
+        total(lambda at, v: at + 1).alias("weighed"),
+        total(lambda at, v: v).alias("squares"),
+    )
+
+
 def _label_topk(spark: SparkSession, sf: str) -> DataFrame:
     queries = _label_vectors(spark, sf).withColumnRenamed("label", "query_id")
     # ranked by the full score; the score shown is rounded
