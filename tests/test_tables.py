@@ -113,7 +113,9 @@ def test_documents_are_read_whole(spark, tmp_path):
     (tmp_path / "sub" / "b.txt").write_text("é", encoding="utf-8")
     (tmp_path / "c.csv").write_text("no", encoding="utf-8")
     docs = files.doc_load(spark, str(tmp_path))
-    assert sorted(map(tuple, docs.collect())) == [("a.md", "one\n\ntwo\n"), ("b.txt", "é")]
+    found = sorted((r["source"], r["text"]) for r in docs.collect())
+    assert found == [("a.md", "one\n\ntwo\n"), ("b.txt", "é")]
+    assert {r["source"]: r["folder"] for r in docs.collect()}["b.txt"] == "sub"
 
 
 def test_vector_collection_keeps_size_and_metric(spark, tmp_path):

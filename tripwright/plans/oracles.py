@@ -340,7 +340,7 @@ SELECT
     {EVENT_COLS.replace("trip_id, ", "")}, malformed
 FROM sent""",
         "table_scan_versioned": f"WITH {CLEAN} SELECT {TABLE_COLS} FROM clean",
-        "doc_load": "SELECT CAST(sum(length(text) + 1) AS BIGINT) AS total_chars FROM documents",
+        "doc_load": "SELECT doc_id, length(text) AS n_chars, md5(text) AS text_md5 FROM documents",
         "catalog_register": f"""WITH {CLEAN}
 SELECT change[1] AS "column", change[2] AS change, (SELECT count(*) FROM clean) AS total_rows
 FROM (SELECT unnest([['tip_pct', 'added'], ['pickup_hour', 'missing']]) AS change)""",
@@ -502,6 +502,9 @@ FROM stg GROUP BY 1, 2""",
 SELECT "PULocationID", count(*) AS total_trips FROM raw GROUP BY 1 ORDER BY 2 DESC, 1""",
         "order_multi": f"""WITH {STG}
 SELECT pickup_month, pickup_hour, count(*) AS total_trips FROM stg GROUP BY 1, 2 ORDER BY 1, 3 DESC, 2""",
+        "lake_top_pickups": f"""WITH {CLEAN}
+SELECT pickup_location_id, count(*) AS total_trips, {_mean("avg(fare_amount)")} AS avg_fare
+FROM clean GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5""",
         "top_pickups": f"""WITH {CLEAN}
 SELECT pickup_location_id, count(*) AS total_trips, {_mean("avg(fare_amount)")} AS avg_fare
 FROM clean GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5""",

@@ -152,10 +152,17 @@ def table_scan_versioned(spark, sf):
 
 @query
 def doc_load(spark, sf):
+    """Every document from a file of its own, below a folder named by its id."""
     folder = scratch_dir(spark, "docs")
-    texts = table(spark, sf, "documents").select("text")
-    texts.write.option("maxRecordsPerFile", 500).text(folder)
-    return files.doc_load(spark, folder).agg(F.sum(F.length("text")).alias("total_chars"))
+    table(spark, sf, "documents").select("doc_id", "text").write.partitionBy("doc_id").text(folder)
+    found = files.doc_load(spark, folder)
+    # the writer ends each text with a newline
+    text = F.substr("text", F.lit(1), F.char_length("text") - 1)
+    return found.select(
+        F.regexp_extract("folder", "=(.*)$", 1).cast("bigint").alias("doc_id"),
+        F.char_length(text).cast("bigint").alias("n_chars"),
+        F.md5(text.cast("binary")).alias("text_md5"),
+    )
 
 
 @query
@@ -521,6 +528,11 @@ def chunk_totals(spark, sf):
     return retrieval.chunk_totals(_chunks(spark, sf), keys=("doc_id",))
 
 
+@query
+def lake_top_pickups(spark, sf):
+    return profile.top_pickups(lake.table_scan_versioned(spark, _two_appends(spark, sf)[0]))
+
+
 # Shares and order
 
 

@@ -30,10 +30,14 @@ def row_count(df: DataFrame) -> DataFrame:
 
 
 def doc_load(spark: SparkSession, path: str, pattern: str = "*.{md,txt}") -> DataFrame:
-    """Every matching file below ``path``, each as one row of its name and whole text."""
+    """Every matching file below ``path``, each as one row of its name, its folder's name and whole text."""
     return (
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
         .text(path, wholetext=True)
-        .select(F.col("_metadata.file_name").alias("source"), F.col("value").alias("text"))
+        .select(
+            F.col("_metadata.file_name").alias("source"),
+            F.regexp_extract(F.col("_metadata.file_path"), "([^/]*)/[^/]*$", 1).alias("folder"),
+            F.col("value").alias("text"),
+        )
     )
