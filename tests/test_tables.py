@@ -118,6 +118,24 @@ def test_documents_are_read_whole(spark, tmp_path):
     assert {r["source"]: r["folder"] for r in docs.collect()}["b.txt"] == "sub"
 
 
+def test_documents_are_written_by_tasks_below_a_fixed_number_of_folders(spark, tmp_path):
+    texts = {at: f"é {at}\n\n" * (at % 3) for at in range(600)} | {-5: None}
+    rows = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    files.doc_write(rows.repartition(5), str(tmp_path / "docs"))
+    found = files.doc_load(spark, str(tmp_path / "docs")).collect()
+    assert {r["folder"]: r["text"] for r in found} == {f"doc_id={at}": (text or "") + "\n" for at, text in texts.items()}
+    assert len(found) == len(texts)
+    # the folders at the top are what Spark's listing shares out among tasks
+    assert 32 < len(list((tmp_path / "docs").iterdir())) <= files.DOC_FOLDERS
+
+
+def test_documents_of_one_id_and_of_none(spark, tmp_path):
+    rows = spark.createDataFrame([(7, "a"), (None, "b"), (7, "a")], "doc_id bigint, text string")
+    files.doc_write(rows.coalesce(1), f"file://{tmp_path}/docs")
+    found = files.doc_load(spark, str(tmp_path / "docs")).collect()
+    assert sorted((r["folder"], r["text"]) for r in found) == [("doc_id=", "b\n"), ("doc_id=7", "a\na\n")]
+
+
 def test_vector_collection_keeps_size_and_metric(spark, tmp_path):
     path = str(tmp_path / "v")
     points = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "id bigint, vector array<float>")

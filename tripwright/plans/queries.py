@@ -154,12 +154,12 @@ def table_scan_versioned(spark, sf):
 def doc_load(spark, sf):
     """Every document from a file of its own, below a folder named by its id."""
     folder = scratch_dir(spark, "docs")
-    table(spark, sf, "documents").select("doc_id", "text").write.partitionBy("doc_id").text(folder)
+    files.doc_write(table(spark, sf, "documents").select("doc_id", "text"), folder)
     found = files.doc_load(spark, folder)
     # the writer ends each text with a newline
     text = F.substr("text", F.lit(1), F.char_length("text") - 1)
     return found.select(
-        F.regexp_extract("folder", "=(.*)$", 1).cast("bigint").alias("doc_id"),
+        F.regexp_extract("folder", "=(.*)$", 1).try_cast("bigint").alias("doc_id"),
         F.char_length(text).cast("bigint").alias("n_chars"),
         F.md5(text.cast("binary")).alias("text_md5"),
     )

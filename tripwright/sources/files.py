@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import zlib
+from collections.abc import Iterator
+
+from pyarrow.fs import FileSystem
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+# Folders that documents are dealt over: enough for Spark to list them in tasks, each a share of the documents.
+DOC_FOLDERS = 256
+
 
 def scan_raw(spark: SparkSession, path: str, **opts: str) -> DataFrame:
     """All Parquet files under a path or glob; schema from the footers."""
@@ -29,6 +37,35 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("total_rows"))
 
 
+def doc_write(docs: DataFrame, path: str) -> None:
+    """A text file per document (id, text) below ``path``, in a folder ``<id column>=<id>``, each line end a newline.
+
+    Rows of one id in one task share a file. Null is an empty line; the id null
+    has the folder of the empty text. A repeated task writes the same files again.
+    Spark's own writer asks for permissions by a process per file on a local disk,
+    and moves every folder on the driver; here a task only writes. ``path`` is
+    one that Arrow can open (local, HDFS or an object store).
+    """
+    id_col, text_col = docs.columns
+
+    def write(rows: Iterator[Row]) -> None:
+        files, top = FileSystem.from_uri(path)
+        task, before, out = TaskContext.get().partitionId(), None, None
+        for doc_id, text in rows:
+            name = "" if doc_id is None else str(doc_id)
+            if name != before:
+                if out is not None:
+                    out.close()
+                folder = f"{top}/{zlib.crc32(name.encode()) % DOC_FOLDERS:03d}/{id_col}={name}"
+                files.create_dir(folder)
+                before, out = name, files.open_output_stream(f"{folder}/{task}.txt")
+            out.write((text or "").encode() + b"\n")
+        if out is not None:
+            out.close()
+
+    docs.select(id_col, text_col).sortWithinPartitions(id_col).foreachPartition(write)
+
+
 def doc_load(spark: SparkSession, path: str, pattern: str = "*.{md,txt}") -> DataFrame:
     """Every matching file below ``path``, each as one row of its name, its folder's name and whole text."""
     return (
