@@ -57,6 +57,20 @@ def test_expiry(spark, tmp_path):
         assert pairing.read_health(spark, out).first()["unmatched_starts"] == 1
 
 
+def test_printing_hands_on_the_first_rows_of_each_task_and_counts_all(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    spark.range(0, 5000, 1, 4).write.parquet(folder)
+    totals = progress.ProgressTotals("printed_test")
+    spark.streams.addListener(totals)
+    try:
+        rows = spark.readStream.schema("id bigint").parquet(folder)
+        shown = S.stream_print_sink(progress.counted(rows, "printed_test"), {"numrows": "2"})
+        assert totals.of(shown) == {"rows": 5000}
+    finally:
+        spark.streams.removeListener(totals)
+    assert sum(p.sink.numOutputRows for p in shown.recentProgress) <= 4 * 3
+
+
 def test_keyed_state_pairing(spark, tmp_path):
     rows = skewed(400, 13)
     completed, orphans, open_starts = brute(rows)

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,9 +18,27 @@ def stream_kv_sink(events: DataFrame, opts: Mapping[str, str]) -> StreamingQuery
     return key_value(events).writeStream.format("kafka").options(**opts).start()
 
 
+def first_of_tasks(df: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` rows of each partition. All rows are computed, as metrics observed on ``df`` need."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = n
+        for batch in batches:
+            if left > 0:
+                yield batch.slice(0, left)
+                left -= batch.num_rows
+
+    return df.mapInArrow(run, df.schema)
+
+
 def stream_print_sink(df: DataFrame, opts: Mapping[str, str] | None = None) -> StreamingQuery:
-    """Prints rows; for development."""
-    writer = df.writeStream.format("console").outputMode("append")
+    """Prints the first rows of each micro-batch (20, or ``numRows``); for development.
+
+    The console sink fetches its whole batch to the driver. So each task passes on
+    only what may be printed, and one row more, by which the sink sees that it cuts.
+    """
+    shown = next((int(value) for name, value in (opts or {}).items() if name.lower() == "numrows"), 20)
+    writer = first_of_tasks(df, shown + 1).writeStream.format("console").outputMode("append")
     return writer.options(**(opts or {})).trigger(availableNow=True).start()
 
 
