@@ -1,10 +1,14 @@
 """Streams over several files against the batch form."""
 
+from datetime import datetime
+
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from tests.test_events import brute, make, skewed
 from tripwright.operators import events as E
 from tripwright.sources import stream
+from tripwright.sources.trips import write_in_order
 from tripwright.streaming import joins, pairing, progress
 from tripwright.streaming import sinks as S
 
@@ -88,6 +92,48 @@ def test_keyed_state_pairing(spark, tmp_path):
     }
 
 
+def test_keyed_state_keeps_values(spark, tmp_path):
+    schema = "event_type string, trip_id string, pickup_datetime timestamp, dropoff_datetime string, pickup_location_id int, " \
+        "dropoff_location_id int, passenger_count int, fare_amount double, tip_amount double, payment_type int, trip_distance double, arrival bigint"
+    at = datetime(2024, 1, 1, 2, 3, 4, 567891)
+    rows = [
+        (E.START, "a", at, None, 7, None, None, None, None, None, None, 1),
+        (E.END, "a", None, 'é "\\\n', None, -3, None, 0.1 + 0.2, float("inf"), None, -1e-300, 2),
+        (E.START, "b", None, None, None, None, None, None, None, None, None, 3),
+        (E.END, "b", None, None, None, None, None, None, None, None, None, 4),
+        (E.END, "b", None, "", None, 1, None, 1e22, None, 2, None, 5),
+    ]
+    folder = str(tmp_path / "in")
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(folder)
+    paired = pairing.stream_pairing(spark.readStream.schema(schema).parquet(folder))
+    # what passes to Python is a few values per row
+    assert "_values" in paired._jdf.queryExecution().toString()
+    found = S.run_to_table(spark, paired, str(tmp_path / "out"), str(tmp_path / "checkpoint")).filter("kind <> 'opened'")
+    end = lambda row: (row[3], *row[5:6])
+    columns = ["kind", "trip_id", "pickup_datetime", "pickup_location_id", "dropoff_datetime", "dropoff_location_id",
+               "fare_amount", "tip_amount", "payment_type", "trip_distance", "reason"]
+    assert sorted((tuple(r) for r in found.select(columns).collect()), key=repr) == sorted(
+        [
+            ("completed", "a", at, 7, *end(rows[1]), 0.1 + 0.2, float("inf"), None, -1e-300, None),
+            ("completed", "b", None, None, None, None, None, None, None, None, None),
+            ("orphan", "b", None, None, "", 1, 1e22, None, 2, None, E.REASON),
+        ],
+        key=repr,
+    )
+
+
+def test_cuts_are_derived_in_several_tasks_and_written_one_file_a_folder(spark, tmp_path):
+    task = F.udf(lambda _: TaskContext.get().partitionId(), "int").asNondeterministic()
+    rows = spark.range(0, 4000, 1, 4).select("id", (F.col("id") % 3).alias("part"), task("id").alias("task"))
+    write_in_order(rows, str(tmp_path / "out"), "id", 4, "part")
+    found = spark.read.parquet(str(tmp_path / "out")).withColumn("file", F.col("_metadata.file_path"))
+    cuts = found.groupBy("part", "file").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n")).collect()
+    assert sorted(r["part"] for r in cuts) == sorted([0, 1, 2] * 4) and sum(r["n"] for r in cuts) == 4000
+    spans = sorted({(r["low"] // 1000, r["high"] // 1000) for r in cuts})
+    assert len(spans) <= 8 and all(high - low <= 1 for low, high in spans)
+    assert found.select("task").distinct().count() > 1
+
+
 def test_keyed_state_with_ttl_runs(spark, tmp_path):
     rows = [(E.START, "a", 0, 0), (E.END, "a", 1, 1), (E.END, "a", 2, 2)]
     events = stream_of(spark, rows, str(tmp_path / "in"), 1)

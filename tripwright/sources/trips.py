@@ -106,15 +106,18 @@ def write_in_order(rows: DataFrame, folder: str, order: str, files: int = STREAM
     """Writes ``rows`` as ``files`` files one after the other, cut at quantiles of ``order``.
 
     A file stream takes files by their time, so it sees the rows in this order.
-    With ``by`` each cut is written below folders of these columns.
+    With ``by`` each cut is written below folders of these columns, in one file per
+    folder; every core reads and derives rows, and each folder has a task that writes.
     """
     shares = [at / files for at in range(1, files)]
     edges = rows.agg(F.percentile_approx(order, shares, 10_000)).first()[0] if files > 1 else []
     bounds = [None, *(edges or []), None]
+    cores = rows.sparkSession.sparkContext.defaultParallelism
     for low, high in zip(bounds, bounds[1:]):
         above = F.lit(True) if low is None else F.col(order) > low
         part = rows.filter(above if high is None else above & (F.col(order) <= high))
-        part.coalesce(1).write.mode("append").partitionBy(*by).parquet(folder)
+        part = part.repartition(cores, *by) if by else part.coalesce(1)
+        part.write.mode("append").partitionBy(*by).parquet(folder)
 
 
 def trip_event_stream(spark: SparkSession, sf_dir: str, files: int = STREAM_FILES) -> DataFrame:

@@ -38,6 +38,8 @@ from tripwright.streaming.sinks import drain, write_batch, write_kinds
 
 # State tables kept: the one a batch reads, the one it writes, and one to spare.
 STATE_SLOTS = 3
+# Times in texts of values, to the microsecond.
+AS_TEXT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 def stream_pairing(
@@ -50,50 +52,50 @@ def stream_pairing(
 
     With ``ttl_ms`` an open start is dropped that long after it was stored
     (processing time). Needs the RocksDB state store.
+
+    Each value that passes to Python and back costs by itself, more than pairing
+    does. So the columns of a start or an end travel, and are kept, as one text.
     """
     fields = {f.name: f.dataType for f in events.schema}
+    start_fields, end_fields = (
+        T.StructType([T.StructField(c, fields[c]) for c in names]) for names in (START_COLS, END_COLS)
+    )
     output = T.StructType(
-        [T.StructField("kind", T.StringType())]
-        + [T.StructField(c, fields[c]) for c in COMPLETED_COLS]
-        + [T.StructField("reason", T.StringType())]
+        [T.StructField("kind", T.StringType()), T.StructField("trip_id", fields["trip_id"])]
+        + [T.StructField(c, T.StringType()) for c in ("start", "end")]
     )
-    state = T.StructType([T.StructField(c, fields[c]) for c in START_COLS])
-    start_type, end_type, reason = START, END, REASON
-    start_cols, end_cols, all_cols = START_COLS, END_COLS, COMPLETED_COLS
+    state = T.StructType([T.StructField("start", T.StringType())])
 
     class Pairing(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
             self.open = handle.getValueState("open", state, ttl_ms)
 
         def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-            before = self.open.get() if self.open.exists() else None
+            before = self.open.get()[0] if self.open.exists() else None
             held = before
             for row in sorted(rows, key=lambda r: r[arrival]):
-                values = dict.fromkeys(all_cols)
-                values["trip_id"] = key[0]
-                if row["event_type"] == start_type:
-                    if held is None:
-                        values.update((c, row[c]) for c in start_cols)
-                        yield Row(kind="opened", **values, reason=None)
-                    held = tuple(row[c] for c in start_cols)
-                elif row["event_type"] == end_type:
-                    values.update((c, row[c]) for c in end_cols)
+                if row["_starts"]:
                     if held is None:
-                        yield Row(kind="orphan", **values, reason=reason)
-                    else:
-                        values.update(zip(start_cols, held))
-                        yield Row(kind="completed", **values, reason=None)
-                        held = None
+                        yield Row(kind="opened", trip_id=key[0], start=row["_values"], end=None)
+                    held = row["_values"]
+                elif held is None:
+                    yield Row(kind="orphan", trip_id=key[0], start=None, end=row["_values"])
+                else:
+                    yield Row(kind="completed", trip_id=key[0], start=held, end=row["_values"])
+                    held = None
             if held is not None:
-                self.open.update(tuple(held))
+                self.open.update((held,))
             elif before is not None:
                 self.open.clear()
 
         def close(self) -> None:
             pass
 
-    return (
+    starts = F.col("event_type") == START
+    values = F.when(starts, F.to_json(F.struct(*START_COLS), AS_TEXT)).otherwise(F.to_json(F.struct(*END_COLS), AS_TEXT))
+    paired = (
         trip_halves(events)
+        .select(id, arrival, starts.alias("_starts"), values.alias("_values"))
         .groupBy(id)
         .transformWithState(
             statefulProcessor=Pairing(),
@@ -102,6 +104,11 @@ def stream_pairing(
             timeMode="None" if ttl_ms is None else "ProcessingTime",
         )
     )
+    whole = paired.select(
+        "kind", "trip_id", F.from_json("start", start_fields, AS_TEXT).alias("start"), F.from_json("end", end_fields, AS_TEXT).alias("end")
+    )
+    columns = [c if c == "trip_id" else f"start.{c}" if c in START_COLS else f"end.{c}" for c in COMPLETED_COLS]
+    return whole.select("kind", *columns, F.when(F.col("kind") == "orphan", REASON).alias("reason"))
 
 
 def stream_pairing_expiring(
