@@ -95,3 +95,108 @@ def test_words_of_equal_count_are_clustered_up_to_the_limit(documents, monkeypat
     words = [f"w{at:02d}" for at in range(30)]
     model, _ = lm.train(documents((1, " ".join(words)), (2, " ".join(words[::-1])), (3, "top top top")).select("text"))
     assert list(model.items) == [b"top", *(w.encode() for w in words[:19])]
+
+
+def _likelihood(table):
+    return sum(x * math.log(x) for x in table.ravel() if x) - sum(
+        x * math.log(x) for sums in (table.sum(axis=0), table.sum(axis=1)) for x in sums if x
+    )
+
+
+def _recount(of, text, classes):
+    table = np.zeros((classes, classes))
+    np.add.at(table, ([of[w] for w in [0, *text[:-1]]], [of[w] for w in text]), 1)
+    return table
+
+
+def test_each_word_goes_to_the_class_of_the_best_likelihood():
+    draw = np.random.default_rng(2)
+    # word 0 is the end and closes the text
+    text = [*draw.choice(25, 600, p=draw.dirichlet(np.ones(25))).tolist(), *range(24, 0, -1), 5, 5, 0]
+    of = np.append(0, draw.integers(1, 6, 24))
+    table = _recount(of, text, 6)
+    pairs = _recount(np.arange(25), text, 25)
+    words = np.arange(1, 25)
+    before, after = np.zeros((24, 6)), np.zeros((24, 6))
+    for word in words:
+        for other in range(25):
+            if other != word:
+                before[word - 1, of[other]] += pairs[other, word]
+                after[word - 1, of[other]] += pairs[word, other]
+    got = lm.best_classes(table, before, after, pairs[words, words], of[1:])
+    assert (got != of[1:]).any()
+    for word in words:
+        found = []
+        for cls in range(1, 6):
+            moved = of.copy()
+            moved[word] = cls
+            found.append(_likelihood(_recount(moved, text, 6)))
+        assert math.isclose(found[got[word - 1] - 1], max(found), abs_tol=1e-6)
+
+
+@pytest.mark.parametrize("broadcast", [100_000, 10])
+def test_scores_match_a_plain_version(documents, monkeypatch, broadcast):
+    monkeypatch.setattr(lm, "BROADCAST_WORDS", broadcast)
+    monkeypatch.setattr(lm, "CLUSTERED_WORDS", 8)
+    train = [*_texts(150, 8), "", None, "ka once", "ka once"]
+    model, counts = lm.train(documents(*enumerate(train)).select("text").repartition(3))
+    known = {bytes(r["word"]): (r["n"], r["class"]) for r in counts.collect()}
+    plain = Counter(w for t in train for w in (t or "").encode().lower().split() + [b""])
+    assert {word: n for word, (n, _) in known.items()} == plain and len(plain) > 2 * len(model.items)
+    assert known[b""][1] == 0 and all(known[w][1] == model.classes[item] for w, item in model.items.items())
+    tails = lm.Tails()
+
+    def sequence(text):
+        words = (text or "").encode().lower().split() + [b""]
+        return words, [known[w][1] if w in known else model.classes[1 + tails[w[-2:]]] for w in words]
+
+    table, mass = np.zeros((lm.CLASSES, lm.CLASSES)), np.zeros(lm.CLASSES)
+    for text in train:
+        _, classes = sequence(text)
+        np.add.at(table, ([0, *classes[:-1]], classes), 1)
+    for n, cls in known.values():
+        mass[cls] += n + 0.5
+    steps = (table + 0.5) / (table.sum(axis=1, keepdims=True) + 0.5 * lm.CLASSES)
+    test = [*_texts(40, 9), "", None, "once once KA none nones ka", "ka\nnone none once", "ka " * 3_000 + "once " * 3_000]
+    got = {r["doc_id"]: r["score"] for r in lm.score(documents(*enumerate(test)), model, counts).collect()}
+    for at, text in enumerate(test):
+        words, classes = sequence(text)
+        want = sum(
+            math.log10(steps[was, cls] * (known.get(w, (0,))[0] + 0.5) / (mass[cls] + 0.5))
+            for was, cls, w in zip([0, *classes], classes, words)
+        )
+        assert math.isclose(got[at], want, rel_tol=1e-9), text
+
+
+def test_words_beyond_the_limit_are_placed_by_their_neighbours(documents, monkeypatch):
+    monkeypatch.setattr(lm, "CLUSTERED_WORDS", 120)
+    draw, texts = random.Random(3), []
+    for lang in "ab":
+        # all end alike, and the rare ones are equally frequent
+        rare = [f"{lang}r{at}zz" for at in range(100)] * 4
+        draw.shuffle(rare)
+        for word in rare:
+            around = [f"{lang}{draw.randrange(60)}zz" for _ in range(12)]
+            texts.append(" ".join([*around[:6], word, *around[6:]]))
+    model, counts = lm.train(documents(*enumerate(texts)).select("text"))
+    assert len(model.items) == 120 and not any(b"r" in word for word in model.items)
+    pure = " ".join(f"a{at}zz ar{at}zz" for at in range(60))
+    mixed = " ".join(f"a{at}zz br{at}zz" for at in range(60))
+    got = {r["doc_id"]: r["score"] for r in lm.score(documents((1, pure), (2, mixed)), model, counts).collect()}
+    assert got[1] > got[2] + 30
+
+
+def test_a_word_is_placed_once_however_its_counts_are_cut(spark, documents):
+    texts = documents(*enumerate([*_texts(120, 10), *("same " * 50, "other same") * 20])).select("text")
+    items, size = {b"ka": 1 + lm.TAILS}, 1 + lm.TAILS + lm.CLUSTERED_WORDS
+    classes = np.append(0, np.arange(size - 1) % (lm.CLASSES - 1) + 1)
+    table = lm.count_pairs(texts, items)
+    table = np.array([[table[np.ix_(classes == a, classes == b)].sum() for b in range(lm.CLASSES)] for a in range(lm.CLASSES)])
+    found = []
+    for parts, rows in ((1, 10_000), (40, 3)):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+        contexts = lm.count_contexts(texts.repartition(parts), items, classes)
+        found.append(sorted(tuple(r) for r in lm.place_words(contexts, items, classes, table).collect()))
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert found[0] == found[1]
+    assert len({word for word, _, _ in found[0]}) == len(found[0])

@@ -2,38 +2,47 @@
 
 Exchange clustering assigns words to classes so that class bigrams predict well.
 The probability of a token is that of its class after the class before, times
-that of the word in its class, both smoothed. Frequent words are clustered each
-by itself; all other words enter the clustering by their last two bytes, in a
-fixed number of groups, so that the class of any word is known without a lookup.
-Word counts cover the whole training corpus and stay a distributed table; only
-the counts of the most frequent words are broadcast.
+that of the word in its class, both smoothed. It starts on the driver, on a
+matrix of fixed size: frequent words each by itself, all others in groups by
+their last two bytes, which gives every word a class without a lookup. Then a
+distributed sweep takes every other training word out of its group and puts it
+in the class that its own neighbours in the whole corpus make likeliest, and
+class bigrams are counted anew. Only words that training lacks keep the class of
+their group. Counts and classes of words stay a distributed table; only those of
+the most frequent words are broadcast.
 """
 
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripwright.llm.common import byte_groups, written
 
-# Words clustered by themselves, groups of the rest, classes, and sweeps of exchange.
+# Words clustered on the driver, groups the rest starts in, classes, and sweeps of exchange there.
 CLUSTERED_WORDS = 1_000
 TAILS = 64
 CLASSES = 48
 SWEEPS = 8
-# Words whose counts are broadcast; the counts of all others are joined.
+# Words whose counts and classes are broadcast; those of all others are joined.
 BROADCAST_WORDS = 100_000
 SMOOTHING = 0.5
-# Counts a task holds before it passes them on.
+# Counts a task holds before it passes them on, and tokens whose neighbours it holds.
 HELD_WORDS = 100_000
+HELD_TOKENS = 4_000_000
+# Counts of a word's neighbours: by the class before, by the class after, and of itself before itself.
+WIDTH = 2 * CLASSES + 1
+CELL = np.dtype([("slot", "u1"), ("n", "<u4")])
 # The token that ends a text. No word is empty.
 END = b""
 
@@ -96,17 +105,21 @@ def most_frequent(counts: DataFrame, limit: int) -> DataFrame:
 
 @dataclass
 class Model:
-    items: dict[bytes, int]  # clustered words, numbered from TAILS + 1; END is item 0
-    classes: np.ndarray  # of each item; item 1 + g is the group g of other words
+    items: dict[bytes, int]  # words clustered on the driver, numbered from TAILS + 1; END is item 0
+    classes: np.ndarray  # of each item; item 1 + g is the group g of other words, where those training lacks stay
     steps: np.ndarray  # log10 P(class | class before)
     spread: np.ndarray  # log10 of what a class's smoothed counts sum to
     known: dict[bytes, int]  # place of a broadcast word in the next two, from 1
     counts: np.ndarray
-    words_item: np.ndarray
+    words_class: np.ndarray  # -1 at place 0
     tokens: int
     base_spread: float
 
 
+def _f(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1.0))
+
+
 def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) -> np.ndarray:
     """Classes of items from their bigram counts. Item 0 keeps class 0 to itself.
 
@@ -121,9 +134,7 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) ->
     table = np.zeros((classes, classes))
     np.add.at(table, (of[:, None].repeat(n, 1), of[None, :].repeat(n, 0)), pairs)
 
-    def f(x):
-        return x * np.log(np.maximum(x, 1.0))
-
+    f = _f
     for _ in range(sweeps):
         moved = 0
         for item in others.tolist():
@@ -181,8 +192,209 @@ def count_pairs(texts: DataFrame, items: dict[bytes, int]) -> np.ndarray:
     return out.reshape(size, size)
 
 
+def best_classes(table: np.ndarray, before: np.ndarray, after: np.ndarray, own: np.ndarray, was: np.ndarray) -> np.ndarray:
+    """For each word the class that raises the likelihood of the class bigrams ``table`` most if it alone moves.
+
+    ``before`` and ``after`` count a word's neighbours by class, without itself;
+    ``own`` counts the word before itself. Each word has a neighbour on both sides.
+    Only cells that the word touches differ between classes; ``was`` is kept unless
+    another class is better. No word moves to class 0.
+    """
+    at, word = np.arange(len(table)), np.arange(len(was))
+    gain = np.zeros((len(was), len(table)))
+    for counts, cells in ((after, table.T), (before, table)):
+        owner, cls = np.nonzero(counts)
+        cells = cells[cls]
+        gain += np.add.reduceat(_f(cells + counts[owner, cls][:, None]) - _f(cells), np.searchsorted(owner, word))
+    # the cells shared with the class that the word leaves, and of the class before itself
+    into, out, self_ = table[:, was].T, table[was], table[at, at]
+    left, right, own = before[word, was][:, None], after[word, was][:, None], own[:, None]
+    gain += _f(into - before + right) - _f(into - before) - _f(into + right) + _f(into)
+    gain += _f(out - after + left) - _f(out - after) - _f(out + left) + _f(out)
+    gain += _f(self_ + after + before + own) + _f(self_) - _f(self_ + after) - _f(self_ + before)
+    n = after.sum(axis=1, keepdims=True) + own
+    stay = _f(out) - _f(out - after) + _f(into) - _f(into - before)
+    stay[word, was] = _f(self_[was]) - _f(self_[was] - (left + right + own)[:, 0])
+    gain[word, was] = stay.sum(axis=1)
+    for sums in (table.sum(axis=1), table.sum(axis=0)):
+        sums = np.broadcast_to(sums, gain.shape).copy()
+        sums[word, was] -= n[:, 0]
+        gain -= _f(sums + n) - _f(sums)
+    gain[:, 0] = -np.inf
+    best = gain.argmax(axis=1)
+    return np.where(gain[word, best] > gain[word, was] + 1e-9, best, was)
+
+
+class Places(dict):
+    """Numbers words as they come, and holds the class each starts in."""
+
+    def __init__(self, items: dict[bytes, int], classes: np.ndarray):
+        self.items_, self.classes, self.tails, self.starts = items, classes.tolist(), Tails(), array("b")
+
+    def __missing__(self, word: bytes) -> int:
+        item = 0 if word == END else self.items_.get(word) or self.tails[word[-2:]] + 1
+        self[word] = len(self)
+        self.starts.append(self.classes[item])
+        return len(self) - 1
+
+
+def count_contexts(texts: DataFrame, items: dict[bytes, int], classes: np.ndarray) -> DataFrame:
+    """(word, cells): how often each word stands by words that start in each class, as packed ``CELL``; may repeat words."""
+    shared = texts.sparkSession.sparkContext.broadcast((items, classes))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places, held, tokens = Places(*shared.value), [], 0
+
+        def flush() -> pa.RecordBatch:
+            keys, n = np.unique(np.concatenate(held), return_counts=True)
+            cells = np.empty(len(keys), CELL)
+            cells["slot"], cells["n"] = keys % WIDTH, n
+            # every word has a cell
+            ends = np.searchsorted(keys // WIDTH, np.arange(len(places) + 1)) * CELL.itemsize
+            packed = pa.Array.from_buffers(
+                pa.binary(), len(places), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(cells.tobytes())]
+            )
+            return pa.RecordBatch.from_arrays([pa.array(list(places), pa.binary()), packed], names=["word", "cells"])
+
+        for batch in batches:
+            for _, _, values in byte_groups(batch.column(0)):
+                found = []
+                for value in values:
+                    found += [places[w] for w in words_of(value)]
+                    found.append(places[END])
+                place = np.array(found)
+                cls = np.frombuffer(places.starts, np.int8)[place].astype(np.int32)
+                same = place[1:] == place[:-1]
+                # narrow keys are sorted faster, wide ones are for very long texts
+                key = (place * WIDTH).astype(np.int32 if len(places) * WIDTH < 1 << 31 else np.int64)
+                before = np.append(np.int32(0), cls[:-1])
+                before[1:][same] = WIDTH - 1
+                held.append(key + before)
+                held.append((key[:-1] + CLASSES + cls[1:])[~same])
+                tokens += len(place)
+                if tokens >= HELD_TOKENS:
+                    yield flush()
+                    places, held, tokens = Places(*shared.value), [], 0
+        if held:
+            yield flush()
+
+    return texts.mapInArrow(run, "word binary, cells binary")
+
+
+def place_words(contexts: DataFrame, items: dict[bytes, int], classes: np.ndarray, table: np.ndarray) -> DataFrame:
+    """(word, n, class) of each training word; words of ``items`` and ends keep the class they have.
+
+    A task gets the rows of a word together and works through them batch by batch.
+    """
+    shared = contexts.sparkSession.sparkContext.broadcast((items, classes, table))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items, classes, table = shared.value
+        tails, rest = Tails(), None
+
+        def place(rows: pa.Table) -> pa.RecordBatch:
+            coded = rows.column("word").combine_chunks().dictionary_encode()
+            words, cells = coded.dictionary.to_pylist(), rows.column("cells").combine_chunks()
+            low = pc.binary_length(cells).to_numpy() // CELL.itemsize
+            packed = np.frombuffer(pc.binary_join(pa.LargeListArray.from_arrays([0, len(cells)], cells), b"")[0].as_buffer(), CELL)
+            owner = np.repeat(coded.indices.to_numpy().astype(np.int64), low)
+            sums = np.bincount(owner * WIDTH + packed["slot"], packed["n"], len(words) * WIDTH).reshape(-1, WIDTH)
+            before, after, own = sums[:, :CLASSES], sums[:, CLASSES:-1], sums[:, -1]
+            cls = classes[[0 if w == END else items.get(w) or tails[w[-2:]] + 1 for w in words]]
+            free = np.flatnonzero([w != END and w not in items for w in words])
+            if len(free):
+                cls[free] = best_classes(table, before[free], after[free], own[free], cls[free])
+            n = (before.sum(axis=1) + own).astype(np.int64)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(words, pa.binary()), pa.array(n), pa.array(cls.astype(np.int32))], names=["word", "n", "class"]
+            )
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            rows = rows if rest is None else pa.concat_tables([rest, rows])
+            # the last word may go on in the next batch
+            words = batch.column("word")
+            last, cut = words[-1], rows.num_rows - batch.num_rows
+            other = np.flatnonzero(~np.asarray(pc.equal(words, last)))
+            if len(other):
+                cut += int(other[-1]) + 1
+            elif rest is not None and rest.column("word")[-1] == last:
+                cut = 0
+            if cut:
+                yield place(rows.slice(0, cut))
+            rest = rows.slice(cut)
+        if rest is not None:
+            yield place(rest)
+
+    return contexts.repartition("word").sortWithinPartitions("word").mapInArrow(run, "word binary, n long, class int")
+
+
+def count_classes(texts: DataFrame, placed: DataFrame, known: dict[bytes, int], words_class: np.ndarray) -> np.ndarray:
+    """How often each class follows each.
+
+    A task sums up what is broadcast. The classes of other words are joined, and
+    once more where such a word follows such a word.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast((known, words_class))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, words_class = shared.value
+        pairs = np.zeros(CLASSES * CLASSES, np.int64)
+
+        def rows(words, before, after, follower, times) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(words, pa.binary()), pa.array(before.astype(np.int32)), pa.array(after.astype(np.int32)),
+                    pa.array(follower, pa.binary()), pa.array(times),
+                ],
+                names=["word", "before", "after", "follower", "times"],
+            )
+
+        for batch in batches:
+            for _, _, values in byte_groups(batch.column(0)):
+                words, _ = _tokens(values)
+                cls = words_class[np.array([known.get(word, 0) for word in words])]
+                before, rare = np.append(0, cls[:-1]), np.flatnonzero(cls < 0)
+                both = (before >= 0) & (cls >= 0)
+                pairs += np.bincount(before[both] * CLASSES + cls[both], minlength=len(pairs))
+                # an end follows the last word of a text
+                after = cls[rare + 1]
+                follower = [words[at + 1] if c < 0 else None for at, c in zip(rare.tolist(), after.tolist())]
+                yield rows([words[at] for at in rare.tolist()], before[rare], after, follower, np.ones(len(rare), np.int64))
+        seen = np.flatnonzero(pairs)
+        # their keys have a blank, as no word has, and are many, unlike null
+        yield rows([b" %d" % at for at in seen.tolist()], seen // CLASSES, seen % CLASSES, [None] * len(seen), pairs[seen])
+
+    tokens = texts.mapInArrow(run, "word binary, before int, after int, follower binary, times long")
+    joined = tokens.join(placed.select("word", "class"), "word", "left")
+    summed = joined.groupBy("follower", "before", "class", "after").agg(F.sum("times").alias("times"))
+    of_follower = placed.select(F.col("word").alias("follower"), F.col("class").alias("next"))
+    # of rows without a follower there is one at most for each three classes
+    found = (
+        summed.join(of_follower, "follower", "left")
+        .groupBy("before", "class", F.coalesce("next", "after").alias("after"))
+        .agg(F.sum("times").alias("times"))
+        .collect()
+    )
+    table = np.zeros((CLASSES, CLASSES))
+    for before, cls, after, times in found:
+        if cls is None:
+            table[before, after] += times
+            continue
+        table[cls, after] += times
+        # after a rare word it is counted as that word's follower
+        if before >= 0:
+            table[before, cls] += times
+    return table
+
+
 def train(texts: DataFrame) -> tuple[Model, DataFrame]:
-    """The model and the table of all word counts, from one column of texts."""
+    """The model and the table of all words' counts and classes, from one column of texts.
+
+    Null reads as the empty text, repeated rows count each; without rows all words are unknown.
+    """
     counts = written(count_words(texts), "word_counts")
     tokens, distinct, ends = counts.agg(
         F.sum("n"), F.count("*"), F.sum(F.when(F.octet_length("word") == 0, F.col("n")))
@@ -195,80 +407,89 @@ def train(texts: DataFrame) -> tuple[Model, DataFrame]:
     classes = exchange(pairs)
     table = np.zeros((CLASSES, CLASSES))
     np.add.at(table, (classes[:, None].repeat(len(classes), 1), classes[None, :].repeat(len(classes), 0)), pairs)
+    placed = written(place_words(count_contexts(texts, items, classes), items, classes, table), "word_classes")
+    shared = most_frequent(placed, BROADCAST_WORDS).toArrow()
+    often = dict(zip(shared.column("word").to_pylist(), zip(shared.column("n").to_pylist(), shared.column("class").to_pylist())))
+    often |= {word: (n, int(classes[items[word]])) for n, word in ranked} | {END: (ends or 0, 0)}
+    known = {word: at + 1 for at, word in enumerate(often)}
+    words_class = np.array([-1, *(cls for _, cls in often.values())])
+    table = count_classes(texts, placed, known, words_class)
     steps = np.log10((table + SMOOTHING) / (table.sum(axis=1, keepdims=True) + SMOOTHING * CLASSES))
-    # distinct words and tokens of each class
-    distinct_items = np.zeros(len(classes))
-    distinct_items[0] = 1
-    distinct_items[list(items.values())] = 1
-    for group, n in counts.filter(F.octet_length("word") > 0).groupBy(tail_group(F.col("word"))).count().collect():
-        distinct_items[1 + group] += n
-    tails = Tails()
-    for word in items:
-        distinct_items[1 + tails[word[-2:]]] -= 1
-    distinct_classes = np.bincount(classes, weights=distinct_items, minlength=CLASSES)
+    distinct_classes = np.zeros(CLASSES)
+    for cls, n in placed.groupBy("class").count().collect():
+        distinct_classes[cls] = n
+    distinct_classes[0] = 1
     spread = np.log10(table.sum(axis=0) + SMOOTHING * (distinct_classes + 1))
-    shared = most_frequent(counts, BROADCAST_WORDS).toArrow()
-    often = dict(zip(shared.column("word").to_pylist(), shared.column("n").to_pylist()))
-    often |= {word: n for n, word in ranked} | {END: ends or 0}
-    words = list(often)
-    item_of = [0 if w == END else items.get(w) or tails[w[-2:]] + 1 for w in words]
     model = Model(
-        items, classes, steps, spread, {word: at + 1 for at, word in enumerate(words)},
-        np.array([0, *often.values()]), np.array([0, *item_of]), tokens or 0,
+        items, classes, steps, spread, known, np.array([0, *(n for n, _ in often.values())]), words_class, tokens or 0,
         float(np.log10((tokens or 0) + SMOOTHING * ((distinct or 0) + 1))),
     )
-    return model, counts
+    return model, placed
+
+
+def _tokens(values: list[bytes]) -> tuple[list[bytes], list[int]]:
+    """The words and ends of texts, and where each text starts in them."""
+    words, firsts = [], []
+    for value in values:
+        firsts.append(len(words))
+        words += words_of(value)
+        words.append(END)
+    return words, firsts
 
 
 def _partial_scores(docs: DataFrame, model: Model, id_col: str, text: str) -> DataFrame:
-    """Per row its sums over broadcast words, and a row for each other word of it.
+    """Per row its sums over broadcast words, and a row for each other token of it.
 
-    Both carry ``row``, a number per row of ``docs``. What a row's other words add
-    by their place and class is in its sums already; only the counts are missing.
+    Both carry ``row``, a number per row of ``docs``. Steps between two broadcast
+    words are in a row's sums already; those to and from other words are missing.
+    ``pos`` numbers a row's tokens, -1 marks its own sums; ``before`` and ``after``
+    are the neighbours' classes, -1 for those that are not broadcast.
     """
     shared = docs.sparkSession.sparkContext.broadcast(tuple(vars(model).values()))
     rows = docs.select(id_col, text)
     id_type = rows.schema[0].dataType.simpleString()
-    schema = f"row long, doc_id {id_type}, word binary, times long, n_tokens long, n_known long, base double, score double"
-    names = ["row", "doc_id", "word", "times", "n_tokens", "n_known", "base", "score"]
+    schema = (
+        f"row long, doc_id {id_type}, word binary, pos int, before int, after int, "
+        "n_tokens long, n_known long, base double, score double"
+    )
+    names = ["row", "doc_id", "word", "pos", "before", "after", "n_tokens", "n_known", "base", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, tails, number = Model(*shared.value), Tails(), TaskContext.get().partitionId() << 40
+        model, number = Model(*shared.value), TaskContext.get().partitionId() << 40
         place_of = model.known.get
         logs = np.log10(model.counts + SMOOTHING)
         for batch in batches:
             for low, high, values in byte_groups(batch.column(1)):
-                words, firsts = [], []
-                for value in values:
-                    firsts.append(len(words))
-                    words += words_of(value)
-                    words.append(END)
+                words, firsts = _tokens(values)
                 place = np.array([place_of(word, 0) for word in words])
-                item = model.words_item[place]
-                rare = np.flatnonzero(place == 0)
-                item[rare] = [tails[words[at][-2:]] + 1 for at in rare.tolist()]
-                cls = model.classes[item]
+                cls = model.words_class[place]
+                before = np.append(0, cls[:-1])
                 log = logs[place]
-                log[rare] = 0.0
-                score = model.steps[np.concatenate(([0], cls[:-1])), cls] + log - model.spread[cls]
+                known = cls >= 0
+                log[~known] = 0.0
+                score = np.where(known, log - model.spread[cls], 0.0)
+                score += np.where(known & (before >= 0), model.steps[before, cls], 0.0)
                 n = np.diff(np.append(firsts, len(words)))
                 base = np.add.reduceat(log, firsts) - n * model.base_spread
+                rare = np.flatnonzero(~known)
                 owner = np.searchsorted(firsts, rare, side="right") - 1
-                tally = Counter(zip(owner.tolist(), [words[at] for at in rare.tolist()]))
-                known = np.add.reduceat((model.counts[place] > 0).astype(np.int64), firsts)
+                found = [words[at] for at in rare.tolist()]
+                seen = np.add.reduceat((model.counts[place] > 0).astype(np.int64), firsts)
                 numbers = number + np.arange(high - low)
                 number += high - low
-                k = len(tally)
+                k = len(rare)
                 # the key of a row's own sums has a blank, as no word has
-                own = [b" %d" % at for at in numbers.tolist()]
+                own, none = [b" %d" % at for at in numbers.tolist()], np.full(high - low, -1)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.concatenate((numbers, numbers[[o for o, _ in tally]])) if k else numbers),
+                        pa.array(np.concatenate((numbers, numbers[owner]))),
                         pa.concat_arrays([batch.column(0).slice(low, high - low), pa.nulls(k, batch.column(0).type)]),
-                        pa.array(own + [word for _, word in tally], pa.binary()),
-                        pa.array([0] * len(own) + list(tally.values()), pa.int64()),
+                        pa.array(own + found, pa.binary()),
+                        pa.array(np.concatenate((none, rare)).astype(np.int32)),
+                        pa.array(np.concatenate((none, before[rare])).astype(np.int32)),
+                        pa.array(np.concatenate((none, cls[rare + 1])).astype(np.int32)),
                         pa.array(np.concatenate((n, np.zeros(k, np.int64)))),
-                        pa.array(np.concatenate((known, np.zeros(k, np.int64)))),
+                        pa.array(np.concatenate((seen, np.zeros(k, np.int64)))),
                         pa.array(np.concatenate((base, np.zeros(k)))),
                         pa.array(np.concatenate((np.add.reduceat(score, firsts), np.zeros(k)))),
                     ],
@@ -283,18 +504,33 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_i
 
     Log10 probabilities of the whole text: ``base_score`` by smoothed word counts,
     ``score`` by the class model. Null reads as the empty text, which is one end.
-    Words that training lacks share one smoothed count per class. Other columns
-    are ignored. Counts of words that are not broadcast are joined; such words are
-    rare, so no key is hot.
+    Words that training lacks share one smoothed count per class, that of their
+    last two bytes. Other columns are ignored. Counts and classes of words that are
+    not broadcast are joined; such words are rare in training, so few keys are hot.
     """
-    partial = _partial_scores(docs, model, id_col, text)
-    joined = partial.join(counts, "word", "left")
-    log = F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + SMOOTHING)
-    found = F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)
-    return joined.groupBy("row").agg(
+    steps, spread, groups = (F.lit(x.tolist()) for x in (model.steps.ravel(), model.spread, model.classes[1 : 1 + TAILS]))
+    tokens = _partial_scores(docs, model, id_col, text).join(counts, "word", "left")
+    cls = F.coalesce("class", F.get(groups, tail_group(F.col("word")).cast("int")))
+    # such a word's steps to and from broadcast words; other steps are between words in a chain
+    rare, before, after = F.col("pos") >= 0, F.col("before"), F.col("after")
+    step = F.when(before >= 0, F.get(steps, before * CLASSES + F.col("cls"))).otherwise(0.0) - F.get(spread, F.col("cls"))
+    step += F.when(after >= 0, F.get(steps, F.col("cls") * CLASSES + after)).otherwise(0.0)
+    link = F.when(rare & ((before < 0) | (after < 0)), F.col("pos").cast("long") * CLASSES + F.col("cls"))
+    log = F.when(rare, F.log10(F.coalesce("n", F.lit(0)) + SMOOTHING)).otherwise(0.0)
+    summed = tokens.withColumn("cls", cls).groupBy("row").agg(
         F.max("doc_id").alias("doc_id"),
         F.sum("n_tokens").alias("n_tokens"),
-        F.sum(F.col("n_known") + found).alias("n_known"),
+        F.sum(F.col("n_known") + F.when(F.col("n").isNotNull(), 1).otherwise(0)).alias("n_known"),
         F.sum(F.col("base") + log).alias("base_score"),
-        F.sum(F.col("score") + log).alias("score"),
-    ).drop("row")
+        F.sum(F.col("score") + log + F.when(rare, step).otherwise(0.0)).alias("score"),
+        F.sort_array(F.collect_list(link)).alias("chain"),
+    )
+
+    def chained(one: Column, two: Column) -> Column:
+        left, right = one % CLASSES, two % CLASSES
+        return F.when(two - right == one - left + CLASSES, F.get(steps, (left * CLASSES + right).cast("int"))).otherwise(0.0)
+
+    most = F.greatest(F.size("chain") - 1, F.lit(0))
+    links = F.zip_with(F.slice("chain", 1, most), F.slice("chain", 2, most), chained)
+    total = F.col("score") + F.aggregate(links, F.lit(0.0), lambda done, one: done + one)
+    return summed.select("doc_id", "n_tokens", "n_known", "base_score", total.alias("score"))
