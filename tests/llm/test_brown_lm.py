@@ -1,8 +1,10 @@
 import math
 import random
+import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tripwright.llm import brown_lm as lm
@@ -200,3 +202,60 @@ def test_a_word_is_placed_once_however_its_counts_are_cut(spark, documents):
     spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert found[0] == found[1]
     assert len({word for word, _, _ in found[0]}) == len(found[0])
+
+
+def _odd_texts(seed):
+    draw = random.Random(seed)
+    parts = ["A", "b", "Zz", "\u00c9", "\u2003", "\x00", "\x1c", " ", "  ", "\t", "\n", "\x0b", "\x0c", "\r", "w" * 300]
+    return [draw.choice([None, "", "".join(draw.choice(parts) for _ in range(draw.randrange(30)))]) for _ in range(200)]
+
+
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_tokens_of_whole_columns_are_those_of_each_text(kind):
+    for texts in ([], [None], ["", None], ["ab", "cd", " e", "f "], _odd_texts(21)):
+        # also within a longer column
+        column = pa.array(["before", *texts, "after"], kind).slice(1, len(texts))
+        words, n = lm.tokens_of(column)
+        want = [(t or "").encode().lower().split() + [lm.END] for t in texts]
+        assert words.to_pylist() == [w for text in want for w in text] and n.tolist() == [len(text) for text in want]
+
+
+def test_tokens_are_numbered_alike_however_they_are_held(monkeypatch):
+    texts = [*_odd_texts(22), *_odd_texts(23)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[at : at + 50], pa.string())], names=["text"]) for at in range(0, len(texts), 50)]
+    want = [w for t in texts for w in (t or "").encode().lower().split() + [lm.END]]
+    for tokens, size, group in ((4_000_000, 1 << 26, 1 << 22), (100, 1 << 26, 64), (4_000_000, 1_000, 64)):
+        monkeypatch.setattr(lm, "HELD_TOKENS", tokens)
+        monkeypatch.setattr(lm, "HELD_BYTES", size)
+        monkeypatch.setattr(lm, "GROUP_BYTES", group)
+        got = []
+        for places, words in lm.numbered(iter(batches)):
+            distinct = words.to_pylist()
+            assert len(set(distinct)) == len(distinct)
+            got += [distinct[at] for at in places.tolist()]
+        assert got == want
+
+
+def test_items_of_words():
+    tails = lm.Tails()
+    items = {b"ka": 1 + lm.TAILS, b"\xc3\xa9": 2 + lm.TAILS}
+    words = [b"", b"ka", b"x", b"xy", b"wxy", b"\xc3\xa9", b"\xff", b"", b"kaka"]
+    want = [0 if w == lm.END else items.get(w) or tails[w[-2:]] + 1 for w in words]
+    assert lm.items_of(pa.array([b"q", *words], pa.binary()).slice(1), items).tolist() == want
+    assert lm.items_of(pa.array(words, pa.binary()), {}).tolist() == [0 if w == lm.END else tails[w[-2:]] + 1 for w in words]
+
+
+def test_texts_are_cut_into_tokens_in_little_time():
+    draw = random.Random(24)
+    texts = pa.array([" ".join(f"w{draw.randrange(10**5)}" for _ in range(500)) for _ in range(2_000)])
+    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+    took = []
+    for _ in range(3):
+        began = time.process_time()
+        words = [w for text in texts.to_pylist() for w in text.encode().lower().split()]
+        plain = Counter(words)
+        middle = time.process_time()
+        counts = [np.bincount(places) for places, _ in lm.numbered(iter([batch]))]
+        took.append((time.process_time() - middle) / (middle - began))
+        assert sum(c.sum() for c in counts) == plain.total() + len(texts)
+    assert min(took) < 0.8

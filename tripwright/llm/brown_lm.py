@@ -15,10 +15,9 @@ the most frequent words are broadcast.
 from __future__ import annotations
 
 import zlib
-from array import array
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripwright.llm.common import byte_groups, written
+from tripwright.llm.common import slices, written
 
 # Words clustered on the driver, groups the rest starts in, classes, and sweeps of exchange there.
 CLUSTERED_WORDS = 1_000
@@ -37,9 +36,10 @@ SWEEPS = 8
 # Words whose counts and classes are broadcast; those of all others are joined.
 BROADCAST_WORDS = 100_000
 SMOOTHING = 0.5
-# Counts a task holds before it passes them on, and tokens whose neighbours it holds.
-HELD_WORDS = 100_000
+# Tokens that a task numbers together, and bytes of texts (or one longer text); it cuts texts into tokens by fewer.
 HELD_TOKENS = 4_000_000
+HELD_BYTES = 1 << 26
+GROUP_BYTES = 1 << 22
 # Counts of a word's neighbours: by the class before, by the class after, and of itself before itself.
 WIDTH = 2 * CLASSES + 1
 CELL = np.dtype([("slot", "u1"), ("n", "<u4")])
@@ -47,9 +47,61 @@ CELL = np.dtype([("slot", "u1"), ("n", "<u4")])
 END = b""
 
 
-def words_of(text: bytes) -> list[bytes]:
-    """Runs of bytes other than ASCII blanks, A-Z lowered."""
-    return text.lower().split()
+BLANKS = b"\t\n\x0b\x0c\r "
+LOWER = bytes(range(256)).lower()
+IS_WORD = bytes(b not in BLANKS for b in range(256))
+
+
+def tokens_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of texts (runs of bytes other than ASCII blanks, A-Z lowered), each text closed by an end, and their number by text."""
+    texts = texts.cast(pa.large_binary())
+    if texts.null_count:
+        texts = pc.fill_null(texts, b"")
+    cuts = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    if cuts[0] < cuts[-1]:
+        raw = texts.buffers()[2][cuts[0] : cuts[-1]].to_pybytes()
+    else:
+        raw = b""
+    cuts = cuts - cuts[0]
+    # words begin and end at blanks, and with their text
+    inside = np.frombuffer(raw.translate(IS_WORD), bool)
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    edges = cuts[:-1][np.diff(cuts) > 0]
+    first[edges] = inside[edges]
+    last[edges[1:] - 1] = inside[edges[1:] - 1]
+    starts = np.flatnonzero(first)
+    n = np.diff(np.searchsorted(starts, cuts)) + 1
+    is_word = np.ones(len(starts) + len(n), bool)
+    is_word[np.cumsum(n) - 1] = False
+    ends = np.zeros(len(is_word) + 1, np.int32)
+    ends[1:][is_word] = np.flatnonzero(last) - starts + 1
+    np.cumsum(ends, out=ends)
+    data = raw.translate(LOWER, BLANKS)
+    return pa.Array.from_buffers(pa.binary(), len(is_word), [None, pa.py_buffer(ends), pa.py_buffer(data)]), n
+
+
+def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, pa.Array]]:
+    """Of some texts at a time the tokens as numbers, and the words that these stand for."""
+    held, tokens, size = [], 0, 0
+
+    def flush() -> tuple[np.ndarray, pa.Array]:
+        coded = pa.concat_arrays(held).dictionary_encode()
+        return coded.indices.to_numpy(), coded.dictionary
+
+    for batch in batches:
+        column = batch.column(0)
+        for low, high in slices(column, GROUP_BYTES):
+            words, _ = tokens_of(column.slice(low, high - low))
+            if held and (tokens + len(words) > HELD_TOKENS or size + words.nbytes > HELD_BYTES):
+                yield flush()
+                held, tokens, size = [], 0, 0
+            held.append(words)
+            tokens += len(words)
+            size += words.nbytes
+    if held:
+        yield flush()
 
 
 class Tails(dict):
@@ -60,6 +112,42 @@ class Tails(dict):
         return self[tail]
 
 
+@cache
+def _tail_table() -> np.ndarray:
+    """``Tails`` of two bytes (as a big-endian number), then of one byte, then of none."""
+    tails = [bytes(divmod(at, 256)) for at in range(1 << 16)] + [bytes([at]) for at in range(256)] + [b""]
+    return np.array([zlib.crc32(tail) % TAILS for tail in tails], np.int32)
+
+
+def tail_groups(words: pa.Array) -> np.ndarray:
+    """``Tails`` of each word."""
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1]
+    length = np.diff(ends)
+    tail = np.full(len(words), (1 << 16) + 256)
+    if ends[0] < ends[-1]:
+        data = np.frombuffer(words.buffers()[2], np.uint8)
+        one, two = ends[1:][length == 1], ends[1:][length > 1]
+        tail[length == 1] = data[one - 1].astype(np.int64) + (1 << 16)
+        tail[length > 1] = data[two - 2].astype(np.int64) * 256 + data[two - 1]
+    return _tail_table()[tail]
+
+
+def places_in(words: pa.Array, known: pa.Array) -> np.ndarray:
+    """The place of each word in ``known``, from 1; 0 for others."""
+    found = pc.index_in(words, known)
+    return pc.fill_null(found, -1).to_numpy() + 1
+
+
+def items_of(words: pa.Array, items: dict[bytes, int]) -> np.ndarray:
+    """The item of each word: its own, that of its group, or 0 for an end."""
+    numbers = np.append(0, np.fromiter(items.values(), np.int64, len(items)))
+    out = numbers[places_in(words, pa.array(list(items), pa.binary()))]
+    other = np.flatnonzero(out == 0)
+    rest = words.take(pa.array(other))
+    out[other] = np.where(pc.binary_length(rest).to_numpy() > 0, tail_groups(rest) + 1, 0)
+    return out
+
+
 def tail_group(word: Column) -> Column:
     """``Tails`` as a column of a binary word."""
     cut = F.when(F.octet_length(word) > 2, F.substring(word, -2, 2)).otherwise(word)
@@ -70,22 +158,9 @@ def count_words(texts: DataFrame) -> DataFrame:
     """(word, n) over all texts, one end per text, summed up in each task first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-
-        def flush() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(counts.keys()), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"]
-            )
-
-        for batch in batches:
-            for _, _, values in byte_groups(batch.column(0)):
-                for value in values:
-                    counts.update(words_of(value))
-                    counts[END] += 1
-                if len(counts) >= HELD_WORDS:
-                    yield flush()
-                    counts.clear()
-        yield flush()
+        for places, words in numbered(batches):
+            n = np.bincount(places, minlength=len(words))
+            yield pa.RecordBatch.from_arrays([words, pa.array(n)], names=["word", "n"])
 
     return texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -174,15 +249,13 @@ def count_pairs(texts: DataFrame, items: dict[bytes, int]) -> np.ndarray:
     shared = texts.sparkSession.sparkContext.broadcast(items)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, tails, pairs = shared.value, Tails(), np.zeros(size * size, np.int64)
+        pairs = np.zeros(size * size, np.int64)
         for batch in batches:
-            for _, _, values in byte_groups(batch.column(0)):
-                found = []
-                for value in values:
-                    found += [known.get(w) or tails[w[-2:]] + 1 for w in words_of(value)]
-                    found.append(0)
-                places = np.array(found)
-                pairs += np.bincount(np.concatenate(([0], places[:-1])) * size + places, minlength=size * size)
+            column = batch.column(0)
+            for low, high in slices(column, GROUP_BYTES):
+                words, _ = tokens_of(column.slice(low, high - low))
+                places = items_of(words, shared.value)
+                pairs += np.bincount(np.append(0, places[:-1]) * size + places, minlength=size * size)
         seen = np.flatnonzero(pairs)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(pairs[seen])], names=["pair", "n"])
 
@@ -225,58 +298,29 @@ def best_classes(table: np.ndarray, before: np.ndarray, after: np.ndarray, own:
     return np.where(gain[word, best] > gain[word, was] + 1e-9, best, was)
 
 
-class Places(dict):
-    """Numbers words as they come, and holds the class each starts in."""
-
-    def __init__(self, items: dict[bytes, int], classes: np.ndarray):
-        self.items_, self.classes, self.tails, self.starts = items, classes.tolist(), Tails(), array("b")
-
-    def __missing__(self, word: bytes) -> int:
-        item = 0 if word == END else self.items_.get(word) or self.tails[word[-2:]] + 1
-        self[word] = len(self)
-        self.starts.append(self.classes[item])
-        return len(self) - 1
-
-
 def count_contexts(texts: DataFrame, items: dict[bytes, int], classes: np.ndarray) -> DataFrame:
     """(word, cells): how often each word stands by words that start in each class, as packed ``CELL``; may repeat words."""
     shared = texts.sparkSession.sparkContext.broadcast((items, classes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places, held, tokens = Places(*shared.value), [], 0
-
-        def flush() -> pa.RecordBatch:
-            keys, n = np.unique(np.concatenate(held), return_counts=True)
+        items, classes = shared.value
+        for place, words in numbered(batches):
+            # the texts before end with an end, whose class is 0
+            cls = classes[items_of(words, items)].astype(np.int32)[place]
+            same = place[1:] == place[:-1]
+            # narrow keys are sorted faster, wide ones are for very many words
+            key = place * np.array(WIDTH, np.int32 if len(words) * WIDTH < 1 << 31 else np.int64)
+            before = np.append(np.int32(0), cls[:-1])
+            before[1:][same] = WIDTH - 1
+            keys, n = np.unique(np.concatenate([key + before, (key[:-1] + CLASSES + cls[1:])[~same]]), return_counts=True)
             cells = np.empty(len(keys), CELL)
             cells["slot"], cells["n"] = keys % WIDTH, n
             # every word has a cell
-            ends = np.searchsorted(keys // WIDTH, np.arange(len(places) + 1)) * CELL.itemsize
+            ends = np.searchsorted(keys // WIDTH, np.arange(len(words) + 1)) * CELL.itemsize
             packed = pa.Array.from_buffers(
-                pa.binary(), len(places), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(cells.tobytes())]
+                pa.binary(), len(words), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(cells.tobytes())]
             )
-            return pa.RecordBatch.from_arrays([pa.array(list(places), pa.binary()), packed], names=["word", "cells"])
-
-        for batch in batches:
-            for _, _, values in byte_groups(batch.column(0)):
-                found = []
-                for value in values:
-                    found += [places[w] for w in words_of(value)]
-                    found.append(places[END])
-                place = np.array(found)
-                cls = np.frombuffer(places.starts, np.int8)[place].astype(np.int32)
-                same = place[1:] == place[:-1]
-                # narrow keys are sorted faster, wide ones are for very long texts
-                key = (place * WIDTH).astype(np.int32 if len(places) * WIDTH < 1 << 31 else np.int64)
-                before = np.append(np.int32(0), cls[:-1])
-                before[1:][same] = WIDTH - 1
-                held.append(key + before)
-                held.append((key[:-1] + CLASSES + cls[1:])[~same])
-                tokens += len(place)
-                if tokens >= HELD_TOKENS:
-                    yield flush()
-                    places, held, tokens = Places(*shared.value), [], 0
-        if held:
-            yield flush()
+            yield pa.RecordBatch.from_arrays([words, packed], names=["word", "cells"])
 
     return texts.mapInArrow(run, "word binary, cells binary")
 
@@ -290,23 +334,23 @@ def place_words(contexts: DataFrame, items: dict[bytes, int], classes: np.ndarra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items, classes, table = shared.value
-        tails, rest = Tails(), None
+        rest = None
 
         def place(rows: pa.Table) -> pa.RecordBatch:
             coded = rows.column("word").combine_chunks().dictionary_encode()
-            words, cells = coded.dictionary.to_pylist(), rows.column("cells").combine_chunks()
+            words, cells = coded.dictionary, rows.column("cells").combine_chunks()
             low = pc.binary_length(cells).to_numpy() // CELL.itemsize
             packed = np.frombuffer(pc.binary_join(pa.LargeListArray.from_arrays([0, len(cells)], cells), b"")[0].as_buffer(), CELL)
             owner = np.repeat(coded.indices.to_numpy().astype(np.int64), low)
             sums = np.bincount(owner * WIDTH + packed["slot"], packed["n"], len(words) * WIDTH).reshape(-1, WIDTH)
             before, after, own = sums[:, :CLASSES], sums[:, CLASSES:-1], sums[:, -1]
-            cls = classes[[0 if w == END else items.get(w) or tails[w[-2:]] + 1 for w in words]]
-            free = np.flatnonzero([w != END and w not in items for w in words])
+            item = items_of(words, items)
+            cls, free = classes[item], np.flatnonzero((item > 0) & (item <= TAILS))
             if len(free):
                 cls[free] = best_classes(table, before[free], after[free], own[free], cls[free])
             n = (before.sum(axis=1) + own).astype(np.int64)
             return pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.binary()), pa.array(n), pa.array(cls.astype(np.int32))], names=["word", "n", "class"]
+                [words, pa.array(n), pa.array(cls.astype(np.int32))], names=["word", "n", "class"]
             )
 
         for batch in batches:
@@ -341,31 +385,30 @@ def count_classes(texts: DataFrame, placed: DataFrame, known: dict[bytes, int],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, words_class = shared.value
-        pairs = np.zeros(CLASSES * CLASSES, np.int64)
+        known, pairs = pa.array(list(known), pa.binary()), np.zeros(CLASSES * CLASSES, np.int64)
 
         def rows(words, before, after, follower, times) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(words, pa.binary()), pa.array(before.astype(np.int32)), pa.array(after.astype(np.int32)),
-                    pa.array(follower, pa.binary()), pa.array(times),
-                ],
+                [words, pa.array(before.astype(np.int32)), pa.array(after.astype(np.int32)), follower, pa.array(times)],
                 names=["word", "before", "after", "follower", "times"],
-            )
+            )
 
         for batch in batches:
-            for _, _, values in byte_groups(batch.column(0)):
-                words, _ = _tokens(values)
-                cls = words_class[np.array([known.get(word, 0) for word in words])]
+            column = batch.column(0)
+            for low, high in slices(column, GROUP_BYTES):
+                words, _ = tokens_of(column.slice(low, high - low))
+                cls = words_class[places_in(words, known)]
                 before, rare = np.append(0, cls[:-1]), np.flatnonzero(cls < 0)
                 both = (before >= 0) & (cls >= 0)
                 pairs += np.bincount(before[both] * CLASSES + cls[both], minlength=len(pairs))
                 # an end follows the last word of a text
                 after = cls[rare + 1]
-                follower = [words[at + 1] if c < 0 else None for at, c in zip(rare.tolist(), after.tolist())]
-                yield rows([words[at] for at in rare.tolist()], before[rare], after, follower, np.ones(len(rare), np.int64))
+                follower = words.take(pa.array(rare + 1, mask=after >= 0))
+                yield rows(words.take(pa.array(rare)), before[rare], after, follower, np.ones(len(rare), np.int64))
         seen = np.flatnonzero(pairs)
         # their keys have a blank, as no word has, and are many, unlike null
-        yield rows([b" %d" % at for at in seen.tolist()], seen // CLASSES, seen % CLASSES, [None] * len(seen), pairs[seen])
+        keys = pa.array([b" %d" % at for at in seen.tolist()], pa.binary())
+        yield rows(keys, seen // CLASSES, seen % CLASSES, pa.nulls(len(seen), pa.binary()), pairs[seen])
 
     tokens = texts.mapInArrow(run, "word binary, before int, after int, follower binary, times long")
     joined = tokens.join(placed.select("word", "class"), "word", "left")
@@ -427,16 +470,6 @@ def train(texts: DataFrame) -> tuple[Model, DataFrame]:
     return model, placed
 
 
-def _tokens(values: list[bytes]) -> tuple[list[bytes], list[int]]:
-    """The words and ends of texts, and where each text starts in them."""
-    words, firsts = [], []
-    for value in values:
-        firsts.append(len(words))
-        words += words_of(value)
-        words.append(END)
-    return words, firsts
-
-
 def _partial_scores(docs: DataFrame, model: Model, id_col: str, text: str) -> DataFrame:
     """Per row its sums over broadcast words, and a row for each other token of it.
 
@@ -456,12 +489,14 @@ def _partial_scores(docs: DataFrame, model: Model, id_col: str, text: str) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, number = Model(*shared.value), TaskContext.get().partitionId() << 40
-        place_of = model.known.get
+        known_words = pa.array(list(model.known), pa.binary())
         logs = np.log10(model.counts + SMOOTHING)
         for batch in batches:
-            for low, high, values in byte_groups(batch.column(1)):
-                words, firsts = _tokens(values)
-                place = np.array([place_of(word, 0) for word in words])
+            column = batch.column(1)
+            for low, high in slices(column, GROUP_BYTES):
+                words, n = tokens_of(column.slice(low, high - low))
+                firsts = np.cumsum(n) - n
+                place = places_in(words, known_words)
                 cls = model.words_class[place]
                 before = np.append(0, cls[:-1])
                 log = logs[place]
@@ -469,11 +504,9 @@ def _partial_scores(docs: DataFrame, model: Model, id_col: str, text: str) -> Da
                 log[~known] = 0.0
                 score = np.where(known, log - model.spread[cls], 0.0)
                 score += np.where(known & (before >= 0), model.steps[before, cls], 0.0)
-                n = np.diff(np.append(firsts, len(words)))
                 base = np.add.reduceat(log, firsts) - n * model.base_spread
                 rare = np.flatnonzero(~known)
                 owner = np.searchsorted(firsts, rare, side="right") - 1
-                found = [words[at] for at in rare.tolist()]
                 seen = np.add.reduceat((model.counts[place] > 0).astype(np.int64), firsts)
                 numbers = number + np.arange(high - low)
                 number += high - low
@@ -484,7 +517,7 @@ def _partial_scores(docs: DataFrame, model: Model, id_col: str, text: str) -> Da
                     [
                         pa.array(np.concatenate((numbers, numbers[owner]))),
                         pa.concat_arrays([batch.column(0).slice(low, high - low), pa.nulls(k, batch.column(0).type)]),
-                        pa.array(own + found, pa.binary()),
+                        pa.concat_arrays([pa.array(own, pa.binary()), words.take(pa.array(rare))]),
                         pa.array(np.concatenate((none, rare)).astype(np.int32)),
                         pa.array(np.concatenate((none, before[rare])).astype(np.int32)),
                         pa.array(np.concatenate((none, cls[rare + 1])).astype(np.int32)),

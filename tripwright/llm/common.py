@@ -70,18 +70,24 @@ def groups(texts: list, size: int = GROUP_BYTES) -> Iterator[tuple[int, int]]:
         yield low, len(texts)
 
 
-def byte_groups(column: pa.Array, size: int = GROUP_BYTES) -> Iterator[tuple[int, int, list[bytes]]]:
-    """``groups`` of a column with the UTF-8 texts of each, taken out one group at a time."""
+def slices(column: pa.Array, size: int = GROUP_BYTES) -> Iterator[tuple[int, int]]:
+    """``groups`` of a column, by the bytes of its texts."""
     lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(lengths)
     low = 0
     while low < len(lengths):
         done = ends[low - 1] if low else 0
         high = min(len(lengths), int(np.searchsorted(ends, done + size)) + 1)
-        yield low, high, byte_texts(column.slice(low, high - low))
+        yield low, high
         low = high
 
 
+def byte_groups(column: pa.Array, size: int = GROUP_BYTES) -> Iterator[tuple[int, int, list[bytes]]]:
+    """``groups`` of a column with the UTF-8 texts of each, taken out one group at a time."""
+    for low, high in slices(column, size):
+        yield low, high, byte_texts(column.slice(low, high - low))
+
+
 def mix64(values: np.ndarray) -> np.ndarray:
     """Scrambles 64-bit values (the finaliser of splitmix64)."""
     with np.errstate(over="ignore"):
