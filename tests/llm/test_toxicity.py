@@ -137,3 +137,55 @@ def test_rare_words_tell(spark, documents):
     model = toxicity.train(documents(*rows), _labels(spark, [(i, 1, int(i < 60)) for i, _ in rows]))
     scores = toxicity.text_scores(model, [f"la lo na {word} ti" for word in words] + ["la lo na ti ti"])
     assert (scores[:-1] >= TOXIC_FROM).all() and scores[-1] < TOXIC_FROM
+
+
+def test_what_reaches_the_driver_does_not_grow_with_the_texts(spark, documents, monkeypatch):
+    from pyspark import RDD
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    def sent(words):
+        rows = [(i, f"{'bad' if i % 2 else 'good'} " + " ".join(f"w{draw.randrange(10**6)}" for _ in range(words))) for i in range(60)]
+        most, collect, to_arrow, collect_rdd = [], DataFrame.collect, DataFrame.toArrow, RDD.collect
+
+        def collected(df):
+            rows = collect(df)
+            most.append(sum(len(value) for row in rows for value in row if isinstance(value, (bytes, bytearray))))
+            return rows
+
+        def arrow(df):
+            table = to_arrow(df)
+            most.append(table.nbytes)
+            return table
+
+        def of_rdd(rdd):
+            found = collect_rdd(rdd)
+            arrays = [x for one in found for x in (one if isinstance(one, tuple) else [one]) if isinstance(x, np.ndarray)]
+            most.append(sum(x.nbytes for x in arrays))
+            return found
+
+        with monkeypatch.context() as patch:
+            patch.setattr(RDD, "collect", of_rdd)
+            patch.setattr(DataFrame, "collect", collected)
+            patch.setattr(DataFrame, "toArrow", arrow)
+            model = toxicity.train(documents(*rows), _labels(spark, [(i, 1, i % 2) for i, _ in rows]))
+        scores = toxicity.text_scores(model, ["bad " * 9, "good " * 9])
+        assert scores[0] > scores[1]
+        return max(most)
+
+    draw = random.Random(11)
+    monkeypatch.setattr(toxicity, "STEPS", 3)
+    monkeypatch.setattr(toxicity, "FIT_TASKS", 2, raising=False)
+    monkeypatch.setattr(toxicity, "DRIVER_BYTES", 1 << 20, raising=False)
+    # sums of fixed size per task; the places of 60 long texts take three times as much
+    fixed = 2 * 8 * ((1 << toxicity.BITS) + 2)
+    assert sent(100) <= fixed and sent(20_000) <= fixed
+
+
+def test_fit_in_tasks_is_the_fit_on_the_driver(spark, documents, monkeypatch):
+    rows = _texts(60, 12) + [(900, "", 1), (901, "", 0)]
+    docs, labels = documents(*[(i, t) for i, t, _ in rows], (900, None)), _labels(spark, [(i, 1, y) for i, _, y in rows])
+    monkeypatch.setattr(toxicity, "STEPS", 5)
+    one = toxicity.train(docs, labels)
+    monkeypatch.setattr(toxicity, "DRIVER_BYTES", 0)
+    other = toxicity.train(docs, labels)
+    assert np.allclose(one.weights, other.weights, atol=1e-12) and one.bias == pytest.approx(other.bias)

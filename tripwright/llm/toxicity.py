@@ -2,21 +2,23 @@
 
 A feature is the presence of a character n-gram. Its scale is the log of how
 much more often it is present in toxic texts than in others. On the scaled
-features a logistic regression is fitted. N-grams live in a hashed table of fixed
-size, so the model has a fixed size as well and is broadcast.
+features a logistic regression is fitted, each step a job over the sample's
+features unless they are few. N-grams live in a hashed table of fixed size, so the
+model has a fixed size as well and is broadcast.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import RDD, StorageLevel
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from tripwright.llm.common import groups
+from tripwright.llm.common import groups, written
 
 ORDERS = (2, 3, 4, 5)
 BITS = 18
@@ -27,8 +29,12 @@ FIT_ROWS = 4_000
 UNFITTED = 0.25
 SMOOTHING = 1.0
 RIDGE = 1e-3
-# Tasks that count features; each returns two numbers per table place.
-COUNT_TASKS = 16
+# Tasks that count features or sum up errors; each returns one or two numbers per table place.
+FIT_TASKS = 6
+# A sample whose features take no more is fitted by the driver, without a job per step.
+DRIVER_BYTES = 16 << 20
+# Such a task works through about as many bytes of features at a time, one text's at least.
+CHUNK_BYTES = 4 << 20
 STEPS = 100
 
 
@@ -125,85 +131,109 @@ def train(
         .select("fit_label", F.coalesce("fit_text", F.lit("")).alias("fit_text"))
     )
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        present, seen = np.zeros((2, size), np.int64), np.zeros(2, np.int64)
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, marks = batch.column(1).to_pylist(), np.asarray(batch.column(0))
+            texts, marks = batch.column(1).to_pylist(), batch.column(0)
             for low, high in groups(texts):
                 row, place = grams(texts[low:high])
-                for value in (0, 1):
-                    chosen = marks[low:high] == value
-                    seen[value] += chosen.sum()
-                    present[value] += np.bincount(place[chosen[row]], minlength=size)
-        if seen.any():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x.tobytes()], pa.binary()) for x in (present.astype(np.int32), seen)], names=["present", "seen"]
-            )
+                cuts = np.searchsorted(row, np.arange(high - low + 1))
+                packed = [place[start:end].tobytes() for start, end in zip(cuts, cuts[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [marks.slice(low, high - low), pa.array(packed, pa.binary())], names=["mark", "places"]
+                )
+
+    # four bytes a feature of a text, written, and then kept by the executors for the steps of the fit
+    found = sample.mapInArrow(features, "mark int, places binary").repartition(FIT_TASKS)
+    fitted = written(found, "toxic_features").coalesce(FIT_TASKS).rdd.mapPartitions(_chunks)
+    fitted.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def count(chunks: Iterator[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        present, seen = np.zeros((2, size), np.int32), np.zeros(2, np.int64)
+        for marks, _, places, length in chunks:
+            seen += np.bincount(marks, minlength=2)
+            of = np.repeat(marks, length)
+            for value in (0, 1):
+                present[value] += np.bincount(places[of == value], minlength=size).astype(np.int32)
+        yield present, seen
 
     present, seen = np.zeros((2, size)), np.zeros(2)
-    # one row of fixed size per partition
-    for row in sample.coalesce(COUNT_TASKS).mapInArrow(count, "present binary, seen binary").collect():
-        present += np.frombuffer(row["present"], np.int32).reshape(2, size)
-        seen += np.frombuffer(row["seen"], np.int64)
+    # arrays of fixed size per partition
+    for some, rows in fitted.mapPartitions(count).collect():
+        present += some
+        seen += rows
     if not seen.all() or not present.any():
+        fitted.unpersist()
         return unfitted
     share = (present + SMOOTHING) / (seen[:, None] + 2 * SMOOTHING)
     ratio = np.log(share[1]) - np.log(share[0])
     useful = present.any(axis=0)
-
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, marks = batch.column(1).to_pylist(), batch.column(0)
-            for low, high in groups(texts):
-                row, place = grams(texts[low:high])
-                cuts = np.searchsorted(row, np.arange(high - low + 1)).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array(place))
-                yield pa.RecordBatch.from_arrays([marks.slice(low, high - low), lists], names=["mark", "places"])
-
-    fitted = sample.mapInArrow(features, "mark int, places array<int>").toArrow()
-    # the batches stay as they came, four bytes a feature of a text
-    marks = np.asarray(fitted.column("mark")).astype(float)
-    parts = [batch.column(1) for batch in fitted.to_batches() if len(batch)]
-    weights, bias = _logistic([(np.asarray(x.offsets), np.asarray(x.values)) for x in parts], ratio, marks, scale[marks.astype(int)])
+    weights, bias = _logistic(fitted, ratio, present, seen, scale / (scale @ seen))
+    fitted.unpersist()
     return Model(weights * ratio * useful, bias)
 
 
-def _logistic(parts, ratio, marks, weight) -> tuple[np.ndarray, float]:
+def _chunks(rows: Iterable[Row]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of some texts at a time the classes, where each starts in the places, the places, and their number per text."""
+    marks, held, size = [], [], 0
+
+    def chunk() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        length = np.array([len(places) // 4 for places in held])
+        return np.array(marks), np.cumsum(length) - length, np.frombuffer(b"".join(held), np.int32), length
+
+    for mark, places in rows:
+        marks.append(mark)
+        held.append(places)
+        size += len(places)
+        if size >= CHUNK_BYTES:
+            yield chunk()
+            marks, held, size = [], [], 0
+    if held:
+        yield chunk()
+
+
+def _errors(chunks: Iterable[tuple], held: np.ndarray, bias: float, weight: np.ndarray) -> np.ndarray:
+    """What the texts' errors under places worth ``held`` sum to, over each place's texts and (last) over all."""
+    size = len(held)
+    out = np.zeros(size + 1)
+    for marks, starts, places, length in chunks:
+        total, some = np.full(len(marks), bias), np.flatnonzero(length)
+        if len(some):
+            total[some] += np.add.reduceat(held[places], starts[some])
+        rest = weight[marks] * (1.0 / (1.0 + np.exp(-np.clip(total, -500, 500))) - marks)
+        out[:size] += np.bincount(places, weights=np.repeat(rest, length), minlength=size)
+        out[size] += rest.sum()
+    return out
+
+
+def _task_errors(fitted: RDD, held: np.ndarray, bias: float, weight: np.ndarray) -> np.ndarray:
+    """``_errors`` summed up in tasks, each of which returns an array of fixed size."""
+    shared = fitted.context.broadcast((held, bias, weight))
+    out = np.zeros(len(held) + 1)
+    for some in fitted.mapPartitions(lambda chunks: [_errors(chunks, *shared.value)]).collect():
+        out += some
+    shared.destroy()
+    return out
+
+
+def _logistic(fitted: RDD, ratio, present, seen, weight) -> tuple[np.ndarray, float]:
     """Weighted logistic regression on ratio-scaled presence, by accelerated gradient.
 
-    ``parts`` have the places of the texts in order: where each text starts, and the places.
+    ``fitted`` has the texts' classes and places, ``present`` and ``seen`` count texts
+    by class (with a place, and all), ``weight`` is that of a text of each class.
+    Each step is one job over ``fitted``, unless that is small.
     """
-    lengths = [np.diff(offsets) for offsets, _ in parts]
-    ends = np.cumsum([len(x) for x in lengths])
-
-    def sums(values: np.ndarray) -> np.ndarray:
-        """The sum of ``values`` over each text's places."""
-        out = np.zeros(len(marks))
-        for (offsets, places), length, end in zip(parts, lengths, ends):
-            some = np.flatnonzero(length)
-            if len(some):
-                held = values[places[offsets[0] : offsets[-1]]]
-                out[end - len(length) + some] = np.add.reduceat(held, offsets[some] - offsets[0])
-        return out
-
-    def spread(rest: np.ndarray) -> np.ndarray:
-        """The sum over each place's texts."""
-        out = np.zeros(len(ratio))
-        for (offsets, places), length, end in zip(parts, lengths, ends):
-            each = np.repeat(rest[end - len(length) : end], length)
-            out += np.bincount(places[offsets[0] : offsets[-1]], weights=each, minlength=len(ratio))
-        return out
-
-    weight = weight / weight.sum()
-    w, b = np.zeros(len(ratio)), float(np.log(max(weight @ marks, 1e-9) / max(1 - weight @ marks, 1e-9)))
+    errors, of = _task_errors, fitted
+    if 4 * present.sum() <= DRIVER_BYTES:
+        errors, of = _errors, fitted.collect()
+    ones = float(weight[1] * seen[1])
+    w, b = np.zeros(len(ratio)), float(np.log(max(ones, 1e-9) / max(1 - ones, 1e-9)))
     # a bound on the curvature: the longest row, scaled
-    step = 1.0 / (0.25 * float(weight @ (sums(ratio**2) + 1.0)) + RIDGE)
+    step = 1.0 / (0.25 * float(weight @ (present @ ratio**2 + seen)) + RIDGE)
     look_w, look_b, t = w, b, 1.0
     for _ in range(STEPS):
-        total = sums(look_w * ratio) + look_b
-        rest = weight * (1.0 / (1.0 + np.exp(-np.clip(total, -500, 500))) - marks)
-        new_w = look_w - step * (spread(rest) * ratio + RIDGE * look_w)
-        new_b = look_b - step * rest.sum()
+        sums = errors(of, look_w * ratio, look_b, weight)
+        new_w = look_w - step * (sums[:-1] * ratio + RIDGE * look_w)
+        new_b = look_b - step * sums[-1]
         new_t = (1 + np.sqrt(1 + 4 * t * t)) / 2
         look_w = new_w + (t - 1) / new_t * (new_w - w)
         look_b = new_b + (t - 1) / new_t * (new_b - b)
