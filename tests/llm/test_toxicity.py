@@ -189,3 +189,49 @@ def test_fit_in_tasks_is_the_fit_on_the_driver(spark, documents, monkeypatch):
     monkeypatch.setattr(toxicity, "DRIVER_BYTES", 0)
     other = toxicity.train(docs, labels)
     assert np.allclose(one.weights, other.weights, atol=1e-12) and one.bias == pytest.approx(other.bias)
+
+
+def test_steps_of_the_fit_bring_a_number_per_text_to_the_driver(spark, documents, monkeypatch):
+    from pyspark import RDD, SparkContext
+
+    def moved(steps):
+        """Bytes of arrays that the driver gets from tasks or hands to them in a fit of so many steps."""
+        held, collect, broadcast = [], RDD.collect, SparkContext.broadcast
+
+        def size(value):
+            return value.nbytes if isinstance(value, np.ndarray) else sum(map(size, value)) if isinstance(value, (tuple, list)) else 8
+
+        def of_rdd(rdd):
+            found = collect(rdd)
+            held.append(size(found))
+            return found
+
+        def shared(context, value):
+            held.append(size(value))
+            return broadcast(context, value)
+
+        with monkeypatch.context() as patch:
+            patch.setattr(RDD, "collect", of_rdd)
+            patch.setattr(SparkContext, "broadcast", shared)
+            patch.setattr(toxicity, "STEPS", steps)
+            toxicity.train(docs, labels)
+        return sum(held)
+
+    rows = _texts(60, 12)
+    docs, labels = documents(*[(i, t) for i, t, _ in rows]), _labels(spark, [(i, 1, y) for i, _, y in rows])
+    monkeypatch.setattr(toxicity, "DRIVER_BYTES", 0)
+    # before: 16 MB a step
+    assert moved(6) - moved(2) <= 4 * toxicity.FIT_TASKS * 8 * len(rows)
+
+
+def test_more_texts_than_are_numbered(spark, documents, monkeypatch):
+    # ids repeat, so that the sample has more texts than ids
+    rows = [*_texts(60, 12), *_texts(60, 15), (900, "", 1), (901, "", 0)]
+    docs, labels = documents(*[(i, t) for i, t, _ in rows], (900, None)), _labels(spark, [(i, 1, y) for i, _, y in rows])
+    monkeypatch.setattr(toxicity, "STEPS", 5)
+    monkeypatch.setattr(toxicity, "DRIVER_BYTES", 0)
+    one = toxicity.train(docs, labels)
+    monkeypatch.setattr(toxicity, "NUMBERED", 0, raising=False)
+    other = toxicity.train(docs, labels)
+    assert np.allclose(one.weights, other.weights, atol=1e-12) and one.bias == pytest.approx(other.bias)
+    assert one.weights.any()

@@ -3,14 +3,17 @@
 A feature is the presence of a character n-gram. Its scale is the log of how
 much more often it is present in toxic texts than in others. On the scaled
 features a logistic regression is fitted, each step a job over the sample's
-features unless they are few. N-grams live in a hashed table of fixed size, so the
-model has a fixed size as well and is broadcast.
+features unless they are few. A step brings a number per text to the driver, not one
+per n-gram: the weights are sums over texts, so the texts' factors stand for them.
+N-grams live in a hashed table of fixed size, so the model has a fixed size as well
+and is broadcast.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +32,16 @@ FIT_ROWS = 4_000
 UNFITTED = 0.25
 SMOOTHING = 1.0
 RIDGE = 1e-3
-# Tasks that count features or sum up errors; each returns one or two numbers per table place.
+# Tasks that count features or take a step of the fit. The first return one or two numbers per table
+# place, once; those of a step a number per text, or one per table place if texts are more than NUMBERED.
 FIT_TASKS = 6
+# A sample has more texts than twice FIT_ROWS only if ids repeat.
+NUMBERED = 1 << 16
+# A step works through the features of this many table places at a time.
+SHARD_PLACES = 1 << 10
 # A sample whose features take no more is fitted by the driver, without a job per step.
 DRIVER_BYTES = 16 << 20
-# Such a task works through about as many bytes of features at a time, one text's at least.
+# Texts are taken together up to about as many bytes of features, one text's at least.
 CHUNK_BYTES = 4 << 20
 STEPS = 100
 
@@ -142,14 +150,13 @@ def train(
                     [marks.slice(low, high - low), pa.array(packed, pa.binary())], names=["mark", "places"]
                 )
 
-    # four bytes a feature of a text, written, and then kept by the executors for the steps of the fit
+    # four bytes a feature of a text, written
     found = sample.mapInArrow(features, "mark int, places binary").repartition(FIT_TASKS)
-    fitted = written(found, "toxic_features").coalesce(FIT_TASKS).rdd.mapPartitions(_chunks)
-    fitted.persist(StorageLevel.MEMORY_AND_DISK)
+    fitted = written(found, "toxic_features").coalesce(FIT_TASKS).rdd
 
-    def count(chunks: Iterator[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def count(rows: Iterator[Row]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         present, seen = np.zeros((2, size), np.int32), np.zeros(2, np.int64)
-        for marks, _, places, length in chunks:
+        for marks, _, places, length in _chunks(rows):
             seen += np.bincount(marks, minlength=2)
             of = np.repeat(marks, length)
             for value in (0, 1):
@@ -162,13 +169,11 @@ def train(
         present += some
         seen += rows
     if not seen.all() or not present.any():
-        fitted.unpersist()
         return unfitted
     share = (present + SMOOTHING) / (seen[:, None] + 2 * SMOOTHING)
     ratio = np.log(share[1]) - np.log(share[0])
     useful = present.any(axis=0)
     weights, bias = _logistic(fitted, ratio, present, seen, scale / (scale @ seen))
-    fitted.unpersist()
     return Model(weights * ratio * useful, bias)
 
 
@@ -191,6 +196,11 @@ def _chunks(rows: Iterable[Row]) -> Iterator[tuple[np.ndarray, np.ndarray, np.nd
         yield chunk()
 
 
+def _rest(total: np.ndarray, marks: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """The texts' errors, weighted by class."""
+    return weight[marks] * (1.0 / (1.0 + np.exp(-np.clip(total, -500, 500))) - marks)
+
+
 def _errors(chunks: Iterable[tuple], held: np.ndarray, bias: float, weight: np.ndarray) -> np.ndarray:
     """What the texts' errors under places worth ``held`` sum to, over each place's texts and (last) over all."""
     size = len(held)
@@ -199,41 +209,63 @@ def _errors(chunks: Iterable[tuple], held: np.ndarray, bias: float, weight: np.n
         total, some = np.full(len(marks), bias), np.flatnonzero(length)
         if len(some):
             total[some] += np.add.reduceat(held[places], starts[some])
-        rest = weight[marks] * (1.0 / (1.0 + np.exp(-np.clip(total, -500, 500))) - marks)
+        rest = _rest(total, marks, weight)
         out[:size] += np.bincount(places, weights=np.repeat(rest, length), minlength=size)
         out[size] += rest.sum()
     return out
 
 
-def _task_errors(fitted: RDD, held: np.ndarray, bias: float, weight: np.ndarray) -> np.ndarray:
+def _task_errors(chunks: RDD, held: np.ndarray, bias: float, weight: np.ndarray) -> np.ndarray:
     """``_errors`` summed up in tasks, each of which returns an array of fixed size."""
-    shared = fitted.context.broadcast((held, bias, weight))
+    shared = chunks.context.broadcast((held, bias, weight))
     out = np.zeros(len(held) + 1)
-    for some in fitted.mapPartitions(lambda chunks: [_errors(chunks, *shared.value)]).collect():
+    for some in chunks.mapPartitions(lambda part: [_errors(part, *shared.value)]).collect():
         out += some
     shared.destroy()
     return out
 
 
-def _logistic(fitted: RDD, ratio, present, seen, weight) -> tuple[np.ndarray, float]:
-    """Weighted logistic regression on ratio-scaled presence, by accelerated gradient.
+def _shards(fitted: RDD, first: np.ndarray) -> RDD:
+    """(shard of the table, text numbers, places from the shard's first on) of all features, a shard in one piece.
 
-    ``fitted`` has the texts' classes and places, ``present`` and ``seen`` count texts
-    by class (with a place, and all), ``weight`` is that of a text of each class.
-    Each step is one job over ``fitted``, unless that is small.
+    Texts are numbered as they lie in ``fitted``, each partition from ``first`` on.
     """
-    errors, of = _task_errors, fitted
-    if 4 * present.sum() <= DRIVER_BYTES:
-        errors, of = _errors, fitted.collect()
-    ones = float(weight[1] * seen[1])
-    w, b = np.zeros(len(ratio)), float(np.log(max(ones, 1e-9) / max(1 - ones, 1e-9)))
-    # a bound on the curvature: the longest row, scaled
-    step = 1.0 / (0.25 * float(weight @ (present @ ratio**2 + seen)) + RIDGE)
+
+    def deal(part: int, rows: Iterator[Row]) -> Iterator[tuple[int, tuple[np.ndarray, np.ndarray]]]:
+        numbered = ((first[part] + at, row[1]) for at, row in enumerate(rows))
+        for numbers, _, places, length in _chunks(numbered):
+            shard, text = places // SHARD_PLACES, np.repeat(numbers.astype(np.int32), length)
+            order = np.argsort(shard.astype(np.int16), kind="stable")
+            found, low = np.unique(shard[order], return_index=True)
+            for one, of in zip(found.tolist(), np.split(order, low[1:])):
+                yield one, (text[of], (places[of] - one * SHARD_PLACES).astype(np.int16))
+
+    def join(pieces: Iterator[tuple[int, tuple]]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        for shard, some in groupby(pieces, lambda piece: piece[0]):
+            texts, places = zip(*(piece for _, piece in some))
+            yield shard, np.concatenate(texts), np.concatenate(places)
+
+    dealt = fitted.mapPartitionsWithIndex(deal).repartitionAndSortWithinPartitions(FIT_TASKS)
+    return dealt.mapPartitions(join, preservesPartitioning=True).coalesce(FIT_TASKS)
+
+
+def _text_sums(shards: Iterable[tuple], factors: np.ndarray, square: np.ndarray) -> np.ndarray:
+    """Per text what its places are worth, if a place is worth its texts' factors times its scale squared."""
+    out = np.zeros(len(factors))
+    for shard, texts, places in shards:
+        worth = np.bincount(places, weights=factors[texts], minlength=SHARD_PLACES) * square[shard]
+        out += np.bincount(texts, weights=worth[places], minlength=len(factors))
+    return out
+
+
+def _descend(slope: Callable, size: int, bias: float, step: float) -> tuple[np.ndarray, float]:
+    """Accelerated gradient from zero and ``bias``; ``slope`` gives both slopes at a point, the first without ridge."""
+    w, b = np.zeros(size), bias
     look_w, look_b, t = w, b, 1.0
     for _ in range(STEPS):
-        sums = errors(of, look_w * ratio, look_b, weight)
-        new_w = look_w - step * (sums[:-1] * ratio + RIDGE * look_w)
-        new_b = look_b - step * sums[-1]
+        slope_w, slope_b = slope(look_w, look_b)
+        new_w = look_w - step * (slope_w + RIDGE * look_w)
+        new_b = look_b - step * slope_b
         new_t = (1 + np.sqrt(1 + 4 * t * t)) / 2
         look_w = new_w + (t - 1) / new_t * (new_w - w)
         look_b = new_b + (t - 1) / new_t * (new_b - b)
@@ -241,6 +273,68 @@ def _logistic(fitted: RDD, ratio, present, seen, weight) -> tuple[np.ndarray, fl
     return w, float(b)
 
 
+def _by_places(errors: Callable, chunks, ratio, weight, bias: float, step: float) -> tuple[np.ndarray, float]:
+    """The fit on the places' weights."""
+
+    def slope(look_w: np.ndarray, look_b: float) -> tuple[np.ndarray, float]:
+        sums = errors(chunks, look_w * ratio, look_b, weight)
+        return sums[:-1] * ratio, sums[-1]
+
+    return _descend(slope, len(ratio), bias, step)
+
+
+def _by_texts(fitted: RDD, ratio, weight, bias: float, step: float) -> tuple[np.ndarray, float]:
+    """The same fit on a factor per text.
+
+    Every step moves a place's weight by its scale times a sum over its texts, so a
+    weight always is its scale times the sum of its texts' factors, and the factors
+    take the same steps. A task has some shards of the table, with all their texts.
+    """
+    by_part = fitted.mapPartitions(lambda rows: [np.array([row[0] for row in rows], np.int8)]).collect()
+    marks = np.concatenate(by_part)
+    shards = _shards(fitted, np.cumsum([0, *map(len, by_part)])).persist(StorageLevel.MEMORY_AND_DISK)
+    square = fitted.context.broadcast((ratio**2).reshape(-1, SHARD_PLACES))
+
+    def slope(look: np.ndarray, look_b: float) -> tuple[np.ndarray, float]:
+        total = np.full(len(marks), look_b)
+        for some in shards.mapPartitions(lambda part: [_text_sums(part, look, square.value)]).collect():
+            total += some
+        rest = _rest(total, marks, weight)
+        return rest, rest.sum()
+
+    factors, bias = _descend(slope, len(marks), bias, step)
+    sums = np.zeros((len(ratio) // SHARD_PLACES, SHARD_PLACES))
+    for shard, some in shards.map(
+        lambda one: (one[0], np.bincount(one[2], weights=factors[one[1]], minlength=SHARD_PLACES))
+    ).collect():
+        sums[shard] = some
+    shards.unpersist()
+    square.destroy()
+    return ratio * sums.ravel(), bias
+
+
+def _logistic(fitted: RDD, ratio, present, seen, weight) -> tuple[np.ndarray, float]:
+    """Weighted logistic regression on ratio-scaled presence, by accelerated gradient.
+
+    ``fitted`` has the texts' classes and places, ``present`` and ``seen`` count texts
+    by class (with a place, and all), ``weight`` is that of a text of each class.
+    Each step is one job, unless there are few features.
+    """
+    ones = float(weight[1] * seen[1])
+    bias = float(np.log(max(ones, 1e-9) / max(1 - ones, 1e-9)))
+    # a bound on the curvature: the longest row, scaled
+    step = 1.0 / (0.25 * float(weight @ (present @ ratio**2 + seen)) + RIDGE)
+    if 4 * present.sum() > DRIVER_BYTES and seen.sum() <= NUMBERED:
+        return _by_texts(fitted, ratio, weight, bias, step)
+    chunks = fitted.mapPartitions(_chunks)
+    if 4 * present.sum() <= DRIVER_BYTES:
+        return _by_places(_errors, chunks.collect(), ratio, weight, bias, step)
+    chunks.persist(StorageLevel.MEMORY_AND_DISK)
+    found = _by_places(_task_errors, chunks, ratio, weight, bias, step)
+    chunks.unpersist()
+    return found
+
+
 def text_scores(model: Model, texts: list[str]) -> np.ndarray:
     row, place = grams(texts)
     return model.score(np.bincount(row, weights=model.weights[place], minlength=len(texts)))
