@@ -1,7 +1,11 @@
 """Sinks, versioned tables, table registration and file readers."""
 
+import bz2
+import gzip
+import zlib
+
 import pytest
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
 from tripwright.operators import sinks
@@ -136,6 +140,56 @@ def test_documents_of_one_id_and_of_none(spark, tmp_path):
     assert sorted((r["folder"], r["text"]) for r in found) == [("doc_id=", "b\n"), ("doc_id=7", "a\na\n")]
 
 
+def test_documents_are_listed_by_tasks_not_on_the_driver(spark, tmp_path):
+    rows = spark.range(400).select("id", F.concat(F.lit("text "), "id").alias("text"))
+    files.doc_write(rows, str(tmp_path / "docs"))
+    found = files.doc_load(spark, str(tmp_path / "docs"))
+    assert not [name for name in found.inputFiles() if name.endswith(".txt")]
+    assert found.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert {r["folder"]: r["text"] for r in found.collect()} == {f"id={at}": f"text {at}\n" for at in range(400)}
+
+
+def _by_spark(spark, path, pattern):
+    read = spark.read.options(recursiveFileLookup="true", pathGlobFilter=pattern).text(path, wholetext=True)
+    folder = F.regexp_extract("_metadata.file_path", "([^/]*)/[^/]*$", 1)
+    return read.select(F.col("_metadata.file_name").alias("source"), folder.alias("folder"), F.col("value").alias("text"))
+
+
+def test_documents_are_taken_as_by_the_text_reader(spark, tmp_path, monkeypatch):
+    # many small tasks and batches
+    monkeypatch.setattr(files, "PATHS_A_TASK", 3)
+    monkeypatch.setattr(files, "BATCH_ROWS", 2)
+    monkeypatch.setattr(files, "BATCH_BYTES", 4)
+    top = tmp_path / "t op %20 é"
+    odd = "o d%41 ü#?&+;[]{}'\"!~^`|<>@,$\u00a0\u2028\x85\x01\n"
+    texts = {
+        "a.md": b"x\r\n\ny", "empty.md": b"", ".h.md": b"h", "_u.md": b"u", "_k=1.md": b"k", "_metadata.md": b"m",
+        "c._COPYING_": b"c", "c._COPYING_.md": b"c", "no.MD": b"n", "bad.txt": b"a\xff\xfeb\xc3", "mark.txt": b"\xef\xbb\xbf1",
+        ".hidden/a.md": b"1", "_hidden/a.md": b"2", "_p=1/a.md": b"3", "_metadata/a.md": b"4", "x._COPYING_/a.md": b"5",
+        "dir.md/in.md": b"6", "d/e/h.txt": b"7", f"{odd}/{odd}.txt": b"8", "p.txt.gz": gzip.compress(b"9"),
+        "b.txt.bz2": bz2.compress(b"10"), "z.txt.deflate": zlib.compress(b"11"),
+    }
+    for name, data in texts.items():
+        (top / name).parent.mkdir(parents=True, exist_ok=True)
+        (top / name).write_bytes(data)
+    (top / "link").symlink_to(top / "d")
+    (top / "gone.md").symlink_to(top / "nowhere")
+    every = "*.{md,txt}"
+    asked = [(top, every), (top, "*"), (top, "?[!x].m*"), (top, "*.txt.[gb]z*"), (top, "*.deflate"), (top, "*.none")]
+    asked += [(top / name, every) for name in ("a.md", "_u.md", ".hidden", "{d,a.*}")]
+    counts = []
+    for path, pattern in asked:
+        found, expected = files.doc_load(spark, str(path), pattern), _by_spark(spark, str(path), pattern)
+        assert found.schema == expected.schema
+        rows = [sorted(map(tuple, df.select("source", "folder", F.hex("text")).collect())) for df in (found, expected)]
+        assert rows[0] == rows[1], (path, pattern)
+        counts.append(len(rows[0]))
+    assert counts[0] == 11 and counts[3] == 2 and counts[4] == 1 and counts[5] == 0
+    for name in ("nowhere", "nowhere*"):
+        with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+            files.doc_load(spark, str(top / name))
+
+
 def test_vector_collection_keeps_size_and_metric(spark, tmp_path):
     path = str(tmp_path / "v")
     points = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "id bigint, vector array<float>")
